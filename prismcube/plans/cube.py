@@ -27,13 +27,12 @@ def write_cube(
     return versions.commit(spark, root, "cube", version=version, watermark=watermark, path=path, **origin)
 
 
-def stored_cube(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """State of the committed cube, or ``None`` before the first commit."""
-    last = versions.latest(spark, root, "cube")
+def stored_cube(spark: SparkSession, root: str, last: dict | None = None) -> DataFrame | None:
+    """State of the ``last`` (by default the newest) cube version, ``None`` before the first one."""
+    last = last or versions.latest(spark, root, "cube")
     if last["path"] is None:
         return None
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    cube = reader.parquet(last["path"])
+    cube = spark.read.parquet(last["path"])
     return cube.select(MASK, *[c for c in cube.columns if c != MASK])
 
 
@@ -68,13 +67,12 @@ def refresh_cube(
     measure: str = CUBE_MEASURE,
 ) -> dict:
     """Merge the rows loaded since the last cube version; does nothing when there are none."""
-    loaded = versions.latest(spark, root, "load")
-    last = versions.latest(spark, root, "cube")
+    loaded, last = versions.latest(spark, root, "load"), versions.latest(spark, root, "cube")
     if not versions.has_new(loaded, last):
         return last
     rows = new_rows(spark, root, contract, [*dims, measure], last["watermark"], loaded)
     delta = full_cube(rows, dims, measure)
-    state = merged_state(stored_cube(spark, root), delta, dims)
+    state = merged_state(stored_cube(spark, root, last), delta, dims)
     return write_cube(spark, root, state, last, loaded["watermark"])
 
 
@@ -83,8 +81,9 @@ def merge_batch(
 ) -> dict:
     """Merge one micro-batch of fact rows, unless ``source`` committed it before."""
     spark = batch.sparkSession
-    last = versions.latest(spark, root, "cube")
-    if batch_id <= versions.latest(spark, root, "cube", source)["batch_id"]:
+    cubes = versions.heads(spark, root, "cube")
+    last = cubes[None]
+    if batch_id <= cubes[source]["batch_id"]:
         return last
-    state = merged_state(stored_cube(spark, root), full_cube(batch, dims, measure), dims)
+    state = merged_state(stored_cube(spark, root, last), full_cube(batch, dims, measure), dims)
     return write_cube(spark, root, state, last, last["watermark"], source=source, batch_id=batch_id)

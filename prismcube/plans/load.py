@@ -25,10 +25,10 @@ def stored_schema(contract: Contract) -> T.StructType:
 
 def init_tables(spark: SparkSession, root: str, contract: Contract) -> None:
     """Create the fact table and the code tables empty and reset all watermarks."""
-    rows = spark.createDataFrame([], stored_schema(contract)).drop("load_version", "rejected")
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/rows/load_version=0/rejected=false")
-    entries = spark.createDataFrame([], dictionary.SCHEMA)
-    entries.coalesce(1).write.mode("overwrite").parquet(f"{root}/dictionary/load_version=0")
+    rows = versions.empty(spark, stored_schema(contract)).drop("load_version", "rejected")
+    rows.write.mode("overwrite").parquet(f"{root}/rows/load_version=0/rejected=false")
+    entries = versions.empty(spark, dictionary.SCHEMA)
+    entries.write.mode("overwrite").parquet(f"{root}/dictionary/load_version=0")
     versions.reset(spark, root)
 
 
@@ -139,8 +139,8 @@ def append_load(spark: SparkSession, source: str, root: str, contract: Contract)
     New files must sort after the ones already loaded, or lines must be
     added to the end of the last file.
     """
-    last = versions.latest(spark, root, "load")
-    offset = versions.latest(spark, root, "load", source)["source_offset"]
+    loads = versions.heads(spark, root, "load")
+    last, offset = loads[None], loads[source]["source_offset"]
     staged = stage(read_rows(spark, source, contract), root)
     blocks = source_blocks(staged)
     length = line_count(blocks)
@@ -154,8 +154,9 @@ def append_load(spark: SparkSession, source: str, root: str, contract: Contract)
 def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract, source: str) -> dict:
     """Load one micro-batch of landing rows, unless ``source`` committed it before."""
     spark = batch.sparkSession
-    last = versions.latest(spark, root, "load")
-    if batch_id <= versions.latest(spark, root, "load", source)["batch_id"]:
+    loads = versions.heads(spark, root, "load")
+    last = loads[None]
+    if batch_id <= loads[source]["batch_id"]:
         return last
     staged = stage(with_row(batch), root)
     blocks = source_blocks(staged)

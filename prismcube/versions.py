@@ -7,11 +7,13 @@ and with it all readers, as they were. One writer at a time is assumed.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SCHEMA = (
     "kind string, version bigint, watermark bigint, source string, source_offset bigint, batch_id bigint, "
@@ -42,27 +44,38 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
         raise
 
 
-def latest(spark: SparkSession, root: str, kind: str, source: str | None = None) -> dict:
-    """The newest record of a kind (and source); an all-zero one when there is none."""
+def heads(spark: SparkSession, root: str, kind: str) -> dict[str | None, dict]:
+    """The newest record of each source (under ``None``: of all), all-zero where there is none."""
     records = commits(spark, root).where(F.col("kind") == kind)
-    if source is not None:
-        records = records.where(F.col("source") == source)
-    row = records.orderBy(F.desc("version")).first()
-    return row.asDict() if row else NOTHING | {"kind": kind}
+    newest = records.groupBy("source").agg(F.max_by(F.struct(*records.columns), "version").alias("r"))
+    by_source = {row["source"]: row["r"].asDict() for row in newest.collect()}
+    last = max(by_source.values(), key=lambda r: r["version"], default=NOTHING | {"kind": kind})
+    return defaultdict(lambda: NOTHING | {"kind": kind}, by_source | {None: last})
+
+
+def latest(spark: SparkSession, root: str, kind: str) -> dict:
+    """The newest record of a kind; an all-zero one when there is none."""
+    return heads(spark, root, kind)[None]
 
 
 def commit(spark: SparkSession, root: str, kind: str, **fields) -> dict:
     """Append one record."""
     record = NOTHING | {"kind": kind, "committed_at": datetime.now(timezone.utc)} | fields
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
-    row = spark.createDataFrame([tuple(record[n] for n in names)], SCHEMA).coalesce(1)
-    row.write.mode("append").parquet(f"{root}/commits")
+    row = [F.lit(record[f.name]).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(SCHEMA)]
+    spark.range(1, numPartitions=1).select(*row).write.mode("append").parquet(f"{root}/commits")
     return record
 
 
+def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of a schema, in one partition."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(0, numPartitions=1).select(*columns)
+
+
 def reset(spark: SparkSession, root: str) -> None:
     """Create an empty log: every watermark is 0 (again)."""
-    spark.createDataFrame([], SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{root}/commits")
+    empty(spark, SCHEMA).write.mode("overwrite").parquet(f"{root}/commits")
 
 
 def has_new(loaded: dict, merged: dict) -> bool:
