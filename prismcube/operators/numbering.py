@@ -32,26 +32,42 @@ def dense_number(df: DataFrame, order: str, by: Sequence[str] = (), name: str =
     return numbered.select(*df.columns, name)
 
 
-def source_blocks(rows: DataFrame) -> DataFrame:
-    """One row per block of the source: its size and the position of its first row.
+def source_blocks(rows: DataFrame, consumed: DataFrame | None = None) -> DataFrame:
+    """One row per block of the source: where its lines stand in their file and in the source.
 
-    Blocks are input splits, so the running total goes over a small table.
+    ``consumed (source_file, lines)`` says how many lines of a file to skip;
+    ``new_start`` counts the lines that are left in all earlier files. Blocks
+    are input splits, so the running totals go over small tables.
     """
-    in_order = W.orderBy("source_file", "source_block").rowsBetween(W.unboundedPreceding, -1)
+    in_file = W.partitionBy("source_file").orderBy("source_block")
+    before = in_file.rowsBetween(W.unboundedPreceding, -1)
     blocks = rows.groupBy("source_file", "source_block").agg(
         F.count(F.lit(1)).alias("block_rows"), F.min("source_row").alias("block_first")
     )
-    started = blocks.withColumn("block_start", F.coalesce(F.sum("block_rows").over(in_order), F.lit(0)))
-    return checkpointed(started)
+    blocks = blocks.withColumn("line_start", F.coalesce(F.sum("block_rows").over(before), F.lit(0)))
+
+    files = blocks.groupBy("source_file").agg(F.sum("block_rows").alias("file_lines"))
+    if consumed is None:
+        files = files.withColumn("skipped", F.lit(0).cast("bigint"))
+    else:
+        files = files.join(consumed, "source_file", "left")
+        files = files.withColumn("skipped", F.coalesce("lines", F.lit(0))).drop("lines")
+    files = files.withColumn("new_lines", F.greatest(F.col("file_lines") - F.col("skipped"), F.lit(0)))
+    earlier = W.orderBy("source_file").rowsBetween(W.unboundedPreceding, -1)
+    files = files.withColumn("new_start", F.coalesce(F.sum("new_lines").over(earlier), F.lit(0)))
+    return checkpointed(blocks.drop("block_rows").join(files, "source_file"))
 
 
 def with_position(rows: DataFrame, blocks: DataFrame, base: int = 0) -> DataFrame:
-    """Add ``source_pos``: ``base`` plus the ordinal of the row in the source.
+    """Add ``source_line``, ``skipped`` and ``source_pos``.
 
-    Files count in path order and lines in file order, however Spark cuts and
+    ``source_line`` is the line number in the file, ``source_pos`` is
+    ``base`` plus the ordinal among the lines that are not skipped. Files
+    count in path order and lines in file order, however Spark cuts and
     schedules the files. ``rows`` must come from a written table.
     """
-    keyed = left_join_blocks(rows, blocks.drop("block_rows"), ["source_file", "source_block"])
-    ordinal = F.col("block_start") + F.col("source_row") - F.col("block_first")
+    placed = left_join_blocks(rows, blocks.drop("file_lines", "new_lines"), ["source_file", "source_block"])
+    line = F.col("line_start") + F.col("source_row") - F.col("block_first")
+    position = F.lit(base) + F.col("new_start") + line - F.col("skipped")
     kept = [c for c in rows.columns if c not in COORDINATES]
-    return keyed.select((F.lit(base) + ordinal).alias("source_pos"), *kept)
+    return placed.select(position.alias("source_pos"), line.alias("source_line"), "skipped", *kept)

@@ -9,21 +9,19 @@ from pyspark.sql import functions as F
 
 from .. import versions
 from ..contract import CUBE_DIMENSIONS, CUBE_MEASURE, Contract
-from ..operators.cube import MASK, full_cube, merge_cubes
+from ..operators.cube import MASK, full_cube, merge_cubes, merge_small_delta
+from ..operators.joins import fits_broadcast
+from ..scratch import checkpointed
 from .load import fact_table, new_rows
 
 
 def write_cube(
     spark: SparkSession, root: str, state: DataFrame, last: dict, watermark: int, **origin
 ) -> dict:
-    """Write a new cube version, one folder per cuboid, then commit it.
-
-    The rebalance merges the small cuboids of all tasks into few files and
-    splits the large ones.
-    """
+    """Write a new cube version, one folder per cuboid, then commit it."""
     version = last["version"] + 1
     path = versions.version_path(root, "cube", version)
-    state.hint("rebalance", MASK).write.mode("overwrite").partitionBy(MASK).parquet(path)
+    state.write.mode("overwrite").partitionBy(MASK).parquet(path)
     return versions.commit(spark, root, "cube", version=version, watermark=watermark, path=path, **origin)
 
 
@@ -36,13 +34,25 @@ def stored_cube(spark: SparkSession, root: str, last: dict | None = None) -> Dat
     return cube.select(MASK, *[c for c in cube.columns if c != MASK])
 
 
+def stored_types(state: DataFrame) -> DataFrame:
+    """State in the column types of a stored cube, so that all versions have one schema."""
+    exact = dict(state.dtypes)["sum_amount"].startswith("decimal")
+    return state.withColumn("sum_amount", F.col("sum_amount").cast("decimal(38,2)" if exact else "double"))
+
+
 def merged_state(old: DataFrame | None, delta: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Old and delta state in the stored column types, so that versions keep one schema."""
-    state = delta if old is None else merge_cubes(old, delta, dims)
-    kinds = dict(delta.dtypes)
-    amount = kinds["max_amount"]
-    total = "decimal(38,2)" if amount.startswith("decimal") else "double"
-    return state.withColumn("sum_amount", F.col("sum_amount").cast(total))
+    """Stored cube and delta in one; a delta of checked size is merged without a shuffle of the cube."""
+    if old is None:
+        return laid_out(stored_types(delta))
+    delta = checkpointed(stored_types(delta))
+    if fits_broadcast(delta):
+        return stored_types(merge_small_delta(old, delta, dims))
+    return laid_out(stored_types(merge_cubes(old, delta, dims)))
+
+
+def laid_out(state: DataFrame) -> DataFrame:
+    """Gather each cuboid: the rows of small ones into few files, large ones split."""
+    return state.hint("rebalance", MASK)
 
 
 def generate_cube(

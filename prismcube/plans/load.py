@@ -11,10 +11,12 @@ from ..contract import Contract
 from ..operators import dictionary
 from ..operators.numbering import source_blocks, with_position
 from ..operators.validation import REASON, check_rows, reconcile, typed
-from ..sources.csv import BAD_WIDTH, read_rows, with_row
-from ..sources.tables import resume_scan, scan_range
+from ..scratch import checkpointed
+from ..sources.csv import BAD_WIDTH, list_files, read_rows, with_row
+from ..sources.tables import resume_scan, scan_range, warn_if_short
 
 ROW_ID = "row_id"
+FILES = "source string, source_file string, file_size bigint, lines bigint"
 
 
 def stored_schema(contract: Contract) -> T.StructType:
@@ -24,11 +26,11 @@ def stored_schema(contract: Contract) -> T.StructType:
 
 
 def init_tables(spark: SparkSession, root: str, contract: Contract) -> None:
-    """Create the fact table and the code tables empty and reset all watermarks."""
+    """Create the fact table, code table and file list empty and reset all watermarks."""
     rows = versions.empty(spark, stored_schema(contract)).drop("load_version", "rejected")
     rows.write.mode("overwrite").parquet(f"{root}/rows/load_version=0/rejected=false")
-    entries = versions.empty(spark, dictionary.SCHEMA)
-    entries.write.mode("overwrite").parquet(f"{root}/dictionary/load_version=0")
+    for name, schema in (("dictionary", dictionary.SCHEMA), ("files", FILES)):
+        versions.empty(spark, schema).write.mode("overwrite").parquet(f"{root}/{name}/load_version=0")
     versions.reset(spark, root)
 
 
@@ -69,6 +71,14 @@ def check_load(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
     return reconcile(fact_table(spark, root, contract, last), last["total_rows"])
 
 
+def consumed_files(spark: SparkSession, root: str, source: str, last: dict) -> DataFrame:
+    """Files of a source that loads up to ``last`` read, with their size and lines then."""
+    files = spark.read.schema(f"{FILES}, load_version bigint").parquet(f"{root}/files")
+    files = files.where((F.col("load_version") <= last["version"]) & (F.col("source") == source))
+    newest = files.groupBy("source_file").agg(F.max_by(F.struct("file_size", "lines"), "load_version").alias("f"))
+    return newest.select("source_file", F.col("f.file_size").alias("seen_size"), F.col("f.lines").alias("lines"))
+
+
 def stage(rows: DataFrame, root: str) -> DataFrame:
     """Write landing rows once; the checks then read columns instead of parsing text again."""
     path = f"{root}/staged"
@@ -76,6 +86,11 @@ def stage(rows: DataFrame, root: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def unstage(spark: SparkSession, root: str) -> None:
+    """Free the staged rows of a committed load."""
+    versions.empty(spark, "source_row bigint").write.mode("overwrite").parquet(f"{root}/staged")
+
+
 def append_positioned(
     spark: SparkSession, root: str, rows: DataFrame, contract: Contract, last: dict, lines: int, **origin
 ) -> dict:
@@ -86,6 +101,7 @@ def append_positioned(
     leave gaps. ``origin`` is recorded with the commit.
     """
     version = last["version"] + 1
+    path = f"{root}/rows/load_version={version}"
     stored = None
     if contract.unique_columns and last["total_rows"]:
         stored = fact_table(spark, root, contract, last).select(*contract.unique_columns)
@@ -107,7 +123,6 @@ def append_positioned(
         F.count(reason).alias("refused"),
         F.count(F.when(reason == "width", 1)).alias("width"),
     )
-    path = f"{root}/rows/load_version={version}"
     out.write.mode("overwrite").partitionBy("rejected").parquet(path)
     seen = counts.get
 
@@ -118,7 +133,7 @@ def append_positioned(
         entries = dictionary.new_entries(code_table(spark, root, last), batch, contract.dictionary_columns, ROW_ID)
         entries.write.mode("overwrite").parquet(f"{root}/dictionary/load_version={version}")
 
-    return versions.commit(
+    record = versions.commit(
         spark,
         root,
         "load",
@@ -131,24 +146,39 @@ def append_positioned(
         path=path,
         **origin,
     )
+    unstage(spark, root)
+    return record
 
 
 def append_load(spark: SparkSession, source: str, root: str, contract: Contract) -> dict:
-    """Load the lines of ``source`` beyond its offset; returns the newest load record.
+    """Load the lines of ``source`` that were not loaded before; returns the newest load record.
 
-    New files must sort after the ones already loaded, or lines must be
-    added to the end of the last file.
+    Files may be added and lines may be appended to files. A file that has
+    its old size is not read again. Sizes are taken before reading, so lines
+    that arrive meanwhile are found by the next load.
     """
-    loads = versions.heads(spark, root, "load")
-    last, offset = loads[None], loads[source]["source_offset"]
-    staged = stage(read_rows(spark, source, contract), root)
-    blocks = source_blocks(staged)
-    length = line_count(blocks)
-    rows = resume_scan(with_position(staged, blocks), offset, "source_pos", length)
-    if length <= offset:
+    last = versions.latest(spark, root, "load")
+    consumed = consumed_files(spark, root, source, last)
+    listed = list_files(spark, source).join(consumed, "source_file", "left")
+    changed = checkpointed(listed.where(~F.col("file_size").eqNullSafe(F.col("seen_size"))))
+    paths = [row["path"] for row in changed.select("path").collect()]
+    if not paths:
+        return last
+
+    staged = stage(read_rows(spark, sorted(paths), contract), root)
+    blocks = source_blocks(staged, consumed.select("source_file", "lines"))
+    lines = new_lines(blocks)
+    if not lines:
         return last
-    rows = rows.withColumn("source_pos", F.col("source_pos") + F.lit(last["watermark"] - offset))
-    return append_positioned(spark, root, rows, contract, last, length - offset, source=source, source_offset=length)
+    placed = with_position(staged, blocks, last["watermark"])
+    rows = resume_scan(placed, "skipped", "source_line").drop("skipped", "source_line")
+
+    counted = blocks.select("source_file", F.greatest("file_lines", "skipped").alias("lines")).distinct()
+    files = changed.drop("lines").join(counted, "source_file").select(
+        F.lit(source).alias("source"), "source_file", "file_size", "lines"
+    )
+    files.coalesce(1).write.mode("overwrite").parquet(f"{root}/files/load_version={last['version'] + 1}")
+    return append_positioned(spark, root, rows, contract, last, lines, source=source)
 
 
 def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract, source: str) -> dict:
@@ -160,13 +190,19 @@ def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract,
         return last
     staged = stage(with_row(batch), root)
     blocks = source_blocks(staged)
-    rows = with_position(staged, blocks, last["watermark"])
-    lines = line_count(blocks)
-    return append_positioned(spark, root, rows, contract, last, lines, source=source, batch_id=batch_id)
-
-
-def line_count(blocks: DataFrame) -> int:
-    return blocks.agg(F.coalesce(F.sum("block_rows"), F.lit(0)).alias("n")).first()["n"]
+    rows = with_position(staged, blocks, last["watermark"]).drop("skipped", "source_line")
+    return append_positioned(spark, root, rows, contract, last, new_lines(blocks), source=source, batch_id=batch_id)
+
+
+def new_lines(blocks: DataFrame) -> int:
+    """Lines that were not skipped; warns about files that lost lines since they were read."""
+    files = blocks.select("source_file", "file_lines", "skipped", "new_lines").distinct()
+    total = F.coalesce(F.sum("new_lines"), F.lit(0)).alias("total")
+    short = F.max_by(F.struct("source_file", "file_lines", "skipped"), F.col("skipped") - F.col("file_lines"))
+    row = files.agg(total, short.alias("short")).first()
+    if row["short"]:
+        warn_if_short(row["short"]["file_lines"], row["short"]["skipped"], row["short"]["source_file"])
+    return row["total"]
 
 
 def new_rows(

@@ -56,7 +56,14 @@ def with_row(rows: DataFrame) -> DataFrame:
     return rows.withColumn("source_row", F.monotonically_increasing_id())
 
 
-def read_rows(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a source with their sizes; their contents are not read."""
+    return spark.read.format("binaryFile").load(path).select(
+        "path", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("file_size")
+    )
+
+
+def read_rows(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
     """Landing rows as text, bound by position, with their coordinates in the source.
 
     Blank lines are skipped. Write the result to a table before using the

@@ -22,8 +22,13 @@ def scan_range(
     return table.where(in_range).select(*columns)
 
 
-def resume_scan(source: DataFrame, offset: int, position: str, length: int | None = None) -> DataFrame:
-    """Rows from ``offset`` on; warns when the source is known to be shorter than that."""
-    if length is not None and length < offset:
-        warnings.warn(f"source has {length} rows, fewer than the offset {offset}", stacklevel=2)
-    return source.where(F.col(position) >= F.lit(offset))
+def resume_scan(source: DataFrame, offset: int | str, position: str) -> DataFrame:
+    """Rows from ``offset`` on: a number, or a column that holds the offset of each row."""
+    start = F.col(offset) if isinstance(offset, str) else F.lit(offset)
+    return source.where(F.col(position) >= start)
+
+
+def warn_if_short(length: int, offset: int, what: str) -> None:
+    """Warn when a source has fewer rows than were read from it before."""
+    if length < offset:
+        warnings.warn(f"{what} has {length} rows, fewer than the offset {offset}", stacklevel=3)

@@ -16,14 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = (
-    "kind string, version bigint, watermark bigint, source string, source_offset bigint, batch_id bigint, "
+    "kind string, version bigint, watermark bigint, source string, batch_id bigint, "
     "rows bigint, total_rows bigint, errors bigint, width_errors bigint, path string, committed_at timestamp"
 )
 NOTHING = {
     "version": 0,
     "watermark": 0,
     "source": None,
-    "source_offset": 0,
     "batch_id": -1,
     "rows": 0,
     "total_rows": 0,

@@ -1,0 +1,279 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from prismcube import versions
+from prismcube.contract import SALES, ColumnSpec, Contract
+from prismcube.functions.measures import finish
+from prismcube.operators.cube import full_cube
+from prismcube.plans import cube as cubes
+from prismcube.plans import load
+
+CONTRACT = Contract(
+    (
+        ColumnSpec("id", not_null=True, unique=True),
+        ColumnSpec("amount", kind="float", not_null=True),
+        ColumnSpec("kind", dictionary=True),
+        ColumnSpec("place", dictionary=True),
+        ColumnSpec("size", kind="integer"),
+    )
+)
+DIMS = ["kind", "place"]
+
+
+class Landing:
+    """A landing folder, its tables and shorthands."""
+
+    def __init__(self, spark, folder, contract=CONTRACT):
+        self.spark, self.contract = spark, contract
+        self.folder, self.root = folder / "landing", str(folder / "root")
+        self.folder.mkdir()
+        load.init_tables(spark, self.root, contract)
+
+    def put(self, name, lines, mode="w"):
+        with open(self.folder / name, mode, encoding="utf-8") as file:
+            if mode == "w":
+                file.write(",".join(self.contract.names) + "\n")
+            file.writelines(line + "\n" for line in lines)
+
+    def load(self):
+        return load.append_load(self.spark, str(self.folder), self.root, self.contract)
+
+    def facts(self):
+        return load.fact_table(self.spark, self.root, self.contract)
+
+    def ids(self):
+        return [r["id"] for r in self.facts().orderBy("row_id").collect()]
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    return Landing(spark, tmp_path)
+
+
+TEN = ["1,10,a,x,1", "2,20.5,b,y,12abc", "3,,a,x,1", "", *[f"{i},{i},a,x,{i}" for i in range(4, 11)]]
+
+
+def test_loading_twice_appends_nothing(landing):
+    landing.put("a.csv", TEN)
+    first = landing.load()
+    assert (first["rows"], first["total_rows"], first["errors"], first["width_errors"]) == (9, 9, 1, 0)
+    second = landing.load()
+    assert second["version"] == first["version"] == 1
+    assert landing.ids() == ["1", "2", *map(str, range(4, 11))]
+    row = landing.facts().where("id = '2'").first()
+    assert (str(row["amount"]), row["size"]) == ("20.50", 12)
+
+
+def test_lines_appended_to_a_file(landing):
+    landing.put("a.csv", TEN)
+    landing.load()
+    landing.put("a.csv", ["11,1,c,x,1", "3,5,a,x,1", "1,5,a,x,1"], mode="a")
+    record = landing.load()
+    assert (record["rows"], record["total_rows"], record["errors"]) == (2, 11, 1)
+    assert landing.ids()[-2:] == ["11", "3"]
+    ids = [r["row_id"] for r in landing.facts().collect()]
+    assert len(set(ids)) == 11 and max(ids) < record["watermark"] == 13
+    assert landing.load()["version"] == record["version"]
+
+
+def test_new_files_in_any_name_order(landing):
+    landing.put("m.csv", ["1,1,a,x,1", "2,2,a,x,1"])
+    landing.load()
+    landing.put("b.csv", ["3,3,a,x,1"])
+    landing.put("z.csv", ["4,4,a,x,1"])
+    landing.put("m.csv", ["5,5,a,x,1"], mode="a")
+    assert landing.load()["rows"] == 3
+    assert landing.ids() == ["1", "2", "3", "5", "4"]
+
+
+def test_every_line_is_accounted_for(landing):
+    lines = [*TEN, "20,1,a", "21,1,a,x,1,extra", "1,9,a,x,1", '22,1,"x, y",z ,1', "23,1,,,"]
+    landing.put("a.csv", lines)
+    record = landing.load()
+    assert record["rows"] + record["errors"] + record["width_errors"] == len(lines) - lines.count("")
+    assert record["width_errors"] == 2
+    report = load.reject_report(landing.spark, landing.root, CONTRACT)
+    assert rows(report.select("reject_reason", "raw_line")) == [
+        ("not_null:amount", None), ("unique:id", None), ("width", "20,1,a"), ("width", "21,1,a,x,1,extra"),
+    ]
+    kept = {r["id"]: (r["kind"], r["place"], r["size"]) for r in landing.facts().collect()}
+    assert kept["22"] == ("x, y", "z ", 1) and kept["23"] == ("", "", 0)
+
+
+def test_positions_do_not_depend_on_splits(landing, conf):
+    landing.put("a.csv", [f"{i},{i},a,x,{i}" for i in range(500)])
+    landing.put("b.csv", [f"{i},{i},a,x,{i}" for i in range(500, 700)])
+    conf({"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"})
+    landing.load()
+    assert landing.facts().where("row_id <> CAST(id AS BIGINT)").count() == 0
+    assert landing.facts().count() == 700
+
+
+def test_shorter_source_warns(landing):
+    landing.put("a.csv", TEN)
+    landing.load()
+    landing.put("a.csv", TEN[:3])
+    with pytest.warns(UserWarning, match="fewer than the offset 10"):
+        assert landing.load()["version"] == 1
+
+
+def test_uncommitted_load_is_invisible_and_repeated(landing, monkeypatch):
+    landing.put("a.csv", TEN)
+    landing.load()
+    landing.put("b.csv", ["50,5,new,x,1"])
+
+    def die(*args, **fields):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "commit", die)
+        with pytest.raises(RuntimeError):
+            landing.load()
+    assert landing.facts().count() == 9
+    assert "new" not in {r["value"] for r in load.code_table(landing.spark, landing.root).collect()}
+    assert landing.load()["total_rows"] == 10
+    assert landing.facts().count() == 10
+
+
+def test_codes_grow_with_loads(landing):
+    landing.put("a.csv", ["1,1,b,x,1", "2,1,a,x,1"])
+    landing.load()
+    before = rows(load.code_table(landing.spark, landing.root))
+    assert before == [("kind", "a", 1), ("kind", "b", 0), ("place", "x", 0)]
+    landing.put("b.csv", ["3,1,c,,1", "4,1,a,w,1"])
+    landing.load()
+    after = rows(load.code_table(landing.spark, landing.root))
+    assert set(after) - set(before) == {("kind", "c", 2), ("place", "", 1), ("place", "w", 2)}
+
+
+def test_reset_forgets_everything(landing):
+    landing.put("a.csv", TEN)
+    landing.load()
+    load.init_tables(landing.spark, landing.root, CONTRACT)
+    assert landing.facts().count() == 0
+    assert landing.load()["total_rows"] == 9
+    assert rows(load.check_load(landing.spark, landing.root, CONTRACT)) == [(9, 9, True)]
+
+
+def test_missing_tables_are_reported(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="create the tables first"):
+        versions.latest(spark, str(tmp_path / "nothing"), "load")
+
+
+def test_wide_contract(spark, tmp_path):
+    wide = Landing(spark, tmp_path, SALES)
+    values = {s.name: {"integer": "7", "float": "200000.01"}.get(s.kind, s.name) for s in SALES.columns}
+
+    def line(**changes):
+        return ",".join((values | changes).values())
+
+    wide.put(
+        "a.csv",
+        [line(sales_id="1", product_id=""), line(sales_id="1", store_manager_id=""), line(sales_id="1", campaign_budget="231714.0")],
+    )
+    record = wide.load()
+    assert (record["rows"], record["errors"]) == (1, 2)
+    row = wide.facts().first()
+    assert (str(row["total_amount"]), row["store_manager_id"], row["campaign_budget"]) == ("200000.01", "", 7)
+    assert load.code_table(spark, wide.root).count() == 19
+    assert load.load_report(spark, wide.root).count() == 1
+
+
+def test_float32_amounts(spark, tmp_path):
+    small = Landing(spark, tmp_path, Contract(CONTRACT.columns, amount_type="float"))
+    small.put("a.csv", ["1,200000.01,a,x,1", "2,1e99,a,x,1"])
+    small.load()
+    cubes.generate_cube(spark, small.root, small.contract, DIMS, "amount")
+    apex = finish(cubes.stored_cube(spark, small.root)).where("cuboid_mask = 0").first()
+    assert (apex["sum_amount"], apex["count"], apex["min_amount"]) == (200000.015625, 2, 0.0)
+
+
+# Cube maintenance ------------------------------------------------------------
+
+
+def recomputed(landing):
+    return rows(finish(full_cube(landing.facts(), DIMS, "amount")))
+
+
+def stored(landing):
+    return rows(finish(cubes.stored_cube(landing.spark, landing.root)))
+
+
+def refresh(landing):
+    return cubes.refresh_cube(landing.spark, landing.root, CONTRACT, DIMS, "amount")
+
+
+def random_lines(rng, start, count):
+    return [
+        f"{start + i},{rng.randrange(100000) / 100},{rng.choice(['a', 'b', '', 'A|B'])},{rng.choice(['x', 'y', 'z'])},1"
+        for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_refresh_equals_recomputation(landing, monkeypatch, limit):
+    """With small deltas (merged by broadcast) and with large ones (merged by a shuffle)."""
+    monkeypatch.setattr("prismcube.operators.joins.BROADCAST_ROWS", limit)
+    rng = random.Random(limit)
+    landing.put("0.csv", random_lines(rng, 0, 30))
+    landing.load()
+    cubes.generate_cube(landing.spark, landing.root, CONTRACT, DIMS, "amount")
+    for day in range(1, 4):
+        landing.put(f"{day}.csv", random_lines(rng, day * 100, 10) + ["0,1,a,x,1", f"{day * 100 + 50},1,new{day},x,1"])
+        landing.load()
+        refresh(landing)
+        assert stored(landing) == recomputed(landing)
+
+
+def test_refresh_without_a_cube_and_without_news(landing):
+    landing.put("a.csv", TEN)
+    landing.load()
+    first = refresh(landing)
+    assert stored(landing) == recomputed(landing)
+    assert refresh(landing)["version"] == first["version"]
+
+
+def test_many_versions_reuse_folders(landing):
+    for day in range(versions.KEPT_VERSIONS + 2):
+        landing.put(f"{day}.csv", [f"{day},1,a,x,1"])
+        landing.load()
+        refresh(landing)
+        assert stored(landing) == recomputed(landing)
+
+
+def test_interrupted_refresh_is_repeated_whole(landing, monkeypatch):
+    landing.put("a.csv", TEN)
+    landing.load()
+    refresh(landing)
+    before = stored(landing)
+    landing.put("b.csv", ["70,5,a,x,1"])
+    landing.load()
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "commit", lambda *a, **f: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh(landing)
+    assert stored(landing) == before
+    refresh(landing)
+    assert stored(landing) == recomputed(landing)
+
+
+def test_delta_scan_is_pushed_down(landing):
+    landing.put("a.csv", TEN)
+    landing.load()
+    last = versions.latest(landing.spark, landing.root, "load")
+    text = plan(load.new_rows(landing.spark, landing.root, CONTRACT, ["kind", "amount"], 3, last))
+    assert "GreaterThanOrEqual(row_id,3)" in text and "LessThan(row_id," in text
+    assert "ReadSchema: struct<row_id:bigint,amount:decimal(18,2),kind:string>" in text
+    assert "PartitionFilters" in text and "rejected" in text
+
+
+def test_small_delta_does_not_shuffle_the_cube(landing):
+    landing.put("a.csv", TEN)
+    landing.load()
+    refresh(landing)
+    old = cubes.stored_cube(landing.spark, landing.root)
+    delta = full_cube(landing.facts().where(F.col("row_id") > 5), DIMS, "amount")
+    assert "Exchange hashpartitioning" not in plan(cubes.merged_state(old, delta, DIMS))

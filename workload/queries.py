@@ -74,7 +74,7 @@ def resume_scan(spark: SparkSession, sf: str) -> DataFrame:
     length = events.count()
     offset = length // 2
     first = tables.scan_range(events, events.columns, 0, offset, "event_id").withColumn("run", F.lit(1))
-    second = tables.resume_scan(events, offset, "event_id", length).withColumn("run", F.lit(2))
+    second = tables.resume_scan(events, offset, "event_id").withColumn("run", F.lit(2))
     return first.unionByName(second)
 
 
