@@ -10,9 +10,7 @@ salted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,13 +28,22 @@ def value_bytes(field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` is small enough to broadcast, by its measured rows and bytes."""
+def size_columns(df: DataFrame) -> list[Column]:
+    """Aggregates that measure ``df``."""
     width = sum((value_bytes(f) for f in df.schema.fields), F.lit(0))
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+
+
+def within_limits(size: Row) -> bool:
+    """Whether a measured table is small enough to broadcast."""
     return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Measure ``df`` and say whether it is small enough to broadcast."""
+    return within_limits(df.agg(*size_columns(df)).first())
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """At most ``HOT_KEYS`` values of ``key`` that hold over ``HOT_SHARE`` of the rows.
 
@@ -84,12 +91,6 @@ def left_join_derived(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left_join(left, right, key, salted=True)
 
 
-def left_join_blocks(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join with a derived table on keys whose groups are bounded, so without salting."""
-    side = F.broadcast(right) if fits_broadcast(right) else right
-    return left.join(side, list(keys), "left").select(*left.columns, *[c for c in right.columns if c not in keys])
-
-
 def renamed_role(dim: DataFrame, names: dict[str, str]) -> DataFrame:
     """A dimension in a role: only the listed columns, under their role names."""
     return dim.select(*[F.col(old).alias(new) for old, new in names.items()])

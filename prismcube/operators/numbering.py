@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..scratch import checkpointed
 from ..sources.csv import COORDINATES
-from .joins import left_join_blocks
+from ..sources.tables import warn_if_short
+from .joins import size_columns, within_limits
 
 RUN = 1 << 20
 
@@ -32,33 +34,56 @@ def dense_number(df: DataFrame, order: str, by: Sequence[str] = (), name: str =
     return numbered.select(*df.columns, name)
 
 
-def source_blocks(rows: DataFrame, consumed: DataFrame | None = None) -> DataFrame:
-    """One row per block of the source: where its lines stand in their file and in the source.
+@dataclass(frozen=True)
+class Blocks:
+    """The blocks of a written source, with what one pass over them told."""
 
-    ``consumed (source_file, lines)`` says how many lines of a file to skip;
-    ``new_start`` counts the lines that are left in all earlier files. Blocks
-    are input splits, so the running totals go over small tables.
+    table: DataFrame
+    new_lines: int
+    small: bool
+
+
+def source_blocks(rows: DataFrame, consumed: DataFrame | None = None) -> Blocks:
+    """One row per block of the source: where its lines stand in their file and among all new lines.
+
+    ``consumed (source_file, lines)`` says how many lines of a file to skip.
+    Warns about a file that has fewer lines than that. Blocks are input
+    splits, so the running totals go over a small table.
     """
-    in_file = W.partitionBy("source_file").orderBy("source_block")
-    before = in_file.rowsBetween(W.unboundedPreceding, -1)
     blocks = rows.groupBy("source_file", "source_block").agg(
         F.count(F.lit(1)).alias("block_rows"), F.min("source_row").alias("block_first")
     )
-    blocks = blocks.withColumn("line_start", F.coalesce(F.sum("block_rows").over(before), F.lit(0)))
-
-    files = blocks.groupBy("source_file").agg(F.sum("block_rows").alias("file_lines"))
+    everything = W.orderBy("source_file", "source_block").rowsBetween(W.unboundedPreceding, -1)
+    in_file = W.partitionBy("source_file").orderBy("source_block").rowsBetween(W.unboundedPreceding, -1)
     if consumed is None:
-        files = files.withColumn("skipped", F.lit(0).cast("bigint"))
+        blocks = blocks.withColumn("lines", F.lit(0).cast("bigint"))
     else:
-        files = files.join(consumed, "source_file", "left")
-        files = files.withColumn("skipped", F.coalesce("lines", F.lit(0))).drop("lines")
-    files = files.withColumn("new_lines", F.greatest(F.col("file_lines") - F.col("skipped"), F.lit(0)))
-    earlier = W.orderBy("source_file").rowsBetween(W.unboundedPreceding, -1)
-    files = files.withColumn("new_start", F.coalesce(F.sum("new_lines").over(earlier), F.lit(0)))
-    return checkpointed(blocks.drop("block_rows").join(files, "source_file"))
+        blocks = blocks.join(consumed, "source_file", "left")
+    blocks = blocks.withColumns(
+        {
+            "line_start": F.coalesce(F.sum("block_rows").over(in_file), F.lit(0)),
+            "skipped": F.coalesce("lines", F.lit(0)),
+        }
+    )
+    line_end = F.col("line_start") + F.col("block_rows")
+    blocks = blocks.withColumn("block_new", F.greatest(line_end - F.greatest("line_start", "skipped"), F.lit(0)))
+    blocks = blocks.withColumn("new_start", F.coalesce(F.sum("block_new").over(everything), F.lit(0)))
+    table = checkpointed(blocks.drop("lines"))
+
+    last_block = F.max_by(F.struct("source_file", line_end.alias("lines"), "skipped"), line_end)
+    per_file = table.groupBy("source_file").agg(last_block.alias("f"), F.sum("block_new").alias("new"), *size_columns(table))
+    totals = per_file.agg(
+        F.coalesce(F.sum("new"), F.lit(0)).alias("new"),
+        F.sum("rows").alias("rows"),
+        F.sum("bytes").alias("bytes"),
+        F.max_by("f", F.col("f.skipped") - F.col("f.lines")).alias("short"),
+    ).first()
+    if totals["short"]:
+        warn_if_short(totals["short"]["lines"], totals["short"]["skipped"], totals["short"]["source_file"])
+    return Blocks(table, totals["new"], totals["rows"] is None or within_limits(totals))
 
 
-def with_position(rows: DataFrame, blocks: DataFrame, base: int = 0) -> DataFrame:
+def with_position(rows: DataFrame, blocks: Blocks, base: int = 0) -> DataFrame:
     """Add ``source_line``, ``skipped`` and ``source_pos``.
 
     ``source_line`` is the line number in the file, ``source_pos`` is
@@ -66,8 +91,9 @@ def with_position(rows: DataFrame, blocks: DataFrame, base: int = 0) -> DataFram
     count in path order and lines in file order, however Spark cuts and
     schedules the files. ``rows`` must come from a written table.
     """
-    placed = left_join_blocks(rows, blocks.drop("file_lines", "new_lines"), ["source_file", "source_block"])
+    side = blocks.table.drop("block_rows", "block_new")
+    placed = rows.join(F.broadcast(side) if blocks.small else side, ["source_file", "source_block"], "left")
     line = F.col("line_start") + F.col("source_row") - F.col("block_first")
-    position = F.lit(base) + F.col("new_start") + line - F.col("skipped")
+    position = F.lit(base) + F.col("new_start") + line - F.greatest("line_start", "skipped")
     kept = [c for c in rows.columns if c not in COORDINATES]
     return placed.select(position.alias("source_pos"), line.alias("source_line"), "skipped", *kept)

@@ -42,9 +42,10 @@ def first_claims(rows: DataFrame, key: str, position: str, eligible: Column) ->
 
 def stored_claims(rows: DataFrame, key: str, stored: DataFrame) -> DataFrame:
     """Keys of this batch that the table already holds, claimed before position 0."""
-    keys = rows.select(key).distinct()
-    side = F.broadcast(keys) if fits_broadcast(keys) else keys
-    taken = stored.select(F.col(stored.columns[0]).cast("string").alias(key)).join(side, key, "left_semi")
+    keys = rows.select(key)
+    small = fits_broadcast(keys)
+    keys = F.broadcast(keys.distinct()) if small else keys.distinct()
+    taken = stored.select(F.col(stored.columns[0]).cast("string").alias(key)).join(keys, key, "left_semi")
     return taken.distinct().select(key, F.lit(-1).cast("bigint").alias("first_pos"))
 
 

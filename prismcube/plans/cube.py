@@ -63,10 +63,11 @@ def generate_cube(
     measure: str = CUBE_MEASURE,
 ) -> dict:
     """Compute all cuboids of the whole fact table; returns the commit record."""
-    loaded = versions.latest(spark, root, "load")
+    heads = versions.heads(spark, root)
+    loaded, last = heads["load", None], heads["cube", None]
     rows = fact_table(spark, root, contract, loaded).select(*dims, measure)
     state = merged_state(None, full_cube(rows, dims, measure), dims)
-    return write_cube(spark, root, state, versions.latest(spark, root, "cube"), loaded["watermark"])
+    return write_cube(spark, root, state, last, loaded["watermark"])
 
 
 def refresh_cube(
@@ -77,7 +78,8 @@ def refresh_cube(
     measure: str = CUBE_MEASURE,
 ) -> dict:
     """Merge the rows loaded since the last cube version; does nothing when there are none."""
-    loaded, last = versions.latest(spark, root, "load"), versions.latest(spark, root, "cube")
+    heads = versions.heads(spark, root)
+    loaded, last = heads["load", None], heads["cube", None]
     if not versions.has_new(loaded, last):
         return last
     rows = new_rows(spark, root, contract, [*dims, measure], last["watermark"], loaded)
@@ -91,9 +93,9 @@ def merge_batch(
 ) -> dict:
     """Merge one micro-batch of fact rows, unless ``source`` committed it before."""
     spark = batch.sparkSession
-    cubes = versions.heads(spark, root, "cube")
-    last = cubes[None]
-    if batch_id <= cubes[source]["batch_id"]:
+    heads = versions.heads(spark, root)
+    last = heads["cube", None]
+    if batch_id <= heads["cube", source]["batch_id"]:
         return last
     state = merged_state(stored_cube(spark, root, last), full_cube(batch, dims, measure), dims)
     return write_cube(spark, root, state, last, last["watermark"], source=source, batch_id=batch_id)

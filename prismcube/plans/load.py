@@ -11,11 +11,11 @@ from ..contract import Contract
 from ..operators import dictionary
 from ..operators.numbering import source_blocks, with_position
 from ..operators.validation import REASON, check_rows, reconcile, typed
-from ..scratch import checkpointed
 from ..sources.csv import BAD_WIDTH, list_files, read_rows, with_row
-from ..sources.tables import resume_scan, scan_range, warn_if_short
+from ..sources.tables import resume_scan, scan_range
 
 ROW_ID = "row_id"
+FILE_SIZES = "source_file string, path string, file_size bigint"
 FILES = "source string, source_file string, file_size bigint, lines bigint"
 
 
@@ -160,49 +160,36 @@ def append_load(spark: SparkSession, source: str, root: str, contract: Contract)
     last = versions.latest(spark, root, "load")
     consumed = consumed_files(spark, root, source, last)
     listed = list_files(spark, source).join(consumed, "source_file", "left")
-    changed = checkpointed(listed.where(~F.col("file_size").eqNullSafe(F.col("seen_size"))))
-    paths = [row["path"] for row in changed.select("path").collect()]
-    if not paths:
+    changed = listed.where(~F.col("file_size").eqNullSafe(F.col("seen_size"))).drop("seen_size", "lines").collect()
+    if not changed:
         return last
 
-    staged = stage(read_rows(spark, sorted(paths), contract), root)
+    staged = stage(read_rows(spark, sorted(f["path"] for f in changed), contract), root)
     blocks = source_blocks(staged, consumed.select("source_file", "lines"))
-    lines = new_lines(blocks)
-    if not lines:
+    if not blocks.new_lines:
         return last
     placed = with_position(staged, blocks, last["watermark"])
     rows = resume_scan(placed, "skipped", "source_line").drop("skipped", "source_line")
 
-    counted = blocks.select("source_file", F.greatest("file_lines", "skipped").alias("lines")).distinct()
-    files = changed.drop("lines").join(counted, "source_file").select(
-        F.lit(source).alias("source"), "source_file", "file_size", "lines"
-    )
-    files.coalesce(1).write.mode("overwrite").parquet(f"{root}/files/load_version={last['version'] + 1}")
-    return append_positioned(spark, root, rows, contract, last, lines, source=source)
+    line_end = F.col("line_start") + F.col("block_rows")
+    lines = blocks.table.groupBy("source_file").agg(F.max(F.greatest(line_end, "skipped")).alias("lines"))
+    files = spark.createDataFrame(changed, FILE_SIZES).join(lines, "source_file")
+    files = files.select(F.lit(source).alias("source"), "source_file", "file_size", "lines")
+    files.write.mode("overwrite").parquet(f"{root}/files/load_version={last['version'] + 1}")
+    return append_positioned(spark, root, rows, contract, last, blocks.new_lines, source=source)
 
 
 def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract, source: str) -> dict:
     """Load one micro-batch of landing rows, unless ``source`` committed it before."""
     spark = batch.sparkSession
-    loads = versions.heads(spark, root, "load")
-    last = loads[None]
-    if batch_id <= loads[source]["batch_id"]:
+    heads = versions.heads(spark, root)
+    last = heads["load", None]
+    if batch_id <= heads["load", source]["batch_id"]:
         return last
     staged = stage(with_row(batch), root)
     blocks = source_blocks(staged)
     rows = with_position(staged, blocks, last["watermark"]).drop("skipped", "source_line")
-    return append_positioned(spark, root, rows, contract, last, new_lines(blocks), source=source, batch_id=batch_id)
-
-
-def new_lines(blocks: DataFrame) -> int:
-    """Lines that were not skipped; warns about files that lost lines since they were read."""
-    files = blocks.select("source_file", "file_lines", "skipped", "new_lines").distinct()
-    total = F.coalesce(F.sum("new_lines"), F.lit(0)).alias("total")
-    short = F.max_by(F.struct("source_file", "file_lines", "skipped"), F.col("skipped") - F.col("file_lines"))
-    row = files.agg(total, short.alias("short")).first()
-    if row["short"]:
-        warn_if_short(row["short"]["file_lines"], row["short"]["skipped"], row["short"]["source_file"])
-    return row["total"]
+    return append_positioned(spark, root, rows, contract, last, blocks.new_lines, source=source, batch_id=batch_id)
 
 
 def new_rows(

@@ -43,18 +43,22 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
         raise
 
 
-def heads(spark: SparkSession, root: str, kind: str) -> dict[str | None, dict]:
-    """The newest record of each source (under ``None``: of all), all-zero where there is none."""
-    records = commits(spark, root).where(F.col("kind") == kind)
-    newest = records.groupBy("source").agg(F.max_by(F.struct(*records.columns), "version").alias("r"))
-    by_source = {row["source"]: row["r"].asDict() for row in newest.collect()}
-    last = max(by_source.values(), key=lambda r: r["version"], default=NOTHING | {"kind": kind})
-    return defaultdict(lambda: NOTHING | {"kind": kind}, by_source | {None: last})
+def heads(spark: SparkSession, root: str) -> dict[tuple[str, str | None], dict]:
+    """The newest record per ``(kind, source)``, and per ``(kind, None)`` of all sources.
+
+    All-zero where there is none.
+    """
+    records = commits(spark, root)
+    newest = records.groupBy("kind", "source").agg(F.max_by(F.struct(*records.columns), "version").alias("r"))
+    found = defaultdict(lambda: NOTHING)
+    for row in sorted((r["r"].asDict() for r in newest.collect()), key=lambda r: r["version"]):
+        found[row["kind"], row["source"]] = found[row["kind"], None] = row
+    return found
 
 
 def latest(spark: SparkSession, root: str, kind: str) -> dict:
     """The newest record of a kind; an all-zero one when there is none."""
-    return heads(spark, root, kind)[None]
+    return heads(spark, root)[kind, None]
 
 
 def commit(spark: SparkSession, root: str, kind: str, **fields) -> dict:

@@ -1,6 +1,7 @@
 """Every registered query against its SQL equivalent, at the smallest scale."""
 
 import sys
+from functools import cache
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import __spark_entry__ as contract
 from check_oracle import compare, database
 from conftest import plan
+from workload import queries
 
 FOLDER = contract.SMOKE_DIR
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables are not here")
@@ -20,6 +22,14 @@ def db():
     return database(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def orders_loaded_once():
+    """Four queries read the result of the same loads."""
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(queries, "loaded_orders", cache(queries.loaded_orders))
+        yield
+
+
 def test_every_query_has_sql():
     assert contract.queries().keys() == contract.oracle_sql().keys()
 
