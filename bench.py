@@ -13,6 +13,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from prismcube.session import OPTIONS
 from workload.queries import QUERIES
 
 HEADLINE = (
@@ -34,12 +35,11 @@ HEADLINE = (
 
 def session(cpus: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
-    settings = {
+    settings = OPTIONS | {
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.session.timeZone": "UTC",
     }
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -13,10 +13,13 @@ from .joins import left_join, renamed_role
 DATE_PARTS = ("year", "month", "day", "weekday", "quarter")
 
 
-def join_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Left join each dimension on its surrogate key (``{key column: dimension}``)."""
+def join_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame], salted: Collection[str] = ()) -> DataFrame:
+    """Left join each dimension on its surrogate key (``{key column: dimension}``).
+
+    ``salted`` names the keys whose hot values are spread by salting.
+    """
     for key, dim in dims.items():
-        fact = left_join(fact, dim, key)
+        fact = left_join(fact, dim, key, salted=key in salted)
     return fact
 
 
@@ -43,6 +46,7 @@ def denormalise(
     campaigns: DataFrame,
     dates: DataFrame,
     contract: Contract = SALES,
+    salted: Collection[str] = (),
 ) -> DataFrame:
     """All joins, surrogate keys dropped, columns in contract order.
 
@@ -58,6 +62,7 @@ def denormalise(
             "salesperson_sk": salespersons,
             "campaign_sk": campaigns,
         },
+        salted,
     )
     wide = join_store_manager(wide, salespersons)
     wide = join_date_role(wide, dates, "start_date_sk", "campaign_start")

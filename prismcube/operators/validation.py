@@ -14,6 +14,7 @@ from ..sources.csv import BAD_WIDTH
 from .joins import fits_broadcast, left_join_derived
 
 REASON = "reject_reason"
+EARLY, LATE = "_early_reason", "_late_reason"
 
 
 def check_columns(df: DataFrame, contract: Contract) -> DataFrame:
@@ -50,13 +51,13 @@ def stored_claims(rows: DataFrame, key: str, stored: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(
-    rows: DataFrame, column: str, position: str, eligible: Column, stored: DataFrame | None = None
+    rows: DataFrame, key: str, position: str, eligible: Column, stored: DataFrame | None = None
 ) -> DataFrame:
     """Add ``is_duplicate``: a stored row or an earlier eligible row has the same value.
 
     A missing value counts as the empty string. Rejected rows claim nothing.
     """
-    keyed = rows.withColumn("_key", F.coalesce(F.col(column).cast("string"), F.lit("")))
+    keyed = rows.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("")))
     claims = first_claims(keyed, "_key", position, eligible)
     if stored is not None:
         claims = claims.unionByName(stored_claims(keyed, "_key", stored))
@@ -66,6 +67,36 @@ def mark_duplicates(
     return marked.select(*rows.columns, duplicate.alias("is_duplicate"))
 
 
+def row_checks(rows: DataFrame, contract: Contract) -> list[Column]:
+    """The checks that need no other row, as two reasons: those before and those after the unique check."""
+    bad_width = F.col(BAD_WIDTH).isNotNull() if BAD_WIDTH in rows.columns else F.lit(False)
+    early, late = [F.when(bad_width, F.lit("width"))], [F.lit(None).cast("string")]
+    reasons = early
+    for spec in contract.columns:
+        if spec.not_null:
+            reasons.append(F.when(is_missing(F.col(spec.name)), F.lit(f"not_null:{spec.name}")))
+        if spec.unique:
+            reasons = late
+    return [F.coalesce(*early).alias(EARLY), F.coalesce(*late).alias(LATE)]
+
+
+def judge(
+    rows: DataFrame, contract: Contract, position: str, key: str | None = None, stored: DataFrame | None = None
+) -> DataFrame:
+    """Replace the two reasons of ``row_checks`` by ``reject_reason``, which includes the unique check.
+
+    ``key`` holds the text of the unique column, by default under its own name.
+    """
+    kept = [c for c in rows.columns if c not in (EARLY, LATE)]
+    if not contract.unique_columns:
+        return rows.select(*kept, F.coalesce(EARLY, LATE).alias(REASON))
+    name = contract.unique_columns[0]
+    eligible = F.col(EARLY).isNull() & F.col(LATE).isNull()
+    marked = mark_duplicates(rows, key or name, position, eligible, stored)
+    duplicate = F.when(F.col("is_duplicate"), F.lit(f"unique:{name}"))
+    return marked.select(*kept, F.coalesce(F.col(EARLY), duplicate, F.col(LATE)).alias(REASON))
+
+
 def check_rows(
     rows: DataFrame, contract: Contract, position: str = "source_pos", stored: DataFrame | None = None
 ) -> DataFrame:
@@ -74,22 +105,7 @@ def check_rows(
     ``stored`` holds the values of the unique column that are already loaded.
     """
     check_columns(rows, contract)
-    bad_width = F.col(BAD_WIDTH).isNotNull() if BAD_WIDTH in rows.columns else F.lit(False)
-    eligible = ~bad_width
-    for name in contract.not_null_columns:
-        eligible = eligible & ~is_missing(F.col(name))
-
-    marked = rows
-    for name in contract.unique_columns:
-        marked = mark_duplicates(marked, name, position, eligible, stored)
-
-    reasons = [F.when(bad_width, F.lit("width"))]
-    for spec in contract.columns:
-        if spec.not_null:
-            reasons.append(F.when(is_missing(F.col(spec.name)), F.lit(f"not_null:{spec.name}")))
-        if spec.unique:
-            reasons.append(F.when(F.col("is_duplicate"), F.lit(f"unique:{spec.name}")))
-    return marked.withColumn(REASON, F.coalesce(*reasons)).select(*rows.columns, REASON)
+    return judge(rows.select("*", *row_checks(rows, contract)), contract, position, stored=stored)
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -106,7 +122,7 @@ def summary(checked: DataFrame) -> DataFrame:
     return checked.groupBy(reason).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def typed(rows: DataFrame, contract: Contract, extra: Sequence[str] = ()) -> DataFrame:
+def typed(rows: DataFrame, contract: Contract, extra: Sequence[str | Column] = ()) -> DataFrame:
     """Text columns converted to contract types, in contract order, after ``extra`` columns."""
     columns = [
         convert(F.col(spec.name), contract.spark_type(spec), contract.null_policy).alias(spec.name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,11 +10,12 @@ from .. import versions
 from ..contract import Contract
 from ..operators import dictionary
 from ..operators.numbering import source_blocks, with_position
-from ..operators.validation import REASON, check_rows, reconcile, typed
-from ..sources.csv import BAD_WIDTH, list_files, read_rows, with_row
+from ..operators.validation import REASON, check_columns, judge, reconcile, row_checks, typed
+from ..sources.csv import BAD_WIDTH, COORDINATES, list_files, read_rows, with_row
 from ..sources.tables import resume_scan, scan_range
 
 ROW_ID = "row_id"
+KEY = "unique_text"
 FILE_SIZES = "source_file string, path string, file_size bigint"
 FILES = "source string, source_file string, file_size bigint, lines bigint"
 
@@ -79,11 +80,19 @@ def consumed_files(spark: SparkSession, root: str, source: str, last: dict) -> D
     return newest.select("source_file", F.col("f.file_size").alias("seen_size"), F.col("f.lines").alias("lines"))
 
 
-def stage(rows: DataFrame, root: str) -> DataFrame:
-    """Write landing rows once; the checks then read columns instead of parsing text again."""
+def stage(rows: DataFrame, contract: Contract, root: str) -> DataFrame:
+    """Write landing rows once, checked row by row and converted.
+
+    What follows reads columns instead of parsing text again, and only
+    passes most of them on.
+    """
+    check_columns(rows, contract)
+    texts = [F.col(c).cast("string").alias(KEY) for c in contract.unique_columns]
+    extra = [*COORDINATES, *row_checks(rows, contract), F.col(BAD_WIDTH).alias("raw_line"), *texts]
+    prepared = typed(rows, contract, extra)
     path = f"{root}/staged"
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    prepared.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(prepared.schema).parquet(path)
 
 
 def unstage(spark: SparkSession, root: str) -> None:
@@ -94,7 +103,7 @@ def unstage(spark: SparkSession, root: str) -> None:
 def append_positioned(
     spark: SparkSession, root: str, rows: DataFrame, contract: Contract, last: dict, lines: int, **origin
 ) -> dict:
-    """Check, convert and append ``lines`` rows; commit rows, codes and watermark at once.
+    """Judge and append ``lines`` staged rows; commit rows, codes and watermark at once.
 
     ``row_id`` is the position carried by the rows. It continues at the
     watermark of the ``last`` load and grows with every load; rejected rows
@@ -105,31 +114,18 @@ def append_positioned(
     stored = None
     if contract.unique_columns and last["total_rows"]:
         stored = fact_table(spark, root, contract, last).select(*contract.unique_columns)
-    checked = check_rows(rows, contract, "source_pos", stored)
-
-    counts = Observation(f"load {version}")
-    reason = F.col(REASON)
-    extra = ["source_pos", REASON, BAD_WIDTH]
-    out = typed(checked, contract, extra).select(
-        F.col("source_pos").alias(ROW_ID),
-        *contract.names,
-        REASON,
-        F.col(BAD_WIDTH).alias("raw_line"),
-        reason.isNotNull().alias("rejected"),
-    )
-    out = out.observe(
-        counts,
-        F.count(F.lit(1)).alias("lines"),
-        F.count(reason).alias("refused"),
-        F.count(F.when(reason == "width", 1)).alias("width"),
-    )
+    checked = judge(rows, contract, "source_pos", KEY, stored)
+    rejected = F.col(REASON).isNotNull().alias("rejected")
+    out = checked.select(F.col("source_pos").alias(ROW_ID), *contract.names, REASON, "raw_line", rejected)
     out.write.mode("overwrite").partitionBy("rejected").parquet(path)
-    seen = counts.get
 
-    appended = seen["lines"] - seen["refused"]
+    plain = T.StructType([f for f in stored_schema(contract).fields if f.name != "load_version"])
+    written = spark.read.schema(plain).parquet(path)
+    refused, width = F.col(REASON).isNotNull(), F.col(REASON) == "width"
+    counts = written.agg(F.count(F.lit(1)), F.count_if(refused & ~width), F.count_if(width)).first()
+    appended = counts[0] - counts[1] - counts[2]
     if contract.dictionary_columns:
-        plain = T.StructType([f for f in stored_schema(contract).fields if f.name != "load_version"])
-        batch = spark.read.schema(plain).parquet(path).where(~F.col("rejected"))
+        batch = written.where(~F.col("rejected"))
         entries = dictionary.new_entries(code_table(spark, root, last), batch, contract.dictionary_columns, ROW_ID)
         entries.write.mode("overwrite").parquet(f"{root}/dictionary/load_version={version}")
 
@@ -141,8 +137,8 @@ def append_positioned(
         watermark=last["watermark"] + lines,
         rows=appended,
         total_rows=last["total_rows"] + appended,
-        errors=seen["refused"] - seen["width"],
-        width_errors=seen["width"],
+        errors=counts[1],
+        width_errors=counts[2],
         path=path,
         **origin,
     )
@@ -164,7 +160,7 @@ def append_load(spark: SparkSession, source: str, root: str, contract: Contract)
     if not changed:
         return last
 
-    staged = stage(read_rows(spark, sorted(f["path"] for f in changed), contract), root)
+    staged = stage(read_rows(spark, sorted(f["path"] for f in changed), contract), contract, root)
     blocks = source_blocks(staged, consumed.select("source_file", "lines"))
     if not blocks.new_lines:
         return last
@@ -186,7 +182,7 @@ def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract,
     last = heads["load", None]
     if batch_id <= heads["load", source]["batch_id"]:
         return last
-    staged = stage(with_row(batch), root)
+    staged = stage(with_row(batch), contract, root)
     blocks = source_blocks(staged)
     rows = with_position(staged, blocks, last["watermark"]).drop("skipped", "source_line")
     return append_positioned(spark, root, rows, contract, last, blocks.new_lines, source=source, batch_id=batch_id)

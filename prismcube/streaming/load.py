@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -14,14 +14,21 @@ from ..sources.csv import landing_options, landing_schema, with_block
 
 
 def stream_load(
-    spark: SparkSession, landing: str, root: str, contract: Contract, checkpoint: str, **trigger
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    contract: Contract,
+    checkpoint: str,
+    options: Mapping[str, str] | None = None,
+    **trigger,
 ) -> StreamingQuery:
     """Load every CSV file that lands in a folder; the checkpoint remembers the files.
 
-    ``trigger`` goes to ``DataStreamWriter.trigger``, by default
+    ``options`` go to the reader, such as ``maxFilesPerTrigger`` to bound a
+    batch. ``trigger`` goes to ``DataStreamWriter.trigger``, by default
     ``availableNow=True``: load what is there, then stop.
     """
-    reader = spark.readStream.schema(landing_schema(contract)).options(**landing_options())
+    reader = spark.readStream.schema(landing_schema(contract)).options(**landing_options(), **(options or {}))
     rows = with_block(reader.csv(landing))
 
     def load(batch: DataFrame, batch_id: int) -> None:

@@ -6,17 +6,18 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from prismcube.session import OPTIONS  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     work = tmp_path_factory.mktemp("spark")
     builder = SparkSession.builder.master("local[4]").appName("tests")
-    settings = {
+    settings = OPTIONS | {
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.session.timeZone": "UTC",
         "spark.checkpoint.dir": str(work / "checkpoints"),
         "spark.sql.warehouse.dir": str(work / "warehouse"),
     }

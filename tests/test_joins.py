@@ -153,6 +153,11 @@ def test_denormalise(small_star):
     assert (three["product_id"], three["campaign_end_date"], three["campaign_end_year"]) == (None, None, None)
 
 
+def test_denormalise_with_salted_keys(small_star):
+    salted = star.denormalise(**small_star, salted=["customer_sk", "product_sk"])
+    assert rows(salted) == rows(star.denormalise(**small_star))
+
+
 def test_repeated_dimension_key_multiplies_rows(small_star):
     small_star["customers"] = small_star["customers"].unionAll(small_star["customers"])
     assert star.denormalise(**small_star).count() == 5

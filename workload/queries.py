@@ -9,11 +9,11 @@ from prismcube import versions
 from prismcube.contract import CUBE_DIMENSIONS, SALES, ColumnSpec, Contract
 from prismcube.functions.conversion import to_float_lenient, to_int_lenient
 from prismcube.functions.measures import finish
-from prismcube.operators import columns, cube, dictionary, star, validation
+from prismcube.operators import columns, cube, dictionary, numbering, star, validation
 from prismcube.operators.joins import left_join, renamed_role
 from prismcube.plans import cube as stored
 from prismcube.plans import load
-from prismcube.scratch import scratch_path
+from prismcube.scratch import checkpointed, scratch_path
 from prismcube.sinks.csv import write_csv
 from prismcube.sinks.cuboids import export_cuboids, ordered_cuboid, publish_tables
 from prismcube.sources import csv, tables
@@ -235,9 +235,9 @@ def validation_summary(spark: SparkSession, sf: str) -> DataFrame:
     rows = order_rows(spark, sf)
     land(rows, landing, 1)
     land(rows.withColumn("surplus", F.lit("x")), landing, 2)
-    staged = load.stage(csv.read_rows(spark, f"{landing}/*", ORDER_CONTRACT), landing + "_staged")
-    placed = load.with_position(staged, load.source_blocks(staged))
-    return validation.summary(validation.check_rows(placed, ORDER_CONTRACT))
+    staged = load.stage(csv.read_rows(spark, f"{landing}/*", ORDER_CONTRACT), ORDER_CONTRACT, landing + "_checked")
+    placed = numbering.with_position(staged, numbering.source_blocks(staged))
+    return validation.summary(validation.judge(placed, ORDER_CONTRACT, "source_pos", load.KEY))
 
 
 def contract_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -302,7 +302,7 @@ def dict_extend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dict_encode(spark: SparkSession, sf: str) -> DataFrame:
-    return dictionary.encode(coded_rows(spark, sf), dict_build(spark, sf), CODED)
+    return dictionary.encode(coded_rows(spark, sf), checkpointed(dict_build(spark, sf)), CODED)
 
 
 def dict_decode(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,7 +310,7 @@ def dict_decode(spark: SparkSession, sf: str) -> DataFrame:
     rows = coded_rows(spark, sf)
     end = rows.count()
     first = tables.scan_range(rows, rows.columns, 0, end // 10, "o_orderkey")
-    early = dictionary.build_dictionary(first, CODED, "o_orderkey")
+    early = checkpointed(dictionary.build_dictionary(first, CODED, "o_orderkey"))
     return dictionary.decode(dict_encode(spark, sf), early, CODED)
 
 
