@@ -2,10 +2,10 @@
 
 Dimension joins carry no hint: Spark broadcasts a side whose size it puts
 below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both
-sides, where adaptive execution splits the partition of a hot key. A small
-derived table, whose size Spark cannot estimate, is measured before it is
-broadcast. Beyond the limit, or on request, the left rows of hot keys are
-salted.
+sides, where adaptive execution splits the partition of a hot key. A derived
+table, whose size Spark cannot estimate, is measured before it is broadcast
+(``measured``, ``left_join_derived``). Where adaptive execution cannot help,
+the left rows of hot keys are salted.
 """
 
 from __future__ import annotations
@@ -44,6 +44,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return within_limits(df.agg(*size_columns(df)).first())
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it is small enough.
+
+    For dimensions that are themselves joins: Spark takes the product of the
+    joined sizes for theirs and would shuffle the fact.
+    """
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """At most ``HOT_KEYS`` values of ``key`` that hold over ``HOT_SHARE`` of the rows.
 

@@ -85,5 +85,5 @@ def publish_tables(spark: SparkSession, folder: str, location: str, database: st
         return name, action
 
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     return run_jobs(spark, [job(*found) for found in discover(spark, folder)])

@@ -75,6 +75,15 @@ def test_dimension_within_the_threshold_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(joins.left_join(left, right, "k"))
 
 
+def test_dimension_that_is_a_join_is_measured(spark, conf, monkeypatch):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    left = spark.range(100).withColumnRenamed("id", "k")
+    right = left.join(left.withColumn("v", F.lit("a")), "k")
+    assert "BroadcastHashJoin" in plan(joins.left_join(left, joins.measured(right), "k"))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    assert "BroadcastHashJoin" not in plan(joins.left_join(left, joins.measured(right), "k"))
+
+
 def test_columns(spark):
     df = spark.createDataFrame([(1, 2, "x")], "a int, b_sk int, c string")
     assert columns.rename(df, {"a": "z", "nope": "y"}).columns == ["z", "b_sk", "c"]

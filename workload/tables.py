@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.operators.joins import left_join
+from prismcube.operators.joins import left_join, measured
 from prismcube.sources.dates import date_dimension
 
 # Days of the date dimension: from before the first order to after the last shipment.
@@ -137,9 +137,9 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     return {
         "fact": fact,
-        "customers": customers,
+        "customers": measured(customers),
         "products": products,
-        "stores": stores,
+        "stores": measured(stores),
         "salespersons": salespersons,
         "campaigns": campaigns,
         "dates": date_dimension(spark, FIRST_DAY, LAST_DAY),
