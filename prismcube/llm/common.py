@@ -7,13 +7,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prismcube.scratch import scratch_path
 
 #: Bytes of text that a task holds as Python or numpy values at a time; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,7 +41,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
     """The batches, cut so that the texts of one take about ``CHUNK_BYTES``."""
     for batch in batches:
         start, held = 0, 0
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         for i, n in enumerate(lengths):
             if i > start and held + (n or 0) > CHUNK_BYTES:
                 yield batch.slice(start, i - start)
@@ -79,32 +80,46 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def word_hashes(texts: list[bytes], drop: bytes = b" \t\n\x0b\x0c\r") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Classes of bytes: what separates words, marks, and the rest, which makes up words.
+SEPARATOR, MARK, LETTER = 0, 1, 2
+
+
+@lru_cache(maxsize=4)
+def _byte_tables(marks: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte with A-Z read as a-z, and its class; without ``marks`` they belong to words."""
+    lower = np.arange(256, dtype=np.uint8)
+    lower[65:91] += 32
+    kinds = np.full(256, LETTER, dtype=np.uint8)
+    if marks:
+        kinds[[i for i in range(33, 127) if not chr(i).isalnum()]] = MARK
+    kinds[[32, *range(9, 14)]] = SEPARATOR
+    return lower, kinds
+
+
+def word_hashes(texts: list[bytes], marks: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash the words of all texts at once.
 
-    Words are runs of bytes outside ``drop``, with A-Z read as a-z. Returns
-    the words' hashes, the number of words of each text, and where each word
-    starts and ends in its text, in bytes.
+    Words are runs of bytes other than blanks, tabs and line ends, with A-Z
+    read as a-z; with ``marks``, runs of ASCII punctuation are words of their
+    own. Returns the words' hashes, the number of words of each text, and where
+    each word starts and ends in its text, in bytes.
     """
+    lower, kinds = _byte_tables(marks)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     joined = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    table = np.arange(256, dtype=np.uint8)
-    table[65:91] += 32
-    table[list(drop)] = 0
-    table[10] = 0  # between two texts
-    codes = table[joined]
-    inside = np.zeros(len(codes) + 1, dtype=bool)
-    np.not_equal(codes, 0, out=inside[1:])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[0::2], edges[1::2]
-    size = 1 << max(16, len(codes).bit_length())
-    sums = np.empty(len(codes) + 1, dtype=np.uint64)
+    kind = np.zeros(len(joined) + 2, dtype=np.uint8)
+    kind[1:-1] = kinds[joined]
+    edges = np.flatnonzero(kind[1:] != kind[:-1])
+    starts, ends = edges[:-1], edges[1:]
+    words = kind[starts + 1] != SEPARATOR
+    starts, ends = starts[words], ends[words]
+    size = 1 << max(16, len(joined).bit_length())
+    sums = np.empty(len(joined) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _powers(BASE, size)[: len(codes)], out=sums[1:])
+    np.cumsum((lower[joined].astype(np.uint64) + np.uint64(1)) * _powers(BASE, size)[: len(joined)], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _powers(BASE_INVERSE, size)[starts])
     bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
-    first = np.searchsorted(starts, bounds)
-    counts = np.diff(first)
+    counts = np.diff(np.searchsorted(starts, bounds))
     shift = np.repeat(bounds[:-1], counts)
     return hashes, counts, starts - shift, ends - shift
 

@@ -3,17 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from prismcube.llm import mixing
-from prismcube.llm.common import table
+from prismcube.llm import language_id, mixing, pii, quality, secret_scan, url_model
+from prismcube.llm.common import crc32_remainder, table
+
+
+def held_out(docs: DataFrame, divisor: int, remainder: int) -> DataFrame:
+    """``docs`` with whether a document is held out; one without an id never is, nor is it learned from."""
+    return docs.withColumn("held_out", F.coalesce(crc32_remainder(F.col("doc_id"), divisor) == remainder, F.lit(False)))
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = held_out(table(spark, folder, "documents").select("doc_id", "text", "lang"), 4, 2)
+    model = language_id.train(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return language_id.identify(docs, model)
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_model.filter_urls(table(spark, folder, "pages"))
+
+
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, folder, "documents"))
 
 
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+def quality_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled ids that may be learned from."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    return labels.where(crc32_remainder(F.col("doc_id"), 3) != 1)
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights = quality.train(docs, quality_labels(spark, folder))
+    return quality.score_quality(held_out(docs, 3, 1), weights)
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_url_filter": op3_url_filter,
+    "op4_personal_data": op4_personal_data,
+    "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
