@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.llm import language_id, mixing, pii, quality, secret_scan, url_model
+from prismcube.llm import language_id, mixing, pii, quality, secret_scan, simhash, url_model, wavelet
 from prismcube.llm.common import crc32_remainder, table
 
 
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, model)
 
 
+def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return wavelet.encode_documents(table(spark, folder, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_model.filter_urls(table(spark, folder, "pages"))
 
@@ -28,6 +32,10 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_personal_data(table(spark, folder, "documents"))
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, folder, "documents"))
 
@@ -50,8 +58,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_token_shards": op2_token_shards,
     "op3_url_filter": op3_url_filter,
     "op4_personal_data": op4_personal_data,
+    "op7_simhash": op7_simhash,
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
