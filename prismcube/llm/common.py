@@ -82,27 +82,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: Classes of bytes: what separates words, marks, and the rest, which makes up words.
 SEPARATOR, MARK, LETTER = 0, 1, 2
+#: What ASCII punctuation is: a part of words, words of its own, or nothing but a separator.
+MARKS = {"inside": LETTER, "apart": MARK, "dropped": SEPARATOR}
 
 
 @lru_cache(maxsize=4)
-def _byte_tables(marks: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte with A-Z read as a-z, and its class; without ``marks`` they belong to words."""
+def _byte_tables(marks: str) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte with A-Z read as a-z, and its class."""
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
     kinds = np.full(256, LETTER, dtype=np.uint8)
-    if marks:
-        kinds[[i for i in range(33, 127) if not chr(i).isalnum()]] = MARK
+    kinds[[i for i in range(33, 127) if not chr(i).isalnum()]] = MARKS[marks]
     kinds[[32, *range(9, 14)]] = SEPARATOR
     return lower, kinds
 
 
-def word_hashes(texts: list[bytes], marks: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], marks: str = "inside") -> tuple[np.ndarray, np.ndarray]:
     """Hash the words of all texts at once.
 
     Words are runs of bytes other than blanks, tabs and line ends, with A-Z
-    read as a-z; with ``marks``, runs of ASCII punctuation are words of their
-    own. Returns the words' hashes, the number of words of each text, and where
-    each word starts and ends in its text, in bytes.
+    read as a-z and punctuation treated as ``marks`` says. Returns the words'
+    hashes and the number of words of each text.
     """
     lower, kinds = _byte_tables(marks)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
@@ -120,8 +120,7 @@ def word_hashes(texts: list[bytes], marks: bool = False) -> tuple[np.ndarray, np
     hashes = mix((sums[ends] - sums[starts]) * _powers(BASE_INVERSE, size)[starts])
     bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
     counts = np.diff(np.searchsorted(starts, bounds))
-    shift = np.repeat(bounds[:-1], counts)
-    return hashes, counts, starts - shift, ends - shift
+    return hashes, counts
 
 
 def row_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:

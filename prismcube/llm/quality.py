@@ -40,7 +40,7 @@ class Ftrl:
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the words and word pairs of all texts, and how many each text has."""
-    words, counts, _, _ = word_hashes([t.encode("utf-8", "replace") for t in texts], marks=True)
+    words, counts = word_hashes([t.encode("utf-8", "replace") for t in texts], marks="apart")
     last = np.cumsum(counts) - 1
     follows = np.ones(len(words), dtype=bool)
     follows[last[counts > 0]] = False

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.llm import language_id, mixing, pii, quality, secret_scan, simhash, url_model, wavelet
+from prismcube.llm import decontamination, language_id, mixing, mtree, pii, quality, secret_scan, simhash, url_model, wavelet
 from prismcube.llm.common import crc32_remainder, table
 
 
@@ -32,6 +32,14 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_personal_data(table(spark, folder, "documents"))
 
 
+def op5_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_products(table(spark, folder, "embeddings"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -61,6 +69,8 @@ QUERIES = {
     "op2_token_shards": op2_token_shards,
     "op3_url_filter": op3_url_filter,
     "op4_personal_data": op4_personal_data,
+    "op5_top_products": op5_top_products,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
@@ -68,5 +78,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_top_products": mtree.ORACLE,
     "op9_source_mix": mixing.ORACLE,
 }
