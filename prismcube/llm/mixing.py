@@ -156,7 +156,7 @@ def mixed_documents(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     )
     copies = F.col("_mix_whole") + (document_hash(docs["doc_id"]) < F.col("_mix_below")).cast("long")
     joined = docs.join(found, docs["source"].eqNullSafe(found["_mix_source"]))
-    taken = joined.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_mix_copy"))
+    taken = joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_mix_copy"))
     return taken.drop("_mix_copy")
 
 
