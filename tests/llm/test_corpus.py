@@ -49,7 +49,7 @@ def test_matrix_answers_like_the_plain_list(n, monkeypatch):
 
 def test_words_are_encoded_as_in_their_text():
     draw = random.Random(6)
-    pieces = [" ", " ", " ", "  ", "\n", " \n", "\t", "a", "the", "'s", "é", "東", "　", "\x1c", "​", "12", "!!", "\U0001f600", "<|endoftext|>", "Ġ", "x" * 300]
+    pieces = [" ", " ", " ", "  ", "\n", " \n", "\t", "a", "the", "'s", "é", "東", "　", "\x1c", "​", "12", "!!", "\U0001f600", "<|endoftext|>", "Ġ", "x" * 300, ",", "#.", "don't", "'ll", "ÀÉß", "ŉ", "ª", "a_b", "ɐ", "\n\n"]
     texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 25))) for _ in range(3000)]
     encoder = wavelet.Encoder(VOCABULARY)
     encoder.WORDS = 200
