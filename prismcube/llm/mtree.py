@@ -18,7 +18,7 @@ from __future__ import annotations
 import heapq
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from prismcube.llm.common import written
 
 #: Vectors of a tree, of a leaf page, and entries of a page above.
 BLOCK = 8192
-LEAF = 256
+LEAF = 1024
 FANOUT = 16
 #: Components are floored after multiplication by this.
 SCALE = 64
@@ -42,24 +42,38 @@ RESULT = "query_block long, query_place long, query_id long, vec_id long, score
 
 @dataclass(frozen=True)
 class Page:
-    """Entries of a page; ``children`` are pages, or None where ``objects`` are the vectors themselves."""
+    """A page of routing objects with their ``children``, or of the vectors from ``begin`` to ``end``.
 
-    objects: np.ndarray  # places in the block
+    Vectors of a page stand in the order of their distances to the page's
+    routing object, so those that a bound leaves over are a slice.
+    """
+
+    objects: np.ndarray  # places of the routing objects
     parent_distances: np.ndarray | None  # None in the root, which has no routing object
-    radii: np.ndarray | None
-    children: list[int] | None
+    radii: np.ndarray | None = None
+    children: list[int] | None = None
+    begin: int = 0
+    end: int = 0
 
 
 class MTree:
-    """An M-tree over the rows of ``vectors`` with ids ``ids``."""
+    """An M-tree over the rows of ``vectors`` with ids ``ids``, which are put into the order of its pages."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.vectors = ids, vectors
         squares = (vectors * vectors).sum(axis=1)
         self.length2 = float(squares.max()) if len(squares) else 0.0
+        self.vectors = vectors
         self.lift = np.sqrt(np.maximum(self.length2 - squares, 0))
         self.pages: list[Page] = []
+        self._order: list[np.ndarray] = []
+        self._placed = 0
         self.root = self._build(np.arange(len(ids)), None)
+        order = np.concatenate(self._order)
+        del self._order
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        self.ids, self.vectors, self.lift = ids[order], vectors[order], self.lift[order]
+        self.pages = [replace(p, objects=place[p.objects]) for p in self.pages]
 
     def _distances(self, to: int, places: np.ndarray) -> np.ndarray:
         """Distances of vectors of the block to one of them."""
@@ -71,7 +85,13 @@ class MTree:
         """Add the pages of ``places`` below a routing object and return the topmost one."""
         from_parent = None if routing is None else self._distances(routing, places)
         if len(places) <= LEAF:
-            self.pages.append(Page(places, from_parent, None, None))
+            if from_parent is not None:
+                order = np.argsort(from_parent, kind="stable")
+                places, from_parent = places[order], from_parent[order]
+            self._order.append(places)
+            begin = self._placed
+            self._placed += len(places)
+            self.pages.append(Page(places, from_parent, begin=begin, end=self._placed))
             return len(self.pages) - 1
         # Routing objects far from one another: each next one is the farthest from those before.
         chosen = [0]
@@ -100,39 +120,42 @@ class MTree:
         squares = float(query @ query) + self.length2
         slack = 1e-7 * (1 + np.sqrt(squares))
         best_ids, best_scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        worst = np.inf  # distance beyond which nothing can be among the k
+        worst, least_score = np.inf, -np.inf  # beyond which nothing can be among the k
         waiting: list[tuple[float, int, float]] = [(0.0, self.root, np.nan)]
         while waiting:
             least, number, to_routing = heapq.heappop(waiting)
             if least > worst + slack:
                 break
             page = self.pages[number]
-            objects, radii, children = page.objects, page.radii, page.children
-            if page.parent_distances is not None and worst < np.inf:
-                gap = np.abs(to_routing - page.parent_distances)
-                near = gap <= worst + slack if radii is None else gap - radii <= worst + slack
-                keep = np.flatnonzero(near)
-                objects = objects[keep]
-            else:
-                keep = np.arange(len(objects))
-            scores = self.vectors[objects] @ query
-            if children is None:
-                wanted = scores >= best_scores[-1] if len(best_scores) == k else np.ones(len(scores), dtype=bool)
+            if page.children is None:
+                begin, end = page.begin, page.end
+                if page.parent_distances is not None and worst < np.inf:
+                    # Others are farther from the query than their distances to the routing object allow.
+                    around = np.searchsorted(page.parent_distances, (to_routing - worst - slack, to_routing + worst + slack))
+                    begin, end = begin + int(around[0]), begin + int(around[1])
+                scores = self.vectors[begin:end] @ query
+                wanted = np.flatnonzero(scores >= least_score)
                 if own is not None:
-                    wanted &= objects != own
-                if wanted.any():
-                    ids = np.concatenate((best_ids, self.ids[objects[wanted]]))
+                    wanted = wanted[wanted != own - begin]
+                if len(wanted):
+                    ids = np.concatenate((best_ids, self.ids[begin + wanted]))
                     both = np.concatenate((best_scores, scores[wanted]))
                     order = np.lexsort((ids, -both))[:k]
                     best_ids, best_scores = ids[order], both[order]
                     if len(best_scores) == k:
-                        worst = np.sqrt(max(squares - 2 * best_scores[-1], 0))
+                        least_score = best_scores[-1]
+                        worst = float(np.sqrt(max(squares - 2 * least_score, 0)))
                 continue
-            distances = np.sqrt(np.maximum(squares - 2 * scores, 0))
-            for i, distance in zip(keep.tolist(), distances.tolist(), strict=True):
-                bound = max(distance - radii[i], 0.0)
-                if bound <= worst + slack:
-                    heapq.heappush(waiting, (bound, children[i], distance))
+            objects, radii, children = page.objects, page.radii, page.children
+            keep = np.arange(len(objects))
+            if page.parent_distances is not None and worst < np.inf:
+                keep = np.flatnonzero(np.abs(to_routing - page.parent_distances) - radii <= worst + slack)
+                objects = objects[keep]
+            distances = np.sqrt(np.maximum(squares - 2 * (self.vectors[objects] @ query), 0))
+            bounds = np.maximum(distances - radii[keep], 0)
+            near = np.flatnonzero(bounds <= worst + slack)
+            for i, bound, distance in zip(keep[near].tolist(), bounds[near].tolist(), distances[near].tolist(), strict=True):
+                heapq.heappush(waiting, (bound, children[i], distance))
         return best_ids, best_scores
 
 

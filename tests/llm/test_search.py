@@ -36,6 +36,8 @@ def test_tree_finds_what_brute_force_finds():
     tree = mtree.MTree(ids, vectors)
     assert sum(len(p.objects) for p in tree.pages if p.children is None) == 3000
     assert max(len(p.objects) for p in tree.pages) <= mtree.LEAF
+    assert sorted(zip(tree.ids.tolist(), map(tuple, tree.vectors), strict=True)) == sorted(zip(ids.tolist(), map(tuple, vectors), strict=True))
+    ids, vectors = tree.ids, tree.vectors
     for place in (0, 1, 500, 700, 2999):
         scores = vectors @ vectors[place]
         order = [i for i in np.lexsort((ids, -scores)) if i != place][:20]
