@@ -207,7 +207,7 @@ class Encoder:
     """
 
     #: Most words remembered, and their characters in all.
-    WORDS, CHARACTERS = 600_000, 8_000_000
+    WORDS, CHARACTERS = 1_000_000, 12_000_000
     #: ASCII punctuation but the apostrophe, with which contractions begin.
     MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
     #: Letters below this one are letters in every version of Unicode.
@@ -225,14 +225,12 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         as_bytes = self.tokenizer.pre_tokenizer.pre_tokenize_str
         letters = [c for c in map(chr, range(ord(self.LETTERS_END))) if c.isalpha()]
-        self.bytes_of = str.maketrans({c: as_bytes(c)[0][0] for c in letters} | {" ": "Ġ"})
+        self.bytes_of = str.maketrans({c: as_bytes(c)[0][0] for c in letters})
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
         self.places = _Numbers()
-        self.letters: dict[str, list[int]] = {}
-        self.line_letters: dict[str, list[int]] = {}
         self.marks: dict[str, list[int]] = {}
         self.characters = 0
         self.flat = np.zeros(0, dtype=np.uint32)
@@ -249,29 +247,35 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in encoded]
 
-    def _letters(self, core: str, known: dict[str, list[int]], lead: str) -> list[int] | None:
-        """The ids of a run of letters, with a blank before it or not; None if it isn't one."""
-        ids = known.get(core)
-        if ids is None and core.isalpha() and (core.isascii() or max(core) < self.LETTERS_END):
-            ids = known[core] = [t.id for t in self.tokenizer.model.tokenize((lead + core).translate(self.bytes_of))]
+    def _run(self, line: str, lead: str) -> list[int] | None:
+        """The ids of letters and then marks, with a blank before them or not; None for anything else."""
+        core = line.rstrip(self.MARKS)
+        if not core.isalpha():
+            return None
+        if core.isascii():
+            ids = [t.id for t in self.tokenizer.model.tokenize(lead + core)]
+        elif max(core) < self.LETTERS_END:
+            ids = [t.id for t in self.tokenizer.model.tokenize(lead + core.translate(self.bytes_of))]
+        else:
+            return None
+        if len(core) < len(line):
+            mark = line[len(core) :]
+            if mark not in self.marks:
+                self.marks[mark] = self.tokenizer.encode(mark, add_special_tokens=False).ids
+            ids += self.marks[mark]
         return ids
 
     def _plain(self, word: str) -> list[int] | None:
-        """The ids of a word with its blank, if it is letters and marks; else None."""
-        out: list[int] = []
-        known, lead = self.letters, " "
-        for line in word.split("\n"):
-            core = line.rstrip(self.MARKS)
-            ids = self._letters(core, known, lead)
-            if ids is None:
+        """The ids of a word with its blank, if it is letters and marks, or lines of that; else None."""
+        if "\n" not in word:
+            return self._run(word, "Ġ")
+        first, *lines = word.split("\n")
+        out = self._run(first, "Ġ")
+        for line in lines:
+            ids = self._run(line, "")
+            if out is None or ids is None:
                 return None
-            out += ids if lead else self.line_end + ids
-            if len(core) < len(line):
-                mark = line[len(core) :]
-                if mark not in self.marks:
-                    self.marks[mark] = self.tokenizer.encode(mark, add_special_tokens=False).ids
-                out += self.marks[mark]
-            known, lead = self.line_letters, ""
+            out += self.line_end + ids
         return out
 
     def _learn(self, words: list[str]) -> None:
