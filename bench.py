@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -38,6 +39,7 @@ def session(cpus: str) -> SparkSession:
     settings = OPTIONS | {
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
         "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

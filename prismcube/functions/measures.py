@@ -10,11 +10,11 @@ MEASURES = ("sum_amount", "count", "avg_amount", "min_amount", "max_amount")
 
 
 def measure_state(measure: str) -> list[Column]:
-    """Aggregates of raw rows."""
+    """Aggregates of raw rows; ``count`` counts rows, also those without a measure."""
     col = F.col(measure)
     return [
         F.sum(col).alias("sum_amount"),
-        F.count(col).alias("count"),
+        F.count(F.lit(1)).alias("count"),
         F.min(col).alias("min_amount"),
         F.max(col).alias("max_amount"),
     ]
@@ -31,7 +31,7 @@ def merge_state() -> list[Column]:
 
 
 def average() -> Column:
-    """Sum over count, 0 for an empty group."""
+    """Sum over count, 0 for an empty group, NULL for one without any measure."""
     total = F.col("sum_amount").cast("double")
     return F.when(F.col("count") > 0, total / F.col("count")).otherwise(F.lit(0.0))
 

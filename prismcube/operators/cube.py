@@ -101,27 +101,11 @@ def lookup(cube: DataFrame, dims: Sequence[str], key: dict[str, object]) -> Data
     return filter_equal(cube.where(F.col(MASK) == mask), key).limit(1)
 
 
-def merge_cubes(old: DataFrame, delta: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Groups of both cubes, with the states of common groups merged."""
-    return old.unionByName(delta).groupBy(MASK, *dims).agg(*merge_state())
-
+def merge_states(states: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """One row per group, with the states of rows of the same group merged."""
+    return states.groupBy(MASK, *dims).agg(*merge_state())
 
-def merge_small_delta(old: DataFrame, delta: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """``merge_cubes`` for a delta known to fit a broadcast: the old cube is read but not shuffled.
 
-    Old groups pick up their delta in a broadcast join; delta groups that
-    the old cube lacks are added. ``delta`` should be checkpointed.
-    """
-    keys = [MASK, *dims]
-    side = F.broadcast(delta.select(*[F.col(c).alias(f"_{c}") for c in delta.columns]))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    both = old.join(side, same, "left")
-    new = {
-        "sum_amount": F.coalesce(F.col("sum_amount") + F.col("_sum_amount"), "sum_amount", "_sum_amount"),
-        "count": F.col("count") + F.coalesce("_count", F.lit(0)),
-        "min_amount": F.least("min_amount", "_min_amount"),
-        "max_amount": F.greatest("max_amount", "_max_amount"),
-    }
-    updated = both.select(*keys, *[new[c].alias(c) for c in new])
-    known = F.broadcast(old.join(side, same, "left_semi").select(*[F.col(k).alias(f"_{k}") for k in keys]))
-    return updated.unionByName(delta.join(known, same, "left_anti"))
+def merge_cubes(old: DataFrame, delta: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Groups of both cubes, with the states of common groups merged."""
+    return merge_states(old.unionByName(delta), dims)

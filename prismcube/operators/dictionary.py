@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import fits_broadcast, left_join
+from .joins import left_join, salted_left_joins, size_columns, within_limits
 from .numbering import dense_number
 
 SCHEMA = "`column` string, value string, code bigint"
@@ -47,12 +47,27 @@ def extend_dictionary(
     return dictionary.unionByName(new_entries(dictionary, batch, columns, position))
 
 
-def translate(df: DataFrame, sides: dict[str, DataFrame], small: bool) -> DataFrame:
-    """Replace each column by what its side ``(column, _new)`` says, NULL where it says nothing."""
-    for c, side in sides.items():
-        joined = left_join(df, F.broadcast(side) if small else side, c, salted=not small)
-        df = joined.withColumn(c, F.col("_new")).drop("_new")
-    return df
+def small_columns(dictionary: DataFrame, columns: Sequence[str]) -> set[str]:
+    """The columns whose entries are few enough to broadcast, measured in one group-by."""
+    entries = dictionary.where(F.col("column").isin(list(columns)))
+    sizes = {r["column"]: r for r in entries.groupBy("column").agg(*size_columns(dictionary)).collect()}
+    return {c for c in columns if c not in sizes or within_limits(sizes[c])}
+
+
+def translate(df: DataFrame, sides: dict[str, DataFrame], small: set[str]) -> DataFrame:
+    """Replace each column by what its side ``(column, _new)`` says, NULL where it says nothing.
+
+    Small sides are broadcast; for the others the rows are written once and
+    all their hot values found in one pass.
+    """
+    fresh = {c: side.withColumnRenamed("_new", f"_new_{i}") for i, (c, side) in enumerate(sides.items())}
+    large = {c: side for c, side in fresh.items() if c not in small}
+    if large:
+        df = salted_left_joins(df, large)
+    for c in fresh:
+        if c in small:
+            df = left_join(df, F.broadcast(fresh[c]), c)
+    return df.withColumns({c: F.col(f"_new_{i}") for i, c in enumerate(fresh)})
 
 
 def encode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,7 +77,7 @@ def encode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> Data
         for c in columns
     }
     values = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns})
-    return translate(values, sides, fits_broadcast(dictionary)).select(*df.columns)
+    return translate(values, sides, small_columns(dictionary, columns)).select(*df.columns)
 
 
 def decode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -71,5 +86,5 @@ def decode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> Data
         c: dictionary.where(F.col("column") == c).select(F.col("code").alias(c), F.col("value").alias("_new"))
         for c in columns
     }
-    values = translate(df, sides, fits_broadcast(dictionary))
+    values = translate(df, sides, small_columns(dictionary, columns))
     return values.withColumns({c: F.coalesce(c, F.lit(INVALID)) for c in columns}).select(*df.columns)

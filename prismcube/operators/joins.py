@@ -10,15 +10,18 @@ the left rows of hot keys are salted.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import checkpointed, written
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
-HOT_KEYS = 256
-HOT_SHARE = 0.001
+MOST_HOT_KEYS = 25_000
 
 
 def value_bytes(field: T.StructField) -> Column:
@@ -45,42 +48,63 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def measured(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if it is small enough.
+    """``df``, marked for broadcast if it was measured and is small enough."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
 
-    For dimensions that are themselves joins: Spark takes the product of the
-    joined sizes for theirs and would shuffle the fact.
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it is small although Spark's estimate says otherwise.
+
+    The estimate of a join or a group-by follows the size of its inputs, not
+    of its result. Only a dimension that Spark would not broadcast by itself
+    is measured, in a job of its own.
     """
-    return F.broadcast(df) if fits_broadcast(df) else df
+    spark = df.sparkSession
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = int(str(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
+    return df if estimate <= limit else measured(df)
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """At most ``HOT_KEYS`` values of ``key`` that hold over ``HOT_SHARE`` of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``key, item`` (as text) of the values that hold more rows than an average shuffle partition.
 
-    One pass with a fixed-size frequency sketch. The answer only steers how
-    rows are spread, so an estimate is enough.
+    One pass over ``df`` with a fixed-size frequency sketch per key; the
+    sketches keep as many values as there are partitions. The answer only
+    steers how rows are spread, so an estimate is enough.
     """
-    sketch = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS * 40})").alias("top"),
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, min(partitions, MOST_HOT_KEYS))
+    texts = df.select(*[F.col(f"`{k}`").cast("string").alias(f"k{i}") for i, k in enumerate(keys)])
+    sketch = texts.agg(
+        *[F.expr(f"approx_top_k(k{i}, {most}, {most * 40})").alias(f"k{i}") for i in range(len(keys))],
         F.count(F.lit(1)).alias("rows"),
     )
-    entries = sketch.select(F.explode("top").alias("e"), "rows")
-    return entries.where(F.col("e.count") > F.col("rows") * HOT_SHARE).select(F.col("e.item").alias(key))
+    tops = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"k{i}").alias("top")) for i, k in enumerate(keys)]))
+    entries = sketch.select("rows", tops.alias("t")).select("rows", "t.key", F.explode("t.top").alias("e"))
+    hot = entries.where((F.col("e.count") * partitions > F.col("rows")) & F.col("e.item").isNotNull())
+    return hot.select("key", F.col("e.item").alias("item"))
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Shuffle join on one key with the left rows of hot keys spread by a row hash.
+def salted_left_joins(left: DataFrame, sides: Mapping[str, DataFrame]) -> DataFrame:
+    """Shuffle joins, one after another, with the left rows of hot keys spread.
 
-    The salt comes from the row itself, so a recomputed task gives the same
-    salt. Rows without a key match nothing and are spread too.
+    ``left`` is written once; that table gives the sketches of all keys in one
+    pass and numbers its rows. The salt is drawn from the number, so equal
+    rows are spread too, and a recomputed task reads the same numbers. Rows
+    without a key match nothing and are spread as well.
     """
-    hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(SALTS)).cast("int")
-    salted = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    replicated = right.join(hot, key, "left").withColumn("_salt", F.explode(copies))
-    return salted.drop("_hot").join(replicated.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+    left = written(left.withColumn("_row", F.monotonically_increasing_id()), "left")
+    hot = checkpointed(hot_keys(left, list(sides)))
+    for key, right in sides.items():
+        own = F.broadcast(hot.where(F.col("key") == key).select(F.col("item").alias("_item"), F.lit(True).alias("_hot")))
+        spread = F.pmod(F.xxhash64(F.lit(key), "_row"), F.lit(SALTS)).cast("int")
+        marked = left.join(own, left[key].cast("string") == F.col("_item"), "left").withColumn(
+            "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
+        )
+        copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        copied = right.join(own, right[key].cast("string") == F.col("_item"), "left").withColumn("_salt", F.explode(copies))
+        left = marked.drop("_hot", "_item").join(copied.drop("_hot", "_item"), [key, "_salt"], "left").drop("_salt")
+    return left.drop("_row")
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, salted: bool = False) -> DataFrame:
@@ -89,7 +113,7 @@ def left_join(left: DataFrame, right: DataFrame, key: str, salted: bool = False)
     ``salted`` asks for explicit salting, for sessions or plans in which
     adaptive execution cannot split a hot key.
     """
-    joined = salted_left_join(left, right, key) if salted else left.join(right, key, "left")
+    joined = salted_left_joins(left, {key: right}) if salted else left.join(right, key, "left")
     return joined.select(*left.columns, *[c for c in right.columns if c != key])
 
 

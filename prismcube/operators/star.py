@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..contract import SALES, Contract
 from .columns import drop_suffix
-from .joins import left_join, renamed_role
+from .joins import broadcast_if_small, left_join, renamed_role
 
 DATE_PARTS = ("year", "month", "day", "weekday", "quarter")
 
@@ -51,8 +51,13 @@ def denormalise(
     """All joins, surrogate keys dropped, columns in contract order.
 
     Customers and products, the dimensions that may outgrow a broadcast, come
-    first, while the rows that would be shuffled are still narrow.
+    first, while the rows that would be shuffled are still narrow. A dimension
+    that is derived, and small only in fact, is measured, so the wide rows are
+    never shuffled by a key with a few values.
     """
+    customers, products, stores, salespersons, campaigns, dates = map(
+        broadcast_if_small, (customers, products, stores, salespersons, campaigns, dates)
+    )
     wide = join_dimensions(
         fact,
         {

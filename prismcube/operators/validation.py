@@ -11,7 +11,7 @@ from ..contract import Contract
 from ..functions.conversion import convert, is_missing
 from ..scratch import checkpointed
 from ..sources.csv import BAD_WIDTH
-from .joins import fits_broadcast, left_join_derived
+from .joins import left_join_derived, size_columns, within_limits
 
 REASON = "reject_reason"
 EARLY, LATE = "_early_reason", "_late_reason"
@@ -42,11 +42,19 @@ def first_claims(rows: DataFrame, key: str, position: str, eligible: Column) ->
 
 
 def stored_claims(rows: DataFrame, key: str, stored: DataFrame) -> DataFrame:
-    """Keys of this batch that the table already holds, claimed before position 0."""
+    """Keys of this batch that the table already holds, claimed before position 0.
+
+    Only the stored keys between the batch's least and greatest one are read:
+    the bounds reach the statistics of files and row groups, so a batch of new
+    ids skips the loads before it.
+    """
+    name = stored.columns[0]
     keys = rows.select(key)
-    small = fits_broadcast(keys)
-    keys = F.broadcast(keys.distinct()) if small else keys.distinct()
-    taken = stored.select(F.col(stored.columns[0]).cast("string").alias(key)).join(keys, key, "left_semi")
+    bounds = [F.min(name).alias("low"), F.max(name).alias("high")]
+    measured = rows.agg(*size_columns(keys), *bounds).first()
+    keys = F.broadcast(keys.distinct()) if within_limits(measured) else keys.distinct()
+    near = stored.where(F.col(name).between(F.lit(measured["low"]), F.lit(measured["high"])))
+    taken = near.select(F.col(name).cast("string").alias(key)).join(keys, key, "left_semi")
     return taken.distinct().select(key, F.lit(-1).cast("bigint").alias("first_pos"))
 
 

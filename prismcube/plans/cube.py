@@ -1,37 +1,28 @@
-"""Stored cubes: full generation, incremental refresh, reading."""
+"""Stored cubes: full generation, incremental refresh, reading.
+
+A version of a cube is a list of parts: the cube as it was last written whole,
+and the deltas that were merged since. A refresh writes its delta alone;
+readers merge the parts, one cuboid at a time where they ask for one. Once
+there are ``MAX_PARTS`` of them they are written as one.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import versions
 from ..contract import CUBE_DIMENSIONS, CUBE_MEASURE, Contract
-from ..operators.cube import MASK, full_cube, merge_cubes, merge_small_delta
-from ..operators.joins import fits_broadcast
-from ..scratch import checkpointed
+from ..functions.measures import STATE
+from ..operators.cube import MASK, full_cube, merge_states
 from .load import fact_table, new_rows
 
-
-def write_cube(
-    spark: SparkSession, root: str, state: DataFrame, last: dict, watermark: int, **origin
-) -> dict:
-    """Write a new cube version, one folder per cuboid, then commit it."""
-    version = last["version"] + 1
-    path = versions.version_path(root, "cube", version)
-    state.write.mode("overwrite").partitionBy(MASK).parquet(path)
-    return versions.commit(spark, root, "cube", version=version, watermark=watermark, path=path, **origin)
-
-
-def stored_cube(spark: SparkSession, root: str, last: dict | None = None) -> DataFrame | None:
-    """State of the ``last`` (by default the newest) cube version, ``None`` before the first one."""
-    last = last or versions.latest(spark, root, "cube")
-    if last["path"] is None:
-        return None
-    cube = spark.read.parquet(last["path"])
-    return cube.select(MASK, *[c for c in cube.columns if c != MASK])
+MAX_PARTS = 8
 
 
 def stored_types(state: DataFrame) -> DataFrame:
@@ -40,21 +31,72 @@ def stored_types(state: DataFrame) -> DataFrame:
     return state.withColumn("sum_amount", F.col("sum_amount").cast("decimal(38,2)" if exact else "double"))
 
 
-def merged_state(old: DataFrame | None, delta: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Stored cube and delta in one; a delta of checked size is merged without a shuffle of the cube."""
-    if old is None:
-        return laid_out(stored_types(delta))
-    delta = checkpointed(stored_types(delta))
-    if fits_broadcast(delta):
-        return stored_types(merge_small_delta(old, delta, dims))
-    return laid_out(stored_types(merge_cubes(old, delta, dims)))
-
-
 def laid_out(state: DataFrame) -> DataFrame:
     """Gather each cuboid: the rows of small ones into few files, large ones split."""
     return state.hint("rebalance", MASK)
 
 
+def commit_cube(
+    spark: SparkSession, root: str, state: DataFrame, earlier: Sequence[str], last: dict, watermark: int, **origin
+) -> dict:
+    """Write a part, one folder per cuboid, and commit it together with the ``earlier`` parts."""
+    path = versions.folder(root, last, f"cube/version={last['version'] + 1}")
+    typed = stored_types(state)
+    versions.replace(laid_out(typed).write.partitionBy(MASK), spark, path)
+    part = spark.read.schema(typed.schema).parquet(path)
+    apex = F.coalesce(F.sum(F.when(F.col(MASK) == 0, F.col("count"))), F.lit(0))
+    rows, cuboids = part.agg(apex, F.size(F.collect_set(MASK))).first()
+    parts = [*earlier, path]
+    record = versions.commit(
+        spark, root, "cube", last, watermark=watermark, parts=parts, schema=typed.schema.json(), rows=rows, cuboids=cuboids, **origin
+    )
+    versions.expire(spark, root, record)
+    return record
+
+
+def write_cube(spark: SparkSession, root: str, state: DataFrame, last: dict, watermark: int, **origin) -> dict:
+    """Commit ``state`` as the whole cube."""
+    return commit_cube(spark, root, state, [], last, watermark, **origin)
+
+
+def add_delta(spark: SparkSession, root: str, delta: DataFrame, last: dict, watermark: int, **origin) -> dict:
+    """Commit the ``last`` cube with a delta merged; the cube isn't read unless its parts are many."""
+    parts = last["parts"] or []
+    if len(parts) < MAX_PARTS:
+        return commit_cube(spark, root, delta, parts, last, watermark, **origin)
+    dims = [c for c in delta.columns if c != MASK and c not in STATE]
+    whole = merge_states(stored_parts(spark, last).unionByName(stored_types(delta)), dims)
+    return write_cube(spark, root, whole, last, watermark, **origin)
+
+
+def stored_parts(spark: SparkSession, last: dict) -> DataFrame:
+    """The rows of all parts of a version, not merged."""
+    schema = T.StructType.fromJson(json.loads(last["schema"]))
+    try:
+        base = last["parts"][0].rpartition("/")[0]
+        cube = spark.read.schema(schema).option("basePath", base).parquet(*last["parts"])
+    except AnalysisException as error:
+        if versions.is_missing_path(error):
+            raise LookupError(f"version {last['version']} of the cube has expired") from None
+        raise
+    return cube.select(*schema.names)
+
+
+def stored_cube(spark: SparkSession, root: str, last: dict | None = None) -> DataFrame | None:
+    """State of the ``last`` (by default the newest) cube version, ``None`` before the first one.
+
+    Raises ``LookupError`` for a version that has expired.
+    """
+    last = last or versions.latest(spark, root, "cube")
+    if last["parts"] is None:
+        return None
+    cube = stored_parts(spark, last)
+    if len(last["parts"]) == 1:
+        return cube
+    dims = [c for c in cube.columns if c != MASK and c not in STATE]
+    return stored_types(merge_states(cube, dims))
+
+
 def generate_cube(
     spark: SparkSession,
     root: str,
@@ -66,8 +108,7 @@ def generate_cube(
     heads = versions.heads(spark, root)
     loaded, last = heads["load", None], heads["cube", None]
     rows = fact_table(spark, root, contract, loaded).select(*dims, measure)
-    state = merged_state(None, full_cube(rows, dims, measure), dims)
-    return write_cube(spark, root, state, last, loaded["watermark"])
+    return write_cube(spark, root, full_cube(rows, dims, measure), last, loaded["watermark"], of_version=loaded["version"])
 
 
 def refresh_cube(
@@ -82,10 +123,9 @@ def refresh_cube(
     loaded, last = heads["load", None], heads["cube", None]
     if not versions.has_new(loaded, last):
         return last
-    rows = new_rows(spark, root, contract, [*dims, measure], last["watermark"], loaded)
+    rows = new_rows(spark, root, contract, [*dims, measure], last, loaded)
     delta = full_cube(rows, dims, measure)
-    state = merged_state(stored_cube(spark, root, last), delta, dims)
-    return write_cube(spark, root, state, last, loaded["watermark"])
+    return add_delta(spark, root, delta, last, loaded["watermark"], of_version=loaded["version"])
 
 
 def merge_batch(
@@ -97,5 +137,11 @@ def merge_batch(
     last = heads["cube", None]
     if batch_id <= heads["cube", source]["batch_id"]:
         return last
-    state = merged_state(stored_cube(spark, root, last), full_cube(batch, dims, measure), dims)
-    return write_cube(spark, root, state, last, last["watermark"], source=source, batch_id=batch_id)
+    delta = full_cube(batch, dims, measure)
+    return add_delta(spark, root, delta, last, last["watermark"], source=source, batch_id=batch_id, of_version=last["of_version"])
+
+
+def refresh_report(spark: SparkSession, root: str) -> DataFrame:
+    """One row per cube version: rows merged, cuboids they touch, watermark before and after."""
+    cubes = versions.commits(spark, root).where(F.col("kind") == "cube")
+    return cubes.select("version", "rows", "cuboids", "watermark_before", "watermark", "committed_at")

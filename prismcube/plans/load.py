@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,13 +11,14 @@ from ..contract import Contract
 from ..operators import dictionary
 from ..operators.numbering import source_blocks, with_position
 from ..operators.validation import REASON, check_columns, judge, reconcile, row_checks, typed
+from ..scratch import checkpointed
 from ..sources.csv import BAD_WIDTH, COORDINATES, list_files, read_rows, with_row
 from ..sources.tables import resume_scan, scan_range
 
 ROW_ID = "row_id"
 KEY = "unique_text"
-FILE_SIZES = "source_file string, path string, file_size bigint"
-FILES = "source string, source_file string, file_size bigint, lines bigint"
+FILES = "source_file string, file_size bigint, modified timestamp, lines bigint"
+TABLES = ("rows", "dictionary", "files")
 
 
 def stored_schema(contract: Contract) -> T.StructType:
@@ -27,24 +28,24 @@ def stored_schema(contract: Contract) -> T.StructType:
 
 
 def init_tables(spark: SparkSession, root: str, contract: Contract) -> None:
-    """Create the fact table, code table and file list empty and reset all watermarks."""
-    rows = versions.empty(spark, stored_schema(contract)).drop("load_version", "rejected")
-    rows.write.mode("overwrite").parquet(f"{root}/rows/load_version=0/rejected=false")
-    for name, schema in (("dictionary", dictionary.SCHEMA), ("files", FILES)):
-        versions.empty(spark, schema).write.mode("overwrite").parquet(f"{root}/{name}/load_version=0")
+    """Create the fact table, code table and file list empty and reset all watermarks.
+
+    What was there before, and what a load still running writes, is out of
+    reach from then on.
+    """
     versions.reset(spark, root)
 
 
-def stored_rows(spark: SparkSession, root: str, contract: Contract, last: dict | None = None) -> DataFrame:
-    """Rows of all loads up to ``last`` (the newest commit), with ``load_version`` and ``rejected``."""
-    version = (last or versions.latest(spark, root, "load"))["version"]
-    rows = spark.read.schema(stored_schema(contract)).parquet(f"{root}/rows")
-    return rows.where(F.col("load_version") <= version)
+def stored_rows(spark: SparkSession, root: str, contract: Contract, last: dict | None = None, after: int = 0) -> DataFrame:
+    """Rows of the loads after version ``after`` up to ``last`` (the newest commit), with ``load_version`` and ``rejected``."""
+    last = last or versions.latest(spark, root, "load")
+    rows = versions.read_versions(spark, versions.folder(root, last, "rows"), stored_schema(contract))
+    return rows.where((F.col("load_version") > after) & (F.col("load_version") <= last["version"]))
 
 
-def fact_table(spark: SparkSession, root: str, contract: Contract, last: dict | None = None) -> DataFrame:
+def fact_table(spark: SparkSession, root: str, contract: Contract, last: dict | None = None, after: int = 0) -> DataFrame:
     """Committed accepted rows: ``row_id`` and the contract columns."""
-    return stored_rows(spark, root, contract, last).where(~F.col("rejected")).select(ROW_ID, *contract.names)
+    return stored_rows(spark, root, contract, last, after).where(~F.col("rejected")).select(ROW_ID, *contract.names)
 
 
 def reject_report(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
@@ -55,15 +56,17 @@ def reject_report(spark: SparkSession, root: str, contract: Contract) -> DataFra
 
 def code_table(spark: SparkSession, root: str, last: dict | None = None) -> DataFrame:
     """Committed dictionary entries of all columns."""
-    version = (last or versions.latest(spark, root, "load"))["version"]
-    entries = spark.read.schema(f"{dictionary.SCHEMA}, load_version bigint").parquet(f"{root}/dictionary")
-    return entries.where(F.col("load_version") <= version).drop("load_version")
+    last = last or versions.latest(spark, root, "load")
+    schema = f"{dictionary.SCHEMA}, load_version bigint"
+    entries = versions.read_versions(spark, versions.folder(root, last, "dictionary"), schema)
+    return entries.where(F.col("load_version") <= last["version"]).drop("load_version")
 
 
 def load_report(spark: SparkSession, root: str) -> DataFrame:
-    """One row per load: rows appended, total so far, errors, width errors."""
+    """One row per load: rows appended, total so far, errors, width errors, new and all dictionary entries."""
     loads = versions.commits(spark, root).where(F.col("kind") == "load")
-    return loads.select("version", "watermark", "rows", "total_rows", "errors", "width_errors", "committed_at")
+    counts = ("rows", "total_rows", "errors", "width_errors", "codes", "total_codes")
+    return loads.select("version", "watermark", *counts, "committed_at")
 
 
 def check_load(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
@@ -72,12 +75,15 @@ def check_load(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
     return reconcile(fact_table(spark, root, contract, last), last["total_rows"])
 
 
-def consumed_files(spark: SparkSession, root: str, source: str, last: dict) -> DataFrame:
-    """Files of a source that loads up to ``last`` read, with their size and lines then."""
-    files = spark.read.schema(f"{FILES}, load_version bigint").parquet(f"{root}/files")
-    files = files.where((F.col("load_version") <= last["version"]) & (F.col("source") == source))
-    newest = files.groupBy("source_file").agg(F.max_by(F.struct("file_size", "lines"), "load_version").alias("f"))
-    return newest.select("source_file", F.col("f.file_size").alias("seen_size"), F.col("f.lines").alias("lines"))
+def consumed_files(spark: SparkSession, root: str, last: dict) -> DataFrame:
+    """Files that loads up to ``last`` read, however their source was spelled, as they were then."""
+    files = versions.read_versions(spark, versions.folder(root, last, "files"), f"{FILES}, load_version bigint")
+    files = files.where(F.col("load_version") <= last["version"])
+    seen = F.struct("file_size", "modified", "lines")
+    newest = files.groupBy("source_file").agg(F.max_by(seen, "load_version").alias("f"))
+    return newest.select(
+        "source_file", F.col("f.file_size").alias("seen_size"), F.col("f.modified").alias("seen_modified"), F.col("f.lines").alias("lines")
+    )
 
 
 def stage(rows: DataFrame, contract: Contract, root: str) -> DataFrame:
@@ -90,89 +96,114 @@ def stage(rows: DataFrame, contract: Contract, root: str) -> DataFrame:
     texts = [F.col(c).cast("string").alias(KEY) for c in contract.unique_columns]
     extra = [*COORDINATES, *row_checks(rows, contract), F.col(BAD_WIDTH).alias("raw_line"), *texts]
     prepared = typed(rows, contract, extra)
-    path = f"{root}/staged"
-    prepared.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(prepared.schema).parquet(path)
+    versions.replace(prepared.write, rows.sparkSession, f"{root}/staged")
+    return rows.sparkSession.read.schema(prepared.schema).parquet(f"{root}/staged")
 
 
 def unstage(spark: SparkSession, root: str) -> None:
     """Free the staged rows of a committed load."""
-    versions.empty(spark, "source_row bigint").write.mode("overwrite").parquet(f"{root}/staged")
+    versions.remove(spark, f"{root}/staged")
+
+
+def commit_load(spark: SparkSession, root: str, last: dict, tables: dict[str, DataFrameWriter], **fields) -> dict:
+    """Commit the version after ``last``.
+
+    ``tables`` are those still to be written; what a failed attempt left in
+    the others that aren't ``done`` must not become valid.
+    """
+    version = last["version"] + 1
+    done = fields.pop("done", ())
+    for name in TABLES:
+        path = versions.folder(root, last, f"{name}/load_version={version}")
+        if name in tables:
+            versions.replace(tables[name], spark, path)
+        elif name not in done:
+            versions.remove(spark, path)
+    record = versions.commit(spark, root, "load", last, **fields)
+    unstage(spark, root)
+    return record
 
 
 def append_positioned(
-    spark: SparkSession, root: str, rows: DataFrame, contract: Contract, last: dict, lines: int, **origin
-) -> dict:
-    """Judge and append ``lines`` staged rows; commit rows, codes and watermark at once.
+    spark: SparkSession, root: str, rows: DataFrame, contract: Contract, last: dict, lines: int,
+    files: DataFrame | None = None, **origin,
+) -> dict:
+    """Judge and append ``lines`` staged rows; commit rows, codes, read files and watermark at once.
 
     ``row_id`` is the position carried by the rows. It continues at the
     watermark of the ``last`` load and grows with every load; rejected rows
     leave gaps. ``origin`` is recorded with the commit.
     """
-    version = last["version"] + 1
-    path = f"{root}/rows/load_version={version}"
+    path = versions.folder(root, last, f"rows/load_version={last['version'] + 1}")
     stored = None
     if contract.unique_columns and last["total_rows"]:
         stored = fact_table(spark, root, contract, last).select(*contract.unique_columns)
     checked = judge(rows, contract, "source_pos", KEY, stored)
     rejected = F.col(REASON).isNotNull().alias("rejected")
     out = checked.select(F.col("source_pos").alias(ROW_ID), *contract.names, REASON, "raw_line", rejected)
-    out.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    versions.replace(out.write.partitionBy("rejected"), spark, path)
 
     plain = T.StructType([f for f in stored_schema(contract).fields if f.name != "load_version"])
-    written = spark.read.schema(plain).parquet(path)
+    appended = spark.read.schema(plain).parquet(path)
     refused, width = F.col(REASON).isNotNull(), F.col(REASON) == "width"
-    counts = written.agg(F.count(F.lit(1)), F.count_if(refused & ~width), F.count_if(width)).first()
-    appended = counts[0] - counts[1] - counts[2]
+    counts = appended.agg(F.count(F.lit(1)), F.count_if(refused & ~width), F.count_if(width)).first()
+    accepted = counts[0] - counts[1] - counts[2]
+    codes, done = 0, ["rows"]
     if contract.dictionary_columns:
-        batch = written.where(~F.col("rejected"))
+        batch = appended.where(~F.col("rejected"))
         entries = dictionary.new_entries(code_table(spark, root, last), batch, contract.dictionary_columns, ROW_ID)
-        entries.write.mode("overwrite").parquet(f"{root}/dictionary/load_version={version}")
-
-    record = versions.commit(
+        place = versions.folder(root, last, f"dictionary/load_version={last['version'] + 1}")
+        versions.replace(entries.write, spark, place)
+        codes = spark.read.schema(dictionary.SCHEMA).parquet(place).count()
+        done.append("dictionary")
+    return commit_load(
         spark,
         root,
-        "load",
-        version=version,
+        last,
+        {} if files is None else {"files": files.write},
+        done=done,
         watermark=last["watermark"] + lines,
-        rows=appended,
-        total_rows=last["total_rows"] + appended,
+        rows=accepted,
+        total_rows=last["total_rows"] + accepted,
         errors=counts[1],
         width_errors=counts[2],
-        path=path,
+        codes=codes,
+        total_codes=last["total_codes"] + codes,
         **origin,
     )
-    unstage(spark, root)
-    return record
 
 
 def append_load(spark: SparkSession, source: str, root: str, contract: Contract) -> dict:
     """Load the lines of ``source`` that were not loaded before; returns the newest load record.
 
-    Files may be added and lines may be appended to files. A file that has
-    its old size is not read again. Sizes are taken before reading, so lines
-    that arrive meanwhile are found by the next load.
+    Files may be added and lines may be appended to files. A file is read
+    again if its size or its modification time differs from what a load saw,
+    from the line on where that load ended; one without new lines is recorded
+    too. Sizes are taken before reading, so lines that arrive meanwhile are
+    found by the next load.
     """
     last = versions.latest(spark, root, "load")
-    consumed = consumed_files(spark, root, source, last)
+    consumed = consumed_files(spark, root, last)
     listed = list_files(spark, source).join(consumed, "source_file", "left")
-    changed = listed.where(~F.col("file_size").eqNullSafe(F.col("seen_size"))).drop("seen_size", "lines").collect()
-    if not changed:
+    same = F.col("file_size").eqNullSafe(F.col("seen_size")) & F.col("modified").eqNullSafe(F.col("seen_modified"))
+    changed = checkpointed(listed.where(~same).withColumnRenamed("lines", "seen_lines"))
+    paths = [f["path"] for f in changed.select("path").collect()]
+    if not paths:
         return last
 
-    staged = stage(read_rows(spark, sorted(f["path"] for f in changed), contract), contract, root)
+    staged = stage(read_rows(spark, sorted(paths), contract), contract, root)
     blocks = source_blocks(staged, consumed.select("source_file", "lines"))
-    if not blocks.new_lines:
-        return last
     placed = with_position(staged, blocks, last["watermark"])
     rows = resume_scan(placed, "skipped", "source_line").drop("skipped", "source_line")
 
     line_end = F.col("line_start") + F.col("block_rows")
     lines = blocks.table.groupBy("source_file").agg(F.max(F.greatest(line_end, "skipped")).alias("lines"))
-    files = spark.createDataFrame(changed, FILE_SIZES).join(lines, "source_file")
-    files = files.select(F.lit(source).alias("source"), "source_file", "file_size", "lines")
-    files.write.mode("overwrite").parquet(f"{root}/files/load_version={last['version'] + 1}")
-    return append_positioned(spark, root, rows, contract, last, blocks.new_lines, source=source)
+    read = F.coalesce("lines", "seen_lines", F.lit(0)).cast("bigint").alias("lines")
+    files = changed.join(lines, "source_file", "left").select("source_file", "file_size", "modified", read)
+    if not blocks.new_lines:
+        kept = {c: last[c] for c in ("watermark", "total_rows", "total_codes")}
+        return commit_load(spark, root, last, {"files": files.write}, source=source, **kept)
+    return append_positioned(spark, root, rows, contract, last, blocks.new_lines, files, source=source)
 
 
 def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract, source: str) -> dict:
@@ -189,7 +220,8 @@ def append_batch(batch: DataFrame, batch_id: int, root: str, contract: Contract,
 
 
 def new_rows(
-    spark: SparkSession, root: str, contract: Contract, columns: list[str], start: int, last: dict
+    spark: SparkSession, root: str, contract: Contract, columns: list[str], merged: dict, last: dict
 ) -> DataFrame:
-    """Accepted rows with an id in ``[start, watermark of the last load)``."""
-    return scan_range(fact_table(spark, root, contract, last), columns, start, last["watermark"], ROW_ID)
+    """Accepted rows of the loads after the one that ``merged`` holds, up to ``last``; earlier loads aren't listed."""
+    fresh = fact_table(spark, root, contract, last, after=merged["of_version"])
+    return scan_range(fresh, columns, merged["watermark"], last["watermark"], ROW_ID)

@@ -2,23 +2,38 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_fallback: list[str] = []
+
+
+def use_scratch(root: str) -> None:
+    """Name the folder for sessions without ``spark.checkpoint.dir``, as a single machine may."""
+    _fallback[:] = [root]
+
+
+def prepare_scratch(spark: SparkSession) -> SparkSession:
+    """Name a temporary folder for a session on one machine that names none itself.
+
+    For programs that run queries in sessions they don't configure; on a
+    cluster the setting stays required.
+    """
+    one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if one_machine and not spark.conf.get("spark.checkpoint.dir", None) and not _fallback:
+        use_scratch(tempfile.mkdtemp(prefix="prismcube-"))
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The session's checkpoint folder, which every executor can reach."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_fallback), None)
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="prismcube-"))
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -26,8 +41,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/prismcube/{uuid.uuid4().hex}/{name}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once, into a table in the scratch folder, and read that."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computes ``df`` once and cuts its lineage."""
+    """Reliable checkpoint: computes ``df`` once and cuts its lineage.
+
+    Its files go with the DataFrame if the session cleans checkpoints; see
+    ``session.OPTIONS``.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))

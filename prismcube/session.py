@@ -1,4 +1,7 @@
-"""Session options the library is tuned for; all of them are optional."""
+"""Session options the library is tuned for; all of them are optional.
+
+Besides, ``spark.checkpoint.dir`` must name a folder that every executor can reach.
+"""
 
 OPTIONS = {
     # Split hot keys, merge small partitions, choose joins by measured sizes.
@@ -7,6 +10,8 @@ OPTIONS = {
     # Code for rows of dozens of columns exceeds what the JVM compiles as one
     # method; below this limit Spark generates many small methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Remove checkpoints that no DataFrame refers to any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Dates are days in UTC.
     "spark.sql.session.timeZone": "UTC",
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..sources.csv import TIMESTAMPS
+
 # Header, minimal quoting with doubled quotes, blanks kept, missing values as empty fields.
 CSV_OPTIONS = {
     "header": "true",
@@ -11,6 +13,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "emptyValue": "",
+    **TIMESTAMPS,
 }
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import average
 from ..functions.naming import cuboid_names, mask_dimensions
 from ..functions.rounding import round_binary, round_exact
 from ..operators.cube import key_order, one_cuboid
+from ..scratch import written
 from ..sources.csv import discover, read_csv
 from .csv import write_csv
 
@@ -41,6 +42,32 @@ def ordered_cuboid(cube: DataFrame, dims: Sequence[str], mask: int) -> DataFrame
     return table.orderBy(key_order(kept)) if kept else table
 
 
+def numbered_cuboid(cube: DataFrame, dims: Sequence[str], mask: int) -> DataFrame:
+    """``ordered_cuboid`` with ``position``, the place of each row in the export, from 0.
+
+    The sorted rows are written with their place in their partition; what
+    precedes a partition is a sum over one row per partition.
+    """
+    number = F.monotonically_increasing_id()
+    inside = F.lit((1 << 33) - 1)  # the low bits count the rows of a partition
+    rows = written(ordered_cuboid(cube, dims, mask).withColumn("_number", number), "ordered")
+    part = F.shiftright("_number", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    placed = rows.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    position = (F.col("_start") + F.col("_number").bitwiseAND(inside)).alias("position")
+    return placed.select(*[c for c in rows.columns if c != "_number"], position)
+
+
+def checked(report: DataFrame) -> DataFrame:
+    """The report of ``run_jobs``; raises if any job failed."""
+    failed = report.where(~F.col("published")).collect()
+    if failed:
+        raise RuntimeError("; ".join(f"{r['table_name']}: {r['error']}" for r in failed))
+    return report
+
+
 def run_jobs(spark: SparkSession, jobs: Iterable[tuple[str, Callable[[], None]]]) -> DataFrame:
     """Run independent Spark jobs a few at a time; a failed one is reported, the others go on."""
 
@@ -72,14 +99,18 @@ def export_cuboids(cube: DataFrame, dims: Sequence[str], folder: str) -> DataFra
 def publish_tables(spark: SparkSession, folder: str, location: str, database: str | None = None) -> DataFrame:
     """Replace one typed catalog table per CSV table found in ``folder``; returns a report per table.
 
-    Table files go below ``location``, a folder every executor can reach.
+    Table files go below ``location``, a folder every executor can reach. CSV
+    can't tell NULL from the empty text; ``plans.publish`` keeps both apart.
     """
 
     def job(name, path, schema):
         full_name = f"{database}.{name}" if database else name
 
         def action():
-            writer = read_csv(spark, path, schema).write.mode("overwrite")
+            rows = read_csv(spark, path, schema)
+            # An empty field is an empty text: the files don't tell it from a missing one.
+            texts = [c for c, kind in rows.dtypes if kind == "string"]
+            writer = rows.fillna("", texts).write.mode("overwrite")
             writer.option("path", f"{location}/{name}").saveAsTable(full_name)
 
         return name, action

@@ -13,6 +13,12 @@ from ..contract import Contract
 BAD_WIDTH = "_corrupt_record"
 COORDINATES = ("source_file", "source_block", "source_row")
 
+#: Timestamps as text, to the microsecond, with and without a time zone.
+TIMESTAMPS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # Types of published columns by name; any other column is a string.
 MEASURE_TYPES = {
     "sum_amount": "double",
@@ -25,7 +31,7 @@ MEASURE_TYPES = {
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header; quoted fields may hold commas and doubled quotes, blanks are kept."""
-    return spark.read.schema(schema).csv(path, header=True, escape='"')
+    return spark.read.schema(schema).options(header="true", escape='"', **TIMESTAMPS).csv(path)
 
 
 def landing_schema(contract: Contract) -> T.StructType:
@@ -57,9 +63,12 @@ def with_row(rows: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a source with their sizes; their contents are not read."""
+    """Files of a source with their sizes and modification times; their contents are not read."""
     return spark.read.format("binaryFile").load(path).select(
-        "path", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("file_size")
+        "path",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,23 @@ def resume_scan(source: DataFrame, offset: int | str, position: str) -> DataFram
     return source.where(F.col(position) >= start)
 
 
+def split_ranges(
+    table: DataFrame, columns: Sequence[str], cuts: Sequence[tuple[int, int]], position: str = "row_id"
+) -> list[DataFrame]:
+    """Consecutive ranges that hold every row, cut at the given fractions between the least and greatest position.
+
+    Positions may have gaps: the bounds come from the positions themselves.
+    The first range has no lower bound and takes rows without a position, the
+    last one no upper bound.
+    """
+    low, high = table.agg(F.min(position), F.max(position)).first()
+    low, end = (0, 0) if low is None else (low, high + 1)
+    bounds = [low + (end - low) * a // b for a, b in cuts]
+    first = table.where((F.col(position) < F.lit(bounds[0])) | F.col(position).isNull()).select(*columns)
+    middle = [scan_range(table, columns, a, b, position) for a, b in pairwise(bounds)]
+    return [first, *middle, resume_scan(table, bounds[-1], position).select(*columns)]
+
+
 def warn_if_short(length: int, offset: int, what: str) -> None:
     """Warn when a source has fewer rows than were read from it before."""
     if length < offset:

@@ -3,55 +3,83 @@
 Data is written first, to a place no reader looks at yet; appending one
 record then makes it visible. A job that dies earlier leaves the last record,
 and with it all readers, as they were. One writer at a time is assumed.
+
+A log begins with an epoch, which is part of every data path. Creating the log
+again begins a new one: data and late commits of the old epoch are out of
+reach.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = (
-    "kind string, version bigint, watermark bigint, source string, batch_id bigint, "
-    "rows bigint, total_rows bigint, errors bigint, width_errors bigint, path string, committed_at timestamp"
+    "kind string, version bigint, epoch string, watermark bigint, watermark_before bigint, source string, "
+    "batch_id bigint, rows bigint, total_rows bigint, errors bigint, width_errors bigint, codes bigint, "
+    "total_codes bigint, cuboids bigint, of_version bigint, parts array<string>, schema string, committed_at timestamp"
 )
 NOTHING = {
+    "kind": None,
     "version": 0,
+    "epoch": None,
     "watermark": 0,
+    "watermark_before": 0,
     "source": None,
     "batch_id": -1,
     "rows": 0,
     "total_rows": 0,
     "errors": 0,
     "width_errors": 0,
-    "path": None,
+    "codes": 0,
+    "total_codes": 0,
+    "cuboids": 0,
+    "of_version": 0,
+    "parts": None,
+    "schema": None,
 }
+#: Versions of derived data that stay readable.
 KEPT_VERSIONS = 4
 
 
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    """All records; the log must have been created with ``reset``."""
+def is_missing_path(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def all_records(spark: SparkSession, root: str) -> DataFrame:
+    """All records, late ones of earlier epochs included."""
     try:
         return spark.read.schema(SCHEMA).parquet(f"{root}/commits")
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if is_missing_path(error):
             raise FileNotFoundError(f"{root} holds no commit log; create the tables first") from None
         raise
 
 
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """All records of the current epoch; the log must have been created with ``reset``."""
+    records = all_records(spark, root)
+    epoch = F.broadcast(records.where("kind = 'init'").select("epoch"))
+    return records.join(epoch, "epoch", "left_semi").select(*records.columns)
+
+
 def heads(spark: SparkSession, root: str) -> dict[tuple[str, str | None], dict]:
     """The newest record per ``(kind, source)``, and per ``(kind, None)`` of all sources.
 
-    All-zero where there is none.
+    All-zero, but for the epoch, where there is none.
     """
-    records = commits(spark, root)
-    newest = records.groupBy("kind", "source").agg(F.max_by(F.struct(*records.columns), "version").alias("r"))
-    found = defaultdict(lambda: NOTHING)
-    for row in sorted((r["r"].asDict() for r in newest.collect()), key=lambda r: r["version"]):
+    records = all_records(spark, root)
+    newest = records.groupBy("epoch", "kind", "source").agg(F.max_by(F.struct(*records.columns), "version").alias("r"))
+    rows = [r["r"].asDict() for r in newest.collect()]
+    epoch = next(r["epoch"] for r in rows if r["kind"] == "init")
+    found = defaultdict(lambda: NOTHING | {"epoch": epoch})
+    for row in sorted((r for r in rows if r["epoch"] == epoch), key=lambda r: r["version"]):
         found[row["kind"], row["source"]] = found[row["kind"], None] = row
     return found
 
@@ -61,11 +89,18 @@ def latest(spark: SparkSession, root: str, kind: str) -> dict:
     return heads(spark, root)[kind, None]
 
 
-def commit(spark: SparkSession, root: str, kind: str, **fields) -> dict:
-    """Append one record."""
-    record = NOTHING | {"kind": kind, "committed_at": datetime.now(timezone.utc)} | fields
-    row = [F.lit(record[f.name]).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(SCHEMA)]
-    spark.range(1, numPartitions=1).select(*row).write.mode("append").parquet(f"{root}/commits")
+def record_row(spark: SparkSession, record: dict) -> DataFrame:
+    fields = T.StructType.fromDDL(SCHEMA).fields
+    values = [F.array(*map(F.lit, record["parts"])) if f.name == "parts" and record["parts"] else F.lit(record[f.name]) for f in fields]
+    return spark.range(1, numPartitions=1).select(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, fields, strict=True)])
+
+
+def commit(spark: SparkSession, root: str, kind: str, last: dict, **fields) -> dict:
+    """Append the record that follows ``last``."""
+    now = datetime.now(timezone.utc)
+    before = {"epoch": last["epoch"], "version": last["version"] + 1, "watermark_before": last["watermark"]}
+    record = NOTHING | {"kind": kind, "committed_at": now} | before | fields
+    record_row(spark, record).write.mode("append").parquet(f"{root}/commits")
     return record
 
 
@@ -77,8 +112,9 @@ def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
 
 
 def reset(spark: SparkSession, root: str) -> None:
-    """Create an empty log: every watermark is 0 (again)."""
-    empty(spark, SCHEMA).write.mode("overwrite").parquet(f"{root}/commits")
+    """Create an empty log: every watermark is 0 (again), and earlier data is out of reach."""
+    record = NOTHING | {"kind": "init", "epoch": uuid.uuid4().hex, "committed_at": datetime.now(timezone.utc)}
+    record_row(spark, record).write.mode("overwrite").parquet(f"{root}/commits")
 
 
 def has_new(loaded: dict, merged: dict) -> bool:
@@ -86,7 +122,53 @@ def has_new(loaded: dict, merged: dict) -> bool:
     return loaded["watermark"] > merged["watermark"]
 
 
-def version_path(root: str, kind: str, version: int) -> str:
-    """Folder of a version. Folders are reused in a ring of ``KEPT_VERSIONS``, so a reader of the
-    last version is safe while the next ones are written."""
-    return f"{root}/{kind}/slot={version % KEPT_VERSIONS}"
+# Folders ---------------------------------------------------------------------
+
+
+def folder(root: str, last: dict, name: str) -> str:
+    """Where the data called ``name`` of an epoch is."""
+    return f"{root}/{last['epoch']}/{name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def replace(writer: DataFrameWriter, spark: SparkSession, path: str) -> None:
+    """Write to a folder that no record names yet, without what a failed attempt left there.
+
+    Unlike mode ``overwrite`` this doesn't depend on how a session overwrites
+    partitions.
+    """
+    remove(spark, path)
+    writer.parquet(path)
+
+
+def read_versions(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table of one folder per version; no rows before the first one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if is_missing_path(error):
+            return empty(spark, schema)
+        raise
+
+
+def expire(spark: SparkSession, root: str, record: dict, source: str | None = None) -> None:
+    """Delete the parts that only versions before the last ``KEPT_VERSIONS`` refer to, after a new ``record``.
+
+    Versions are those of the record's kind, or of one ``source`` of it. The
+    last few before them are looked at, as older ones expired before.
+    """
+    if record["version"] <= KEPT_VERSIONS:
+        return
+    kind = record["kind"]
+    records = commits(spark, root).where((F.col("kind") == kind) & F.col("parts").isNotNull())
+    if source is not None:
+        records = records.where(F.col("source") == source)
+    newest = records.orderBy(F.col("version").desc()).limit(2 * KEPT_VERSIONS).select("parts").collect()
+    kept = {part for row in newest[:KEPT_VERSIONS] for part in row["parts"]}
+    for part in {part for row in newest[KEPT_VERSIONS:] for part in row["parts"]} - kept:
+        remove(spark, part)

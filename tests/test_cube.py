@@ -121,3 +121,13 @@ def test_rows_are_shuffled_once_and_reduced_first(facts):
     text = plan(c.full_cube(facts, DIMS, "m"))
     first = text[text.rindex("Exchange hashpartitioning") :]
     assert "partial_sum" in first and "Expand" not in first
+
+
+def test_rows_without_a_measure_are_counted_alike(spark):
+    facts = spark.createDataFrame([("x", None), ("x", 2.0), ("y", None)], "a string, m double")
+    apex = rows(c.cuboid(facts, [], "m"))
+    assert apex == [(2.0, 3, 2.0, 2.0)]
+    cube = c.full_cube(facts, ["a"], "m")
+    assert rows(cube.where("cuboid_mask = 0").drop("cuboid_mask", "a")) == apex
+    nothing = facts.where("m is null")
+    assert c.cuboid(nothing, [], "m").count() == c.full_cube(nothing, ["a"], "m").where("cuboid_mask = 0").count() == 1

@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -7,6 +8,7 @@ from conftest import plan, rows
 from prismcube.contract import SALES
 from prismcube.operators import columns, joins, star
 from prismcube.sources.dates import date_dimension
+from workload.tables import sales_star
 
 
 @pytest.fixture
@@ -28,14 +30,35 @@ def test_salted_join_equals_plain_join(skewed):
 
 def test_salting_spreads_the_hot_key(skewed, conf):
     left, right = skewed
-    hot = [r["k"] for r in joins.hot_keys(left, "k").collect()]
-    assert 1 in hot and len(hot) <= joins.HOT_KEYS
-    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"})
-    sizes = joins.salted_left_join(left, right, "k").groupBy(F.spark_partition_id()).count().collect()
+    assert rows(joins.hot_keys(left, ["k", "row"])) == [("k", "1")]
+    conf({"spark.sql.shuffle.partitions": "20"})  # a key is hot if it holds more than an average partition
+    few = left.where("k = 1 or (k < 5 and row < 3000)")
+    assert ("k", "1") in rows(joins.hot_keys(few, ["k"]))
+    assert len(rows(joins.hot_keys(left.where("k between 2 and 11"), ["k"]))) == 10
+    conf({"spark.sql.shuffle.partitions": "4", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"})
+    sizes = joins.salted_left_joins(left, {"k": right}).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) == 4
     assert max(r["count"] for r in sizes) < 0.5 * sum(r["count"] for r in sizes)
 
 
+def test_equal_rows_of_a_hot_key_are_spread(spark, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"})
+    left = spark.range(10_000).select(F.lit("hot").alias("k"))
+    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+    sizes = joins.salted_left_joins(left, {"k": right}).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 4000 and sum(r["count"] for r in sizes) == 10_000
+
+
+def test_several_keys_in_one_pass(spark, monkeypatch):
+    left = spark.range(500).select("id", (F.col("id") % 2).alias("a"), F.expr("CASE WHEN id % 3 = 0 THEN 'x' ELSE string(id) END").alias("b"))
+    sides = {"a": spark.createDataFrame([(0, "even")], "a bigint, va string"), "b": spark.createDataFrame([("x", "third"), ("7", "seven")], "b string, vb string")}
+    expected = left.join(sides["a"], "a", "left").join(sides["b"], "b", "left").select("id", "a", "b", "va", "vb")
+    passes = []
+    monkeypatch.setattr(joins, "hot_keys", lambda df, keys, real=joins.hot_keys: passes.append(keys) or real(df, keys))
+    assert rows(joins.salted_left_joins(left, sides).select("id", "a", "b", "va", "vb")) == rows(expected)
+    assert passes == [["a", "b"]]
+
+
 def test_string_keys_can_be_salted(spark):
     left = spark.range(300).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("5", 2)], "k string, v int")
@@ -167,6 +190,14 @@ def test_denormalise_with_salted_keys(small_star):
     assert rows(salted) == rows(star.denormalise(**small_star))
 
 
+def test_wide_rows_are_not_shuffled_by_a_key_with_few_values(spark, conf):
+    folder = "/root/testdata/sf0.001"
+    conf({"spark.sql.autoBroadcastJoinThreshold": "1000", "spark.sql.adaptive.autoBroadcastJoinThreshold": "1000"})
+    text = star.denormalise(**sales_star(spark, folder))._jdf.queryExecution().executedPlan().toString()
+    for key in ("campaign_sk", "salesperson_sk", "store_manager_sk"):
+        assert not re.search(rf"Exchange hashpartitioning\({key}#", text)
+
+
 def test_repeated_dimension_key_multiplies_rows(small_star):
     small_star["customers"] = small_star["customers"].unionAll(small_star["customers"])
     assert star.denormalise(**small_star).count() == 5

@@ -1,15 +1,17 @@
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from prismcube import versions
+from prismcube import scratch, versions
 from prismcube.contract import ColumnSpec, Contract
 from prismcube.functions.measures import finish
 from prismcube.operators.cube import full_cube, one_cuboid
 from prismcube.plans import cube as cubes
 from prismcube.plans import load
+from prismcube.plans.publish import publish_cube, published
 from prismcube.scratch import scratch_path, scratch_root
 from prismcube.sinks import csv as csv_sink
 from prismcube.sinks import cuboids
@@ -39,8 +41,7 @@ def cube(spark, tmp_path):
     facts = spark.createDataFrame([(a, b, Decimal(m)) for a, b, m in data], "a string, b string, m decimal(18,2)")
     root = str(tmp_path / "cube")
     versions.reset(spark, root)
-    state = cubes.merged_state(None, full_cube(facts, DIMS, "m"), DIMS)
-    cubes.write_cube(spark, root, state, versions.latest(spark, root, "cube"), 0)
+    cubes.write_cube(spark, root, full_cube(facts, DIMS, "m"), versions.latest(spark, root, "cube"), 0)
     return cubes.stored_cube(spark, root)
 
 
@@ -78,10 +79,57 @@ def test_published_tables(spark, cube, tmp_path):
         report = cuboids.publish_tables(spark, str(tmp_path / "out"), str(tmp_path / "served"), "shop")
         assert report.where("published").count() == 4
     served = spark.table("shop.cuboid_a_b")
-    wanted = finish(one_cuboid(cube, DIMS, 3)).fillna("")
-    assert rows(served.fillna("").select("a", "b", "sum_amount", "count", "min_amount")) == rows(
-        wanted.select("a", "b", "sum_amount", "count", "min_amount")
-    )
+    wanted = finish(one_cuboid(cube, DIMS, 3))
+    columns = ["a", "b", "count", "min_amount", "max_amount"]
+    assert served.where("b = ''").count() == 1
+    assert rows(served.select(columns)) == rows(wanted.withColumn("max_amount", F.round("max_amount", 2)).withColumn("min_amount", F.round("min_amount", 2)).select(columns))
+
+
+def test_served_tables_keep_null_and_empty_apart_and_follow_the_cube(spark, tmp_path):
+    root, location = str(tmp_path / "cube"), str(tmp_path / "served")
+    versions.reset(spark, root)
+
+    def put(data, batch):
+        facts = spark.createDataFrame([(a, b, Decimal(m)) for a, b, m in data], "a string, b string, m decimal(18,2)")
+        return cubes.merge_batch(facts, batch, root, DIMS, "m", "s")
+
+    with pytest.raises(LookupError):
+        publish_cube(spark, root, DIMS, location, "live")
+    put([("x", "", "1.10"), ("x", None, "2.20"), ("y", "p", "3.00")], 0)
+    assert rows(publish_cube(spark, root, DIMS, location, "live").select("table_name", "published")) == [
+        (n, True) for n in ("cuboid_a", "cuboid_a_b", "cuboid_apex", "cuboid_b")
+    ]
+    table = spark.table("live.cuboid_b")
+    assert table.dtypes == [("b", "string"), ("sum_amount", "double"), ("count", "bigint"), *((f"{m}_amount", "double") for m in ("avg", "min", "max"))]
+    assert rows(table.where("b = ''").select("sum_amount")) == [(1.1,)]
+    assert rows(table.where("b is null").select("sum_amount")) == [(2.2,)]
+    assert publish_cube(spark, root, DIMS, location, "live").count() == 0
+    record = put([("x", "", "0.90")], 1)
+    assert publish_cube(spark, root, DIMS, location, "live").where("published").count() == 4
+    assert published(spark, root, "live")["of_version"] == record["version"]
+    assert rows(spark.table("live.cuboid_b").where("b = ''").select("sum_amount", "count")) == [(2.0, 2)]
+    assert rows(spark.table("live.cuboid_apex").select("count")) == [(4,)]
+
+
+def test_empty_cube_is_served(spark, tmp_path):
+    root = str(tmp_path / "cube")
+    versions.reset(spark, root)
+    facts = spark.createDataFrame([], "a string, b string, m decimal(18,2)")
+    cubes.merge_batch(facts, 0, root, DIMS, "m", "s")
+    assert publish_cube(spark, root, DIMS, str(tmp_path / "served"), "none").where("published").count() == 4
+    assert spark.table("none.cuboid_a_b").count() == 0
+
+
+def test_positions_of_exported_rows(spark, cube, conf):
+    conf({"spark.sql.adaptive.enabled": "false"})
+    numbered = cuboids.numbered_cuboid(cube, DIMS, 3).orderBy("position").collect()
+    assert [r["position"] for r in numbered] == [0, 1, 2, 3]
+    assert [(r["a"], r["b"]) for r in numbered] == [("x", ""), ("x", "p, q"), ("y", 'r"s'), ("y", "z ")]
+
+
+def test_failed_jobs_raise_when_asked(spark):
+    with pytest.raises(RuntimeError, match="bad: division by zero"):
+        cuboids.checked(cuboids.run_jobs(spark, [("good", lambda: None), ("bad", lambda: 1 / 0)]))
 
 
 def test_a_failing_table_does_not_stop_the_others(spark):
@@ -98,6 +146,15 @@ def test_rounding_of_doubles(spark):
     assert [str(row[c]) for c in ("sum_amount", "avg_amount", "min_amount", "max_amount")] == ["0.12", "0.12", "2.67", "0.38"]
 
 
+def test_scratch_must_be_named(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_fallback", [])
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(bare)
+    scratch.use_scratch("/shared/")
+    assert scratch_root(bare) == "/shared"
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")

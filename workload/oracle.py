@@ -23,8 +23,11 @@ MEASURES = """CAST(sum(total_amount) AS DOUBLE) AS sum_amount, count(*) AS count
 ORDERS = """order_rows AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS sales_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS sales_date,
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total_amount, c_name AS customer_id,
-         c_mktsegment AS customer_segment, o_orderpriority AS store_type, o_orderstatus AS salesperson_role
-  FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON o_custkey = c_custkey)"""
+         c_mktsegment AS customer_segment, o_orderpriority AS store_type, o_orderstatus AS salesperson_role,
+         n_name AS residential_location, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+         CAST(quarter(o_orderdate) AS INTEGER) AS order_quarter
+  FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 ACCEPTED = f"WITH {ORDERS} SELECT * FROM order_rows WHERE customer_id IS NOT NULL"
 
@@ -72,7 +75,14 @@ def codes(name: str, where: str = "true") -> str:
 
 
 BUILD = f"WITH {CODED_ROWS}, {codes('full_codes')} "
-EARLY = "o_orderkey < (SELECT count(*) // 10 FROM orders)"
+
+
+def cut(key: str, table: str, part: int, parts: int) -> str:
+    """The key at a fraction between the least and the greatest one."""
+    return f"(SELECT min({key}) + (max({key}) + 1 - min({key})) * {part} // {parts} FROM {table})"
+
+
+EARLY = f"o_orderkey < {cut('o_orderkey', 'orders', 1, 10)}"
 
 
 def coded_join(table: str, on: str, output: str) -> str:
@@ -107,7 +117,7 @@ SALES_STAR = f"""WITH {DATES},
       CAST(date_trunc('quarter', min(o_orderdate)) AS DATE) AS first_day, CAST(count(*) AS INTEGER) AS budget
     FROM orders GROUP BY 1),
   places AS (SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
-  wide AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS sales_id,
+  wide AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,2))) AS sales_id,
     CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS sales_date,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS total_amount,
     c_name AS customer_id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
@@ -144,7 +154,19 @@ def contract_check() -> str:
     return f"WITH {ORDERS} " + " UNION ALL ".join(parts)
 
 
-LINE_SPLIT = "(SELECT count(*) * 4 // 5 FROM orders)"
+LINE_SPLIT = cut("order_sk", "rows6", 4, 5)
+ORDER_CODES = ("customer_segment", "store_type", "salesperson_role", "residential_location")
+
+
+def distinct_codes(where: str) -> str:
+    """How many dictionary entries the accepted orders have."""
+    counts = " + ".join(f"count(DISTINCT {c}) FILTER (WHERE {where})" for c in ORDER_CODES)
+    return f"(SELECT {counts} FROM order_rows WHERE customer_id IS NOT NULL)"
+
+
+ROUNDED = f"""SELECT {", ".join(CUBE_DIMENSIONS)}, sum_amount, count,
+  CAST(printf('%.2f', avg_amount) AS DOUBLE) AS avg_amount, min_amount, max_amount,
+  {name_case(CUBE_DIMENSIONS)} AS cuboid_name FROM ({cube_sql(CUBE_DIMENSIONS)})"""
 
 # Outcome of the two order loads: open orders first, then all orders.
 LOADS = f"""WITH {ORDERS}, n AS (SELECT
@@ -159,11 +181,13 @@ def oracle() -> dict[str, str]:
     three = ", ".join(SMALL_DIMS)
     return {
         "scan_projected": "SELECT l_orderkey, l_returnflag, l_linestatus, l_extendedprice FROM lineitem",
-        "scan_row_range": """WITH n AS (SELECT count(*) AS n FROM orders)
-            SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey < n // 4 THEN 0 WHEN o_orderkey < n * 2 // 4 THEN 1
-              WHEN o_orderkey < n * 3 // 4 THEN 2 ELSE 3 END AS range_no FROM orders, n""",
-        "resume_scan": """SELECT event_id, event_type, value,
-              CASE WHEN event_id < (SELECT count(*) // 2 FROM events) THEN 1 ELSE 2 END AS run FROM events""",
+        "scan_row_range": f"""SELECT o_orderkey, o_totalprice,
+              CASE WHEN o_orderkey IS NULL OR o_orderkey < {cut("o_orderkey", "orders", 1, 4)} THEN 0
+              WHEN o_orderkey < {cut("o_orderkey", "orders", 2, 4)} THEN 1
+              WHEN o_orderkey < {cut("o_orderkey", "orders", 3, 4)} THEN 2 ELSE 3 END AS range_no FROM orders""",
+        "resume_scan": f"""SELECT event_id, event_type, value,
+              CASE WHEN event_id IS NULL OR event_id < {cut("event_id", "events", 1, 2)} THEN 1 ELSE 2 END AS run
+            FROM events""",
         "rename_drop_keys": """SELECT s_name AS name, s_acctbal, n_name AS name_nation
             FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
         "filter_equality": f"""WITH {ROWS} SELECT {", ".join(CUBE_DIMENSIONS)}, CAST(total_amount AS DOUBLE) AS total_amount
@@ -207,10 +231,12 @@ def oracle() -> dict[str, str]:
         "incremental_append": ACCEPTED,
         "load_audit": f"""{LOADS}
             SELECT 1::BIGINT AS version, open_lines AS watermark, open_good AS rows, open_good AS total_rows,
-              open_lines - open_good AS errors, 0::BIGINT AS width_errors FROM n
+              open_lines - open_good AS errors, 0::BIGINT AS width_errors,
+              {distinct_codes("salesperson_role = 'O'")} AS codes, {distinct_codes("salesperson_role = 'O'")} AS total_codes FROM n
             UNION ALL
             SELECT 2, open_lines + all_lines, all_good - open_good, all_good,
-              all_lines - all_good + open_good, 0 FROM n""",
+              all_lines - all_good + open_good, 0,
+              {distinct_codes("true")} - {distinct_codes("salesperson_role = 'O'")}, {distinct_codes("true")} FROM n""",
         "reject_report": f"""{LOADS}
             SELECT 1::BIGINT AS load_version, 'not_null:customer_id' AS reject_reason, open_lines - open_good AS rows FROM n
             UNION ALL SELECT 2, 'not_null:customer_id', all_lines - all_good FROM n
@@ -230,26 +256,45 @@ def oracle() -> dict[str, str]:
         "cuboid_ordered_rounded": f"""WITH {ROWS} SELECT {three}, CAST(sum(total_amount) AS DOUBLE) AS sum_amount,
               count(*) AS count,
               CAST(printf('%.2f', CAST(sum(total_amount) AS DOUBLE) / count(*)) AS DOUBLE) AS avg_amount,
-              CAST(min(total_amount) AS DOUBLE) AS min_amount, CAST(max(total_amount) AS DOUBLE) AS max_amount
+              CAST(min(total_amount) AS DOUBLE) AS min_amount, CAST(max(total_amount) AS DOUBLE) AS max_amount,
+              row_number() OVER (ORDER BY concat_ws('|', {", ".join(f"coalesce({d}, '')" for d in SMALL_DIMS)})) - 1 AS position
             FROM rows6 GROUP BY {three}""",
         "delta_cube": f"""WITH {ROWS},
               old_rows AS (SELECT * FROM rows6 WHERE order_sk < {LINE_SPLIT}),
               new_rows AS (SELECT * FROM rows6 WHERE order_sk >= {LINE_SPLIT})
-            SELECT *, 0 AS delta_no FROM ({cube_sql(SMALL_DIMS, "old_rows", "")})
-            UNION ALL SELECT *, 1 AS delta_no FROM ({cube_sql(SMALL_DIMS, "new_rows", "")})""",
+            SELECT *, 0 AS delta_no FROM ({cube_sql(DIMS, "old_rows", "")})
+            UNION ALL SELECT *, 1 AS delta_no FROM ({cube_sql(DIMS, "new_rows", "")})""",
         "cube_merge": cube_sql(DIMS),
-        "cube_lookup": f"""SELECT * FROM ({cube_sql(SMALL_DIMS)})
-            WHERE cuboid_mask = 5 AND category = 'ECONOMY' AND campaign_name = 'A'""",
+        "cube_lookup": f"""SELECT * FROM ({cube_sql(DIMS)})
+            WHERE cuboid_mask = 33 AND category = 'ECONOMY' AND campaign_name = 'A'""",
         "cube_refresh": cube_sql(
             ORDER_DIMS,
             "good",
             f"WITH {ORDERS}, good AS (SELECT * REPLACE (CAST(total_amount AS DECIMAL(18,2)) AS total_amount) "
             "FROM order_rows WHERE customer_id IS NOT NULL) ",
         ),
-        "csv_round_trip": "SELECT event_id, event_type, value, props FROM events",
-        "cuboid_publish_round_trip": f"""SELECT {three}, sum_amount, count,
-              CAST(printf('%.2f', avg_amount) AS DOUBLE) AS avg_amount, min_amount, max_amount,
-              {name_case(SMALL_DIMS)} AS cuboid_name FROM ({cube_sql(SMALL_DIMS)})""",
+        "refresh_report": f"""WITH {ORDERS}, n AS (SELECT
+              count(*) FILTER (WHERE salesperson_role <> 'F') AS first_lines,
+              count(*) FILTER (WHERE salesperson_role <> 'F' AND customer_id IS NOT NULL) AS first_good,
+              count(*) AS all_lines, count(*) FILTER (WHERE customer_id IS NOT NULL) AS all_good FROM order_rows)
+            SELECT 1::BIGINT AS version, first_good AS rows, 64::BIGINT AS cuboids, 0::BIGINT AS watermark_before,
+              first_lines AS watermark FROM n
+            UNION ALL SELECT 2, all_good - first_good, 64, first_lines, all_lines FROM n""",
+        "sales_pipeline": f"""WITH sales AS (SELECT DISTINCT * FROM ({SALES_STAR})),
+              good AS (SELECT * REPLACE (CAST(total_amount AS DECIMAL(18,2)) AS total_amount) FROM sales
+                WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND store_id IS NOT NULL
+                  AND salesperson_id IS NOT NULL AND campaign_id IS NOT NULL),
+              cube AS (SELECT {mask(CUBE_DIMENSIONS)} AS cuboid_mask, sum(total_amount) AS s, count(*) AS n,
+                  min(total_amount) AS low, max(total_amount) AS high
+                FROM good GROUP BY CUBE ({", ".join(CUBE_DIMENSIONS)}))
+            SELECT {name_case(CUBE_DIMENSIONS)} AS cuboid_name, count(*) AS groups, CAST(sum(s) AS DOUBLE) AS sum_amount,
+              CAST(sum(n) AS BIGINT) AS count, CAST(min(low) AS DOUBLE) AS min_amount,
+              CAST(max(high) AS DOUBLE) AS max_amount, CAST(max(s) AS DOUBLE) AS largest_sum
+            FROM cube GROUP BY cuboid_mask""",
+        "csv_round_trip": "SELECT * FROM events",
+        "cuboid_publish_round_trip": ROUNDED,
+        "cube_publish": ROUNDED,
         "stream_append": ACCEPTED,
-        "stream_refresh": cube_sql(SMALL_DIMS),
+        "batch_then_stream_append": ACCEPTED,
+        "stream_refresh": cube_sql(DIMS),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +15,10 @@ from prismcube.operators import columns, cube, dictionary, numbering, star, vali
 from prismcube.operators.joins import left_join, renamed_role
 from prismcube.plans import cube as stored
 from prismcube.plans import load
+from prismcube.plans.publish import publish_cube
 from prismcube.scratch import checkpointed, scratch_path
 from prismcube.sinks.csv import write_csv
-from prismcube.sinks.cuboids import export_cuboids, ordered_cuboid, publish_tables
+from prismcube.sinks.cuboids import checked, export_cuboids, numbered_cuboid, publish_tables
 from prismcube.sources import csv, tables
 from prismcube.sources.dates import date_dimension
 from prismcube.streaming.load import stream_load
@@ -37,9 +40,12 @@ ORDER_CONTRACT = Contract(
         ColumnSpec("customer_segment", dictionary=True),
         ColumnSpec("store_type", dictionary=True),
         ColumnSpec("salesperson_role", dictionary=True),
+        ColumnSpec("residential_location", dictionary=True),
+        ColumnSpec("order_year", kind="integer"),
+        ColumnSpec("order_quarter", kind="integer"),
     )
 )
-ORDER_DIMS = ["customer_segment", "store_type", "salesperson_role"]
+ORDER_DIMS = ["residential_location", "order_year", "customer_segment", "store_type", "order_quarter", "salesperson_role"]
 
 
 def amount_as_double(df: DataFrame) -> DataFrame:
@@ -56,26 +62,18 @@ def scan_projected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_row_range(spark: SparkSession, sf: str) -> DataFrame:
-    """Four consecutive ranges that cover all orders."""
+    """Four consecutive ranges that hold all orders."""
     orders = table(spark, sf, "orders")
-    end = orders.count()
-    parts = []
-    for i in range(4):
-        rows = tables.scan_range(
-            orders, ["o_orderkey", "o_totalprice"], end * i // 4, end * (i + 1) // 4, "o_orderkey"
-        )
-        parts.append(rows.withColumn("range_no", F.lit(i)))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    quarters = [(i, 4) for i in range(1, 4)]
+    parts = tables.split_ranges(orders, ["o_orderkey", "o_totalprice"], quarters, "o_orderkey")
+    return reduce(DataFrame.unionByName, [rows.withColumn("range_no", F.lit(i)) for i, rows in enumerate(parts)])
 
 
 def resume_scan(spark: SparkSession, sf: str) -> DataFrame:
     """A first run up to the middle of the events, a second one from there on."""
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    length = events.count()
-    offset = length // 2
-    first = tables.scan_range(events, events.columns, 0, offset, "event_id").withColumn("run", F.lit(1))
-    second = tables.resume_scan(events, offset, "event_id").withColumn("run", F.lit(2))
-    return first.unionByName(second)
+    first, second = tables.split_ranges(events, events.columns, [(1, 2)], "event_id")
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
 
 
 # Columns and filters -------------------------------------------------------
@@ -197,8 +195,10 @@ def order_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_name").alias("customer_id"),
         F.col("c_mktsegment").alias("customer_segment"),
+        F.col("c_nationkey").alias("n_nationkey"),
     )
-    wide = left_join(table(spark, sf, "orders"), customers, "o_custkey")
+    nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("residential_location"))
+    wide = left_join(table(spark, sf, "orders"), left_join(customers, nations, "n_nationkey"), "o_custkey")
     return wide.select(
         F.col("o_orderkey").cast("string").alias("sales_id"),
         F.to_date("o_orderdate").cast("string").alias("sales_date"),
@@ -207,6 +207,9 @@ def order_rows(spark: SparkSession, sf: str) -> DataFrame:
         "customer_segment",
         F.col("o_orderpriority").alias("store_type"),
         F.col("o_orderstatus").alias("salesperson_role"),
+        "residential_location",
+        F.year("o_orderdate").cast("string").alias("order_year"),
+        F.quarter("o_orderdate").cast("string").alias("order_quarter"),
     )
 
 
@@ -291,12 +294,14 @@ def dict_build(spark: SparkSession, sf: str) -> DataFrame:
     return dictionary.build_dictionary(coded_rows(spark, sf), CODED, "o_orderkey")
 
 
+def first_tenth(rows: DataFrame) -> list[DataFrame]:
+    """The rows of the first tenth of the order keys, and the rest."""
+    return tables.split_ranges(rows, rows.columns, [(1, 10)], "o_orderkey")
+
+
 def dict_extend(spark: SparkSession, sf: str) -> DataFrame:
     """Built from the first tenth of the orders, extended by the rest."""
-    rows = coded_rows(spark, sf)
-    end = rows.count()
-    first = tables.scan_range(rows, rows.columns, 0, end // 10, "o_orderkey")
-    rest = tables.scan_range(rows, rows.columns, end // 10, end, "o_orderkey")
+    first, rest = first_tenth(coded_rows(spark, sf))
     old = dictionary.build_dictionary(first, CODED, "o_orderkey")
     return dictionary.extend_dictionary(old, rest, CODED, "o_orderkey")
 
@@ -307,10 +312,7 @@ def dict_encode(spark: SparkSession, sf: str) -> DataFrame:
 
 def dict_decode(spark: SparkSession, sf: str) -> DataFrame:
     """All codes, decoded with the code table as it was after the first tenth of the orders."""
-    rows = coded_rows(spark, sf)
-    end = rows.count()
-    first = tables.scan_range(rows, rows.columns, 0, end // 10, "o_orderkey")
-    early = checkpointed(dictionary.build_dictionary(first, CODED, "o_orderkey"))
+    early = checkpointed(dictionary.build_dictionary(first_tenth(coded_rows(spark, sf))[0], CODED, "o_orderkey"))
     return dictionary.decode(dict_encode(spark, sf), early, CODED)
 
 
@@ -345,27 +347,20 @@ def cube_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
 
 def cuboid_ordered_rounded(spark: SparkSession, sf: str) -> DataFrame:
     state = cube.full_cube(cube_rows(spark, sf), SMALL_DIMS, AMOUNT)
-    table_ = ordered_cuboid(state, SMALL_DIMS, 0b111)
+    table_ = numbered_cuboid(state, SMALL_DIMS, 0b111)
     return table_.select(*[F.col(c).cast("double") if "_amount" in c else F.col(c) for c in table_.columns])
 
 
-def line_ranges(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Cube rows of the first four fifths of the orders and of the rest."""
-    rows = cube_rows(spark, sf)
-    end = table(spark, sf, "orders").count()
-    wanted = [*DIMS, AMOUNT]
-    return (
-        tables.scan_range(rows, wanted, 0, end * 4 // 5, "order_sk"),
-        tables.scan_range(rows, wanted, end * 4 // 5, end, "order_sk"),
-    )
+def line_ranges(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Cube rows of the first four fifths of the order keys and of the rest."""
+    return tables.split_ranges(cube_rows(spark, sf), [*DIMS, AMOUNT], [(4, 5)], "order_sk")
 
 
 def delta_cube(spark: SparkSession, sf: str) -> DataFrame:
     """The cube of each of the two ranges."""
-    old, new = line_ranges(spark, sf)
     both = [
-        finish(cube.full_cube(rows, SMALL_DIMS, AMOUNT)).withColumn("delta_no", F.lit(i))
-        for i, rows in enumerate((old, new))
+        finish(cube.full_cube(rows, DIMS, AMOUNT)).withColumn("delta_no", F.lit(i))
+        for i, rows in enumerate(line_ranges(spark, sf))
     ]
     return both[0].unionByName(both[1])
 
@@ -376,20 +371,22 @@ def cube_merge(spark: SparkSession, sf: str) -> DataFrame:
     return finish(cube.merge_cubes(old, new, DIMS))
 
 
-def stored_line_cube(spark: SparkSession, sf: str, dims: list[str]) -> DataFrame:
+def stored_line_cube(spark: SparkSession, sf: str, dims: list[str]) -> str:
+    """Folder of a stored cube of all lines."""
     root = scratch_path(spark, "cube")
     versions.reset(spark, root)
-    state = stored.merged_state(None, cube.full_cube(cube_rows(spark, sf), dims, AMOUNT), dims)
+    state = cube.full_cube(cube_rows(spark, sf), dims, AMOUNT)
     stored.write_cube(spark, root, state, versions.latest(spark, root, "cube"), 0)
-    return stored.stored_cube(spark, root)
+    return root
 
 
 def cube_lookup(spark: SparkSession, sf: str) -> DataFrame:
     key = {"category": "ECONOMY", "campaign_name": "A"}
-    return finish(cube.lookup(stored_line_cube(spark, sf, SMALL_DIMS), SMALL_DIMS, key))
+    state = stored.stored_cube(spark, stored_line_cube(spark, sf, DIMS))
+    return finish(cube.lookup(state, DIMS, key))
 
 
-def cube_refresh(spark: SparkSession, sf: str) -> DataFrame:
+def refreshed_orders(spark: SparkSession, sf: str) -> str:
     """Load, generate, load more, refresh twice (the second time there is nothing new)."""
     root = scratch_path(spark, "refresh")
     landing = f"{root}/landing"
@@ -402,7 +399,43 @@ def cube_refresh(spark: SparkSession, sf: str) -> DataFrame:
     load.append_load(spark, f"{landing}/*", root, ORDER_CONTRACT)
     stored.refresh_cube(spark, root, ORDER_CONTRACT, ORDER_DIMS, AMOUNT)
     stored.refresh_cube(spark, root, ORDER_CONTRACT, ORDER_DIMS, AMOUNT)
-    return finish(stored.stored_cube(spark, root))
+    return root
+
+
+def cube_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    return finish(stored.stored_cube(spark, refreshed_orders(spark, sf)))
+
+
+def refresh_report(spark: SparkSession, sf: str) -> DataFrame:
+    return stored.refresh_report(spark, refreshed_orders(spark, sf)).drop("committed_at")
+
+
+def sales_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole way: star -> wide CSV -> two loads -> cube -> refresh, on the 39-column contract.
+
+    Returns the totals of each of the 64 cuboids.
+    """
+    root = scratch_path(spark, "sales")
+    landing = f"{root}/landing"
+    wide = star.denormalise(**sales_star(spark, sf))
+    load.init_tables(spark, root, SALES)
+    early = F.coalesce(F.col("campaign_start_year") <= 1998, F.lit(True))
+    land(wide.where(early), landing, 1)
+    load.append_load(spark, f"{landing}/*", root, SALES)
+    stored.generate_cube(spark, root, SALES)
+    land(wide.where(~early), landing, 2)
+    load.append_load(spark, f"{landing}/*", root, SALES)
+    stored.refresh_cube(spark, root, SALES)
+    state = cube.with_names(stored.stored_cube(spark, root), CUBE_DIMENSIONS)
+    totals = state.groupBy("cuboid_name").agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.sum("sum_amount").cast("decimal(38,2)").cast("double").alias("sum_amount"),
+        F.sum("count").alias("count"),
+        F.min("min_amount").cast("double").alias("min_amount"),
+        F.max("max_amount").cast("double").alias("max_amount"),
+        F.max("sum_amount").cast("double").alias("largest_sum"),
+    )
+    return totals
 
 
 # Sinks ---------------------------------------------------------------------
@@ -410,23 +443,40 @@ def cube_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "events.csv")
-    events = table(spark, sf, "events").select("event_id", "event_type", "value", "props")
+    events = table(spark, sf, "events")
     write_csv(events, path)
     return csv.read_csv(spark, path, events.schema)
 
 
+def served_cuboids(spark: SparkSession, database: str, names: list[str]) -> DataFrame:
+    """All tables of a database as one."""
+    parts = [spark.table(f"{database}.{name}").withColumn("cuboid_name", F.lit(name)) for name in names]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def new_database(path: str) -> str:
+    return "cuboids_" + path.split("/")[-2][:12]
+
+
 def cuboid_publish_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored cube -> CSV per cuboid -> catalog table per cuboid -> one cube again."""
+    """Stored cube -> CSV per cuboid -> catalog table per cuboid -> one cube again, all 64 of them."""
+    state = stored.stored_cube(spark, stored_line_cube(spark, sf, DIMS))
     folder = scratch_path(spark, "cuboids")
-    state = stored_line_cube(spark, sf, SMALL_DIMS)
-    export_cuboids(state, SMALL_DIMS, folder)
-    database = "cuboids_" + folder.split("/")[-2][:12]
-    report = publish_tables(spark, folder, scratch_path(spark, "served"), database)
-    union = None
-    for row in report.orderBy("table_name").collect():
-        served = spark.table(f"{database}.{row['table_name']}").withColumn("cuboid_name", F.lit(row["table_name"]))
-        union = served if union is None else union.unionByName(served, allowMissingColumns=True)
-    return union
+    checked(export_cuboids(state, DIMS, folder))
+    database = new_database(folder)
+    report = checked(publish_tables(spark, folder, scratch_path(spark, "served"), database))
+    return served_cuboids(spark, database, [r["table_name"] for r in report.orderBy("table_name").collect()])
+
+
+def cube_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """A cube of the first range is served, then refreshed with the second one and served again."""
+    root, location = scratch_path(spark, "published"), scratch_path(spark, "served")
+    database = new_database(location)
+    versions.reset(spark, root)
+    for batch, rows in enumerate(line_ranges(spark, sf)):
+        stored.merge_batch(rows, batch, root, DIMS, AMOUNT, "lines")
+        report = checked(publish_cube(spark, root, DIMS, location, database))
+    return served_cuboids(spark, database, [r["table_name"] for r in report.orderBy("table_name").collect()])
 
 
 # Streams -------------------------------------------------------------------
@@ -443,15 +493,31 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     return amount_as_double(load.fact_table(spark, root, ORDER_CONTRACT).drop(load.ROW_ID))
 
 
+def batch_then_stream_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Batch, a new beginning, stream, and the batch's files again, on one root."""
+    root = scratch_path(spark, "mixed")
+    batch, stream, checkpoint = f"{root}/batch", f"{root}/stream", f"{root}/checkpoint"
+    rows = order_rows(spark, sf)
+    load.init_tables(spark, root, ORDER_CONTRACT)
+    land(rows.where("salesperson_role = 'O'"), batch, 1)
+    load.append_load(spark, f"{batch}/*", root, ORDER_CONTRACT)
+    load.init_tables(spark, root, ORDER_CONTRACT)
+    land(rows.where("salesperson_role <> 'O'"), stream, 1)
+    stream_load(spark, f"{stream}/*", root, ORDER_CONTRACT, checkpoint).awaitTermination()
+    load.append_load(spark, f"{batch}/*", root, ORDER_CONTRACT)
+    load.append_load(spark, f"{batch}/1", root, ORDER_CONTRACT)  # the same files, spelled otherwise
+    return amount_as_double(load.fact_table(spark, root, ORDER_CONTRACT).drop(load.ROW_ID))
+
+
 def stream_refresh(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "stream_cube")
     landed, checkpoint = f"{root}/facts", f"{root}/checkpoint"
     versions.reset(spark, root)
     for rows in line_ranges(spark, sf):
-        facts = rows.select(*SMALL_DIMS, AMOUNT)
+        facts = rows.select(*DIMS, AMOUNT)
         facts.write.mode("append").parquet(landed)
         stream = spark.readStream.schema(facts.schema).parquet(landed)
-        start_refresh(stream, root, SMALL_DIMS, AMOUNT, checkpoint).awaitTermination()
+        start_refresh(stream, root, DIMS, AMOUNT, checkpoint).awaitTermination()
     return finish(stored.stored_cube(spark, root))
 
 
@@ -492,9 +558,13 @@ QUERIES = {
         cube_merge,
         cube_lookup,
         cube_refresh,
+        refresh_report,
+        sales_pipeline,
         csv_round_trip,
         cuboid_publish_round_trip,
+        cube_publish,
         stream_append,
+        batch_then_stream_append,
         stream_refresh,
     )
 }

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.operators.joins import left_join, measured
+from prismcube.operators.joins import left_join
 from prismcube.sources.dates import date_dimension
 
 # Days of the date dimension: from before the first order to after the last shipment.
@@ -76,7 +76,7 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount")
     )
     fact = left_join(lines, ordered, "l_orderkey").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("sales_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "amount").alias("sales_id"),
         "sales_date",
         F.col("amount").alias("total_amount"),
         "customer_sk",
@@ -137,9 +137,9 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     return {
         "fact": fact,
-        "customers": measured(customers),
+        "customers": customers,
         "products": products,
-        "stores": measured(stores),
+        "stores": stores,
         "salespersons": salespersons,
         "campaigns": campaigns,
         "dates": date_dimension(spark, FIRST_DAY, LAST_DAY),
