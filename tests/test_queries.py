@@ -25,9 +25,9 @@ def db():
 
 @pytest.fixture(scope="module", autouse=True)
 def orders_loaded_once():
-    """Four queries read the result of the same loads."""
+    """Several queries read the result of the same loads, refreshes and stored cube."""
     with pytest.MonkeyPatch.context() as patched:
-        for shared in ("loaded_orders", "refreshed_orders"):
+        for shared in ("loaded_orders", "refreshed_orders", "stored_line_cube"):
             patched.setattr(queries, shared, cache(getattr(queries, shared)))
         yield
 

@@ -371,18 +371,18 @@ def cube_merge(spark: SparkSession, sf: str) -> DataFrame:
     return finish(cube.merge_cubes(old, new, DIMS))
 
 
-def stored_line_cube(spark: SparkSession, sf: str, dims: list[str]) -> str:
-    """Folder of a stored cube of all lines."""
+def stored_line_cube(spark: SparkSession, sf: str) -> str:
+    """Folder of a stored cube of all lines, in six dimensions."""
     root = scratch_path(spark, "cube")
     versions.reset(spark, root)
-    state = cube.full_cube(cube_rows(spark, sf), dims, AMOUNT)
+    state = cube.full_cube(cube_rows(spark, sf), DIMS, AMOUNT)
     stored.write_cube(spark, root, state, versions.latest(spark, root, "cube"), 0)
     return root
 
 
 def cube_lookup(spark: SparkSession, sf: str) -> DataFrame:
     key = {"category": "ECONOMY", "campaign_name": "A"}
-    state = stored.stored_cube(spark, stored_line_cube(spark, sf, DIMS))
+    state = stored.stored_cube(spark, stored_line_cube(spark, sf))
     return finish(cube.lookup(state, DIMS, key))
 
 
@@ -460,7 +460,7 @@ def new_database(path: str) -> str:
 
 def cuboid_publish_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Stored cube -> CSV per cuboid -> catalog table per cuboid -> one cube again, all 64 of them."""
-    state = stored.stored_cube(spark, stored_line_cube(spark, sf, DIMS))
+    state = stored.stored_cube(spark, stored_line_cube(spark, sf))
     folder = scratch_path(spark, "cuboids")
     checked(export_cuboids(state, DIMS, folder))
     database = new_database(folder)
