@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from prismcube.llm.common import text_chunks, texts_of, written
 from prismcube.llm.components import components
+from prismcube.llm.similarity import one_of_each  # noqa: F401
 
 #: Words in a shingle, the hash's seed, and the largest number of differing bits of a link.
 SHINGLE = 4
@@ -204,31 +205,3 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     labels = _group_labels(prints, F.min("doc_id"), "component_id", radius)
     shown = F.lower(F.lpad(F.hex("fp"), BITS // 4, "0"))
     return prints.join(labels, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group, the one with the smallest id stays.
-
-    Rows are told apart by id and text; of rows equal in both, one stays. The
-    texts are read twice but shuffled only if the rows to drop are too many to
-    broadcast.
-    """
-    columns = docs.columns
-    prints = written(fingerprints(docs, shingle), "prints")
-    row = F.struct("doc_id", "text_hash")
-    labels = _group_labels(prints, F.min(row), "kept", radius)
-    judged = written(prints.join(labels, "fp").select("doc_id", "text_hash", "kept"), "judged")
-    mark = {"doc_id": "_dropped_id", "text_hash": "_dropped_text"}
-    drop = judged.where(~row.eqNullSafe(F.col("kept"))).select("doc_id", "text_hash").distinct()
-    text_hash = F.xxhash64(docs["text"])
-    dropped = drop.withColumnsRenamed(mark)
-    same = docs["doc_id"].eqNullSafe(F.col("_dropped_id")) & (text_hash == F.col("_dropped_text"))
-    kept = docs.join(dropped, same, "left_anti")
-    repeated = judged.where(row.eqNullSafe(F.col("kept"))).groupBy("doc_id", "text_hash").count().where("count > 1")
-    repeated = written(repeated.select("doc_id", "text_hash").withColumnsRenamed(mark), "repeated")
-    if repeated.isEmpty():
-        return kept
-    same = kept["doc_id"].eqNullSafe(F.col("_dropped_id")) & (F.xxhash64(kept["text"]) == F.col("_dropped_text"))
-    single = kept.join(repeated, same, "left_anti")
-    again = kept.join(repeated, same, "left_semi").withColumn("_text_hash", F.xxhash64("text"))
-    return single.unionByName(again.dropDuplicates(["doc_id", "_text_hash"]).select(*columns))
