@@ -49,7 +49,7 @@ CUES = {
 @lru_cache(maxsize=1)
 def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for mark, kind in {"@": "email", "+": "phone", "::": "ipv6", "://": "login"}.items():
+    for mark, kind in {"@": "email", "+": "phone", "::": "ipv6", ":": "colon", "://": "login"}.items():
         found.add_word(mark, kind)
     for digit in "0123456789":
         found.add_word(digit, "digit")
@@ -84,6 +84,7 @@ class _Parsers:
         self.text = text
         self.spans: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
         self.done = dict.fromkeys(KINDS, 0)  # where the last match of a kind ended
+        self.run_end = 0  # where the last run of hex digits and colons ended
 
     def digit(self, at: int) -> None:
         text = self.text
@@ -142,6 +143,31 @@ class _Parsers:
         if end - begin > 4 and any("0" <= c <= "9" for c in text[begin:end]):
             self.spans["ipv6"].append((begin, end))
 
+    def colon(self, at: int) -> None:
+        """An IPv6 address written in full: eight groups, in a run without two colons side by side."""
+        begin, end, text = at, at, self.text
+        if at < self.run_end:
+            return  # a run is expanded from its first colon
+        while begin > self.run_end and text[begin - 1] in IPV6_MARKS:
+            begin -= 1
+        while end < len(text) and text[end] in IPV6_MARKS:
+            end += 1
+        self.run_end = end
+        # Letters and digits beside the run belong to a word, as in IPv6:2001:..., and so does the group they touch.
+        if begin and text[begin - 1].isalnum():
+            begin = text.index(":", begin)
+        if end < len(text) and text[end].isalnum():
+            end = text.rindex(":", 0, end) + 1
+        if begin < end and text[begin] == ":":
+            begin += 1
+        if begin < end and text[end - 1] == ":":
+            end -= 1
+        run = text[begin:end]
+        if run.count(":") != 7 or "::" in run or not any("0" <= c <= "9" for c in run):
+            return
+        if all(1 <= len(group) <= 4 for group in run.split(":")):
+            self.spans["ipv6"].append((begin, end))
+
 
 def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans by kind, in code points, end exclusive; added kinds never overlap a base span."""
@@ -155,6 +181,8 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
             parsers.phone(end)
         elif kind == "ipv6":
             parsers.ipv6(end - 1)
+        elif kind == "colon":
+            parsers.colon(end)
         elif kind == "login":
             parsers.login(end + 1)
         else:
