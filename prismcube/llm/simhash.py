@@ -20,12 +20,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prismcube.llm.common import text_chunks, texts_of, written
 from prismcube.llm.components import components
-from prismcube.llm.similarity import one_of_each  # noqa: F401
 
 #: Words in a shingle, the hash's seed, and the largest number of differing bits of a link.
 SHINGLE = 4
@@ -205,3 +204,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     labels = _group_labels(prints, F.min("doc_id"), "component_id", radius)
     shown = F.lower(F.lpad(F.hex("fp"), BITS // 4, "0"))
     return prints.join(labels, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group, the one with the smallest id stays.
+
+    Rows are told apart by id and text; of rows equal in both, one stays. The
+    texts are read twice but shuffled only if the rows to drop are too many to
+    broadcast.
+    """
+    columns = docs.columns
+    prints = written(fingerprints(docs, shingle), "prints")
+    row = F.struct("doc_id", "text_hash")
+    labels = _group_labels(prints, F.min(row), "kept", radius)
+    judged = written(prints.join(labels, "fp").select("doc_id", "text_hash", "kept"), "judged")
+    drop = judged.where(~row.eqNullSafe(F.col("kept"))).select("doc_id", "text_hash").distinct()
+
+    def same(rows: DataFrame, marks: DataFrame) -> Column:
+        return rows["doc_id"].eqNullSafe(marks["doc_id"]) & (F.xxhash64(rows["text"]) == marks["text_hash"])
+
+    kept = docs.join(drop, same(docs, drop), "left_anti")
+    repeated = judged.where(row.eqNullSafe(F.col("kept"))).groupBy("doc_id", "text_hash").count().where("count > 1")
+    repeated = written(repeated.select("doc_id", "text_hash"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    single = kept.join(repeated, same(kept, repeated), "left_anti")
+    again = kept.join(repeated, same(kept, repeated), "left_semi")
+    # One row each of those equal in id and text, by place so that no column's name can clash.
+    keys = [F.coalesce(again["doc_id"].cast("string"), F.lit("")), F.xxhash64(again["text"])]
+    values = again.select(F.struct(*keys).alias("k"), F.struct(*[again[f"`{c}`"] for c in columns]).alias("r"))
+    one = values.groupBy("k").agg(F.first("r").alias("r")).select("r.*")
+    return single.unionByName(one)
