@@ -12,7 +12,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prismcube.llm import decontamination, mixing, quality, queries, similarity, wavelet
+from prismcube.llm import decontamination, mixing, quality, queries, simhash, wavelet
 from prismcube.llm.common import table, written
 from prismcube.scratch import prepare_scratch
 
@@ -38,8 +38,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @with_scratch
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: 0.8 or more of their five-word shingles are common."""
-    return similarity.one_of_each(docs)
+    """One document of each group of near-duplicates, by the shingles and the bit distance of ``op7_simhash``."""
+    return simhash.one_of_each(docs)
 
 
 @with_scratch
