@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -189,12 +190,25 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
             parsers.named(kind, end + 1)
     spans = parsers.spans
     if any(spans[k] for k in KINDS[4:]):
-        base = [s for k in BASE_KINDS for s in spans[k]]
+        starts, ends = covered([s for k in BASE_KINDS for s in spans[k]])
         for kind in KINDS[4:]:
-            spans[kind] = [(a, b) for a, b in spans[kind] if not any(a < y and x < b for x, y in base)]
+            spans[kind] = [(a, b) for a, b in spans[kind] if (i := bisect_right(ends, a)) == len(ends) or starts[i] >= b]
     return spans
 
 
+def covered(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def listed(spans: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> str:
     """``kind:start:end`` by kind, then start, joined by commas."""
     return ",".join(f"{kind}:{a}:{b}" for kind in kinds for a, b in sorted(spans[kind]))
