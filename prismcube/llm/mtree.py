@@ -238,13 +238,13 @@ def top_products(vectors: DataFrame, every: int = 20, k: int = 20, block: int =
     ``every``. Components become ``floor(64 * x)``; the score is the inner
     product, exact while its parts stay below 2**53. Ties go to smaller ids, a
     NULL id last. Vectors that are NULL or hold a NULL, NaN or infinity take no
-    part, nor do empty ones; shorter vectors count as ending in zeros. Rows
+    part; shorter vectors, empty ones too, count as ending in zeros. Rows
     with one id are separate queries.
     """
     x = F.col("embedding")
     finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
     valid = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).where(
-        F.col("embedding").isNotNull() & (F.size(x) > 0) & finite
+        F.col("embedding").isNotNull() & finite
     )
     blocks = max(1, -(-valid.count() // block))
     trees = written(valid.repartition(blocks).mapInArrow(_trees(block), "part int, block long, tree binary"), "trees")
@@ -261,7 +261,7 @@ def top_products(vectors: DataFrame, every: int = 20, k: int = 20, block: int =
 ORACLE = """
 with parts as (
   select row_number() over () as row, vec_id, embedding from embeddings
-  where embedding is not null and len(embedding) > 0
+  where embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scaled as (
   select row, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from parts

@@ -12,7 +12,7 @@ VECTOR = "vec_id long, embedding array<float>"
 
 
 def plain_top(rows, every=20, k=20):
-    usable = [(i, np.floor(64 * np.array(v, dtype=np.float32).astype(float))) for i, v in rows if v and None not in v and np.isfinite(v).all()]
+    usable = [(i, np.floor(64 * np.array(v, dtype=np.float32).astype(float))) for i, v in rows if v is not None and None not in v and np.isfinite(v).all()]
     out = []
     for a, (i, q) in enumerate(usable):
         if i is None or i % every:
