@@ -1,7 +1,7 @@
 """Mix sources to target weights with hash-threshold histograms.
 
-Every document has a hash of its id, so "the documents below a threshold" is a
-fixed, nested family of subsets of each source. Sizes are summed by source and
+Every document has a hash of its id and text, so "the documents below a
+threshold" is a fixed, nested family of subsets of each source. Sizes are summed by source and
 hash bucket; where the running sum passes the budget lies the boundary bucket,
 and only its documents are summed again, by the next bits of the hash, until
 the boundary is one hash value. The mix is then a filter: nothing is sorted, and
@@ -39,9 +39,10 @@ def word_count(text: Column) -> Column:
     return F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit(WORD))).cast("long")
 
 
-def document_hash(doc_id: Column) -> Column:
-    """The first 60 bits of the MD5 of the id as text; a NULL id counts as the empty text."""
-    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+def document_hash(doc_id: Column, text: Column) -> Column:
+    """The first 60 bits of the MD5 of the id, a colon and the text; NULL counts as empty."""
+    both = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    digest = F.md5(both.cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -112,7 +113,7 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 def sized_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, h``: all that the thresholds need, counted once."""
-    size, h = word_count(F.col("text")).alias("size"), document_hash(F.col("doc_id")).alias("h")
+    size, h = word_count(F.col("text")).alias("size"), document_hash(F.col("doc_id"), F.col("text")).alias("h")
     return written(docs.select("doc_id", "source", size, h), "mix-sizes")
 
 
@@ -125,10 +126,10 @@ def mix_copies(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     """How often each document is taken: ``doc_id, source, size, h, source_size, target, copies``.
 
     One row per row of ``docs``, of which ``doc_id``, ``text`` and ``source``
-    are read. Rows with one id are taken alike, a NULL text has no word, NULL
-    is a source of its own and the last, and no rows give no rows. The words
-    taken from a source miss its target by less than the words of the rows
-    that share the boundary's hash.
+    are read. Rows equal in id and text are taken alike, a NULL text has no
+    word, NULL is a source of its own and the last, and no rows give no rows.
+    The words taken from a source miss its target by less than the words of
+    the rows that share the boundary's hash.
     """
     sized = sized_documents(docs)
     found = found_thresholds(sized, mix or Mix()).withColumnRenamed("source", "_source")
@@ -151,19 +152,17 @@ def mixed_documents(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     The thresholds are one row per source, so the documents meet them in one
     join, and their text is neither shuffled nor counted again.
     """
-    found = found_thresholds(sized_documents(docs), mix or Mix()).select(
-        F.col("source").alias("_mix_source"), F.col("whole").alias("_mix_whole"), F.col("below").alias("_mix_below")
-    )
-    copies = F.col("_mix_whole") + (document_hash(docs["doc_id"]) < F.col("_mix_below")).cast("long")
-    joined = docs.join(found, docs["source"].eqNullSafe(found["_mix_source"]))
-    taken = joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_mix_copy"))
-    return taken.drop("_mix_copy")
+    found = found_thresholds(sized_documents(docs), mix or Mix()).select("source", "whole", "below")
+    copies = found["whole"] + (document_hash(docs["doc_id"], docs["text"]) < found["below"]).cast("long")
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    joined = docs.join(found, docs["source"].eqNullSafe(found["source"]))
+    return joined.select(row, F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("row.*")
 
 
 ORACLE = r"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
+         ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')), 1, 15))::bigint as h
   from documents
 ), ranked as (
   select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as rank

@@ -114,7 +114,7 @@ def words(text):
     return len((text or "").encode().split())
 
 
-def held_against_plain(rows, docs):
+def held_against_plain(rows, docs, alike=True):
     sizes = {}
     for _, text, source in docs:
         sizes[source] = sizes.get(source, 0) + words(text)
@@ -123,7 +123,7 @@ def held_against_plain(rows, docs):
     taken, largest = dict.fromkeys(sizes, 0), dict.fromkeys(sizes, 0)
     same_id = {}
     for i, text, source in docs:
-        same_id[i, source] = same_id.get((i, source), 0) + words(text)
+        same_id[i, source] = (same_id.get((i, source), 0) if alike else 0) + words(text)
     for (i, _, source), n in zip(docs, (same_id[i, s] for i, _, s in docs), strict=True):
         largest[source] = max(largest[source], n)
     by_key = {}
@@ -167,9 +167,25 @@ def test_mix_of_awkward_rows(spark):
     assert mixing.mixed_documents(no_documents(spark)).count() == 0
 
 
-def test_document_hash_is_that_of_the_id(spark):
-    got = dict(spark.range(5).select("id", mixing.document_hash(F.col("id")).alias("h")).collect())
-    assert got == {i: int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) for i in range(5)}
+def test_document_hash_is_that_of_id_and_text(spark):
+    rows = [(1, "a"), (1, "b"), (None, "é"), (None, None)]
+    got = spark.createDataFrame(rows, "doc_id long, text string").select(mixing.document_hash(F.col("doc_id"), F.col("text"))).collect()
+    plain = [f"{'' if i is None else i}:{t or ''}" for i, t in rows]
+    assert [r[0] for r in got] == [int(hashlib.md5(p.encode()).hexdigest()[:15], 16) for p in plain]
+
+
+def test_mix_where_ids_are_missing_or_repeated(spark):
+    """Half of a source has no id and a third of the rest one id; texts tell them apart."""
+    rows = [(None if i % 2 else (7 if i % 3 else i), f"w{i} " + "x " * (2 * (i % 17) + (i % 5 == 0)), None, "a" if i % 5 else "b", 0) for i in range(900)]
+    got = mixing.mix_sources(documents(spark, rows)).collect()
+    held_against_plain(got, [(i, t, s) for i, t, _, s, _ in rows], alike=False)
+
+
+def test_mixed_documents_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", "s"), (2, "c", "s")], "doc_id long, text string, source string")
+    docs = docs.withColumns({c: F.lit(c) for c in ("whole", "below", "row", "col", "_mix_source", "_mix_copy")})
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and mixed.select("whole", "row").distinct().collect() == [("whole", "row")]
 
 
 # --- Pipeline -------------------------------------------------------------
@@ -192,7 +208,7 @@ def test_stages_against_plain_versions(spark):
 
     before, after = kept["near_dedup"]
     before.sort(key=lambda r: r["doc_id"])
-    prints = [plain_fingerprint(r["text"], 5) for r in before]
+    prints = [plain_fingerprint(r["text"]) for r in before]
     top = groups(len(before), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
     assert sorted(r["doc_id"] for r in after) == sorted({before[t]["doc_id"] for t in top})
 
