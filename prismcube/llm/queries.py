@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.llm import decontamination, language_id, mixing, mtree, pii, quality, secret_scan, simhash, url_model, wavelet
+from prismcube.llm import (
+    alignment,
+    decontamination,
+    hard_negatives,
+    language_id,
+    mixing,
+    mtree,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+    toxicity,
+    url_model,
+    wavelet,
+)
 from prismcube.llm.common import crc32_remainder, table
 
 
@@ -64,6 +78,26 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(held_out(docs, 3, 1), weights)
 
 
+def toxic_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled ids that may be learned from."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return labels.where(crc32_remainder(F.col("doc_id"), 5) != 0)
+
+
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, toxic_labels(spark, folder))
+    return toxicity.score_toxicity(held_out(docs, 5, 0), machine)
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.with_wrong_labels(table(spark, folder, "embeddings")))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_digests(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_shards": op2_token_shards,
@@ -75,9 +109,13 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
+    "op11_toxicity": op11_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
     "op5_top_products": mtree.ORACLE,
     "op9_source_mix": mixing.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
