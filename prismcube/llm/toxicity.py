@@ -47,7 +47,7 @@ LETTER_BITS = 5
 #: Landmarks that stand out in toxic documents, and common ones.
 STANDING_OUT, COMMON = 96, 32
 #: Most labelled documents of either label that the machine is fitted to, those with the smallest id hashes.
-TRAINING_ROWS = 4_000
+TRAINING_ROWS = 2_000
 #: Worst stretches, each of another sentence, that a clean document gives in a round, and rounds.
 WORST, ROUNDS = 4, 6
 #: Decisions are counted in bins of this width for calibration, up to so many on either side.
@@ -222,7 +222,7 @@ def support_vectors(rows: np.ndarray, labels: np.ndarray, cost: float, passes: i
 
     ``labels`` are 1 and -1; both sides weigh the same in all.
     """
-    x = np.hstack((rows, np.ones((len(rows), 1))))
+    x = np.hstack((rows, np.ones((len(rows), 1), dtype=rows.dtype)))
     side = np.where(labels > 0, len(labels) / max(1, 2 * (labels > 0).sum()), len(labels) / max(1, 2 * (labels < 0).sum()))
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
@@ -236,7 +236,7 @@ def support_vectors(rows: np.ndarray, labels: np.ndarray, cost: float, passes: i
     for _ in range(passes):
         margin = labels * (x @ w)
         inside = margin < 1
-        own, weight = x[inside], 2 * cost * side[inside]
+        own, weight = x[inside].astype(np.float64), 2 * cost * side[inside]
         gradient = ridge @ w - (weight * labels[inside] * (1 - margin[inside])) @ own
         step = np.linalg.solve(ridge + (own * weight[:, None]).T @ own, gradient)
         rate = 1.0
@@ -401,8 +401,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, rounds:
         clean.append(new)
         rows = np.vstack([toxic, *clean])
         sides = np.where(np.arange(len(rows)) < len(toxic), 1, -1)
-        weights, offset = support_vectors(rows @ landmarks.whitening, sides, COST)
+        weights, offset = support_vectors(rows @ landmarks.whitening.astype(np.float32), sides, COST)
         machine = Machine(landmarks.weights(landmarks.whitening @ weights), offset)
+        shared.unpersist()
     counted = labelled.mapInArrow(_bins(context.broadcast(machine)), "bin int, label int").groupBy("bin").agg(
         F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean")
     )
@@ -414,7 +415,7 @@ def _by_label(table: pa.Table, wide: int) -> tuple[np.ndarray, np.ndarray]:
     """The kernels of toxic and of clean documents as rows."""
     of = table.column("label").to_pylist()
     kernels = [k.values.to_numpy().reshape(-1, wide) for k in table.column("kernels")]
-    return tuple(np.vstack([np.zeros((0, wide)), *(k for k, own in zip(kernels, of, strict=True) if own == label)]) for label in (1, 0))
+    return tuple(np.vstack([np.zeros((0, wide), dtype=np.float32), *(k for k, own in zip(kernels, of, strict=True) if own == label)]) for label in (1, 0))
 
 
 def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
