@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prismcube.llm.common import text_chunks, texts_of, written
+from prismcube.operators.joins import measured
 
 #: Letters of a sequence, the weight of one more character of span, and the longest span.
 ORDER, DECAY, REACH = 4, 0.8, 7
@@ -374,7 +375,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, rounds:
     """
     context = docs.sparkSession.sparkContext
     known = labels.select("doc_id", F.col("label").cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-    labelled = docs.select("doc_id", "text").join(known.distinct(), "doc_id")
+    # Labels that are few enough go to the documents, so that no text is shuffled.
+    labelled = docs.select("doc_id", "text").join(measured(known.distinct()), "doc_id")
     labelled = written(labelled.select(F.xxhash64("doc_id").alias("place"), F.xxhash64("text").alias("text_hash"), "label", "text"), "labelled")
     out, common = choose_landmarks(labelled)
     landmarks = Landmarks.of([*out, *common])
