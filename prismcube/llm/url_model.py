@@ -2,11 +2,13 @@
 
 The URLs that rules accept and those that rules reject teach a variable-order
 Markov model each: counts of every character after its last 0 to 5 characters,
-interpolated from the shortest context to the longest one seen. Contexts are
-hashed, so a model is a few tables of fixed size, broadcast and looked up in
-numpy. A URL's score is the difference of its log-likelihoods, divided by its
-length; the score from which URLs pass is calibrated on labelled URLs that the
-models haven't seen.
+interpolated from the shortest context to the longest one seen. The models are
+one table of contexts that grows with the URLs, named by 64 bits of hash so that
+no two of them share counts. URLs meet it by broadcast while it is small, else
+in blocks, each of which is joined with the contexts that it asks for. A URL's
+score is the difference of its log-likelihoods, divided by its length; the score
+from which URLs pass is calibrated on labelled URLs that the models haven't
+seen.
 """
 
 from __future__ import annotations
@@ -16,15 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import mix, row_sums, text_chunks
+from prismcube.llm.common import mix, row_sums, text_chunks, written
 
-#: Longest context, buckets per order as a power of two, and the weight of the shorter context.
+#: Longest context, and the weight of the shorter context.
 ORDER = 5
-BUCKET_BITS = 15
 BACKOFF = 4.0
+#: Most contexts that are broadcast.
+BROADCAST_CONTEXTS = 1_500_000
 #: One labelled URL in so many calibrates instead of teaching.
 FOLDS = 5
 #: Scores are counted in bins of this width, up to this distance from 0.
@@ -85,7 +89,7 @@ def model_text(url: Column, host: Column) -> Column:
 
 
 def contexts(texts: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """For each order, the buckets of every character's context and of the context with the character.
+    """For each order, the names of every character's context and of the context with the character.
 
     A text is preceded by ``ORDER`` marks and followed by one. Also returns
     the number of characters of each text, the final mark included.
@@ -95,77 +99,132 @@ def contexts(texts: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], n
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     begins = np.cumsum(lengths + ORDER) - lengths
     at = np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    found, context = [], np.full(len(at), 7, dtype=np.uint64)
-    shift = np.uint64(64 - BUCKET_BITS)
+    # What is hashed is one number per context: order, whether a character follows, and up to six bytes.
+    found, context = [], np.zeros(len(at), dtype=np.uint64)
     for k in range(ORDER + 1):
         if k:
-            context = context * np.uint64(0x100000001B3) + symbols[at - k] + np.uint64(1)
-        found.append((mix(context) >> shift, mix(context * np.uint64(0x100000001B3) + symbols[at] + np.uint64(257)) >> shift))
+            context = context << np.uint64(8) | symbols[at - k]
+        kind = np.uint64(2 * k) << np.uint64(56)
+        joint = np.uint64(2 * k + 1) << np.uint64(56) | context << np.uint64(8) | symbols[at]
+        found.append((mix(kind | context).view(np.int64), mix(joint).view(np.int64)))
     return found, lengths
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's rows: entry ``((verdict * orders) + order) * 2 + joint``, bucket."""
-    totals = np.zeros((2, ORDER + 1, 2, 1 << BUCKET_BITS), dtype=np.int64)
+    """How often each context of a chunk stands in rejected and in accepted URLs."""
     for batch in text_chunks(batches, "said"):
         allowed = np.array(batch.column("verdict").to_pylist()) == "allow"
         found, lengths = contexts([t.encode("utf-8", "replace") for t in batch.column("said").to_pylist()])
-        for side in (0, 1):
-            own = np.repeat(allowed == bool(side), lengths)
-            for k, pair in enumerate(found):
-                for joint, buckets in enumerate(pair):
-                    totals[side, k, joint] += np.bincount(buckets[own].astype(np.int64), minlength=1 << BUCKET_BITS)
-    flat = totals.reshape(-1)
-    used = np.flatnonzero(flat)
-    yield pa.RecordBatch.from_pydict({"entry": used, "n": flat[used]})
+        accepted = np.repeat(allowed, lengths)
+        names, place = np.unique(np.concatenate([x for pair in found for x in pair]), return_inverse=True)
+        every = np.bincount(place, minlength=len(names))
+        own = np.bincount(place, weights=np.tile(accepted, 2 * len(found)), minlength=len(names)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(every - own), pa.array(own)], ["name", "rejected", "accepted"])
 
 
 @dataclass(frozen=True)
 class Model:
-    """Counts by side (0 rejected, 1 accepted), order, and context or context with character."""
+    """Names of contexts, sorted, and how often they stand in rejected and in accepted URLs."""
 
-    counts: np.ndarray
-    threshold: float = 0.0
+    names: np.ndarray
+    counts: np.ndarray  # side by context
+
+    @classmethod
+    def of(cls, table: pa.Table | pa.RecordBatch) -> Model:
+        names = table.column("name").to_numpy()
+        order = np.argsort(names)
+        return cls(names[order], np.stack([table.column(c).to_numpy()[order] for c in ("rejected", "accepted")]))
+
+    def seen(self, names: np.ndarray) -> np.ndarray:
+        """The counts of contexts by side, 0 for those that aren't there."""
+        if not len(self.names):
+            return np.zeros((2, len(names)), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return np.where(self.names[at] == names, self.counts[:, at], 0)
 
 
 def scores(texts: list[bytes], model: Model) -> np.ndarray:
     """Log-likelihood as an accepted URL less that as a rejected one, by length; 0 for an empty text."""
     found, lengths = contexts(texts)
-    logs = []
-    for side in model.counts:
-        p = np.full(int(lengths.sum()), 1 / 257)
-        for (context, joint), (seen, seen_joint) in zip(found, side, strict=True):
-            p = (np.minimum(seen_joint[joint], seen[context]) + BACKOFF * p) / (seen[context] + BACKOFF)
-        logs.append(np.log(p))
+    p = np.full((2, int(lengths.sum())), 1 / 257)
+    for context, joint in found:
+        p = (model.seen(joint) + BACKOFF * p) / (model.seen(context) + BACKOFF)
+    logs = np.log(p)
     return np.where(lengths > 1, row_sums(logs[1] - logs[0], lengths) / lengths, 0.0)
 
 
-def train(judged: DataFrame) -> Model:
-    """Learn from the rows of ``url, host, verdict`` that a rule judged.
+def _encoded(batch: pa.RecordBatch) -> list[bytes]:
+    return [t.encode("utf-8", "replace") for t in batch.column("said").to_pylist()]
+
+
+def _block_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The URLs of a partition in blocks of bounded size, each with the contexts that it asks for."""
+    part, number = TaskContext.get().partitionId(), 0
+    for batch in text_chunks(batches, "said"):
+        found, _ = contexts(_encoded(batch))
+        names = np.unique(np.concatenate([x for pair in found for x in pair]))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part << 32 | number]), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([names], pa.list_(pa.int64()))],
+            ["block", "rows", "names"],
+        )
+        number += 1
+
+
+def with_scores(rows: DataFrame, model: DataFrame, most: int = BROADCAST_CONTEXTS) -> DataFrame:
+    """``rows`` with the ``score`` of their column ``said``; ``model`` is a written table of contexts.
+
+    Up to ``most`` contexts are broadcast. More of them are joined with the
+    contexts of blocks of rows, whose number is bounded by the block's bytes.
+    """
+    schema = f"{', '.join(f'`{c}` {t}' for c, t in rows.dtypes)}, score double"
+
+    def scored(batch: pa.RecordBatch, own: Model) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores(_encoded(batch), own))], [*batch.schema.names, "score"])
+
+    if model.count() <= most:
+        shared = rows.sparkSession.sparkContext.broadcast(Model.of(model.toArrow()))
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in text_chunks(batches, "said"):
+                yield scored(batch, shared.value)
 
-    All rows count, those of one fold in the calibration. What reaches the
-    driver are the counts of buckets and of score bins, whatever the input's
-    size. If no URL was accepted or none rejected, all scores are compared
-    with 0.
+        return rows.mapInArrow(each, schema)
+
+    blocks = written(rows.mapInArrow(_block_contexts, "block long, rows binary, names array<long>"), "url-blocks")
+    asked = blocks.select("block", F.explode("names").alias("name")).join(model, "name", "left")
+    entry = F.struct("name", F.coalesce("rejected", F.lit(0)).alias("rejected"), F.coalesce("accepted", F.lit(0)).alias("accepted"))
+    own = asked.groupBy("block").agg(F.collect_list(entry).alias("model"))
+
+    def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                entries = batch.column("model")[i].values
+                own_model = Model.of(pa.RecordBatch.from_arrays(entries.flatten(), ["name", "rejected", "accepted"]))
+                for packed in pa.ipc.open_stream(batch.column("rows")[i].as_py()):
+                    yield scored(packed, own_model)
+
+    return blocks.select("block", "rows").join(own, "block").select("rows", "model").mapInArrow(each_block, schema)
+
+
+def train(judged: DataFrame, most: int = BROADCAST_CONTEXTS) -> tuple[DataFrame, float]:
+    """The table of contexts ``name, rejected, accepted``, and the score from which URLs pass.
+
+    Learns from the rows of ``url, host, verdict`` that a rule judged. All of
+    them count, those of one fold in the calibration. If no URL was accepted
+    or none rejected, all scores are compared with 0.
     """
     said = model_text(F.col("url"), F.col("host")).alias("said")
     labelled = judged.where(F.col("verdict").isNotNull()).select("verdict", said)
     calibrates = F.crc32(F.col("said").cast("binary")) % FOLDS == 0
-    counted = labelled.where(~calibrates).mapInArrow(_count, "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    flat = np.zeros(2 * (ORDER + 1) * 2 << BUCKET_BITS)
-    flat[table.column("entry").to_numpy()] = table.column("n").to_numpy()
-    model = Model(flat.reshape(2, ORDER + 1, 2, 1 << BUCKET_BITS))
-    shared = judged.sparkSession.sparkContext.broadcast(model)
-
-    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "said"):
-            found = scores([t.encode("utf-8", "replace") for t in batch.column("said").to_pylist()], shared.value)
-            place = np.round(np.clip(found, -REACH, REACH) / BIN).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("verdict"), pa.array(place)], ["verdict", "bin"])
-
-    rows = labelled.where(calibrates).mapInArrow(bins, "verdict string, bin long").groupBy("verdict", "bin").count().collect()
-    return Model(model.counts, best_threshold([(r["verdict"] == "allow", r["bin"], r["count"]) for r in rows]))
+    counted = labelled.where(~calibrates).mapInArrow(_count, "name long, rejected long, accepted long")
+    model = written(counted.groupBy("name").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")), "url-contexts")
+    scored = with_scores(labelled.where(calibrates), model, most)
+    place = F.round(F.greatest(F.least(F.col("score"), F.lit(REACH)), F.lit(-REACH)) / BIN).cast("long")
+    rows = scored.groupBy("verdict", place.alias("bin")).count().collect()
+    return model, best_threshold([(r["verdict"] == "allow", r["bin"], r["count"]) for r in rows])
 
 
 def best_threshold(rows: list[tuple[bool, int, int]]) -> float:
@@ -188,26 +247,16 @@ def best_threshold(rows: list[tuple[bool, int, int]]) -> float:
     return (low + places[i]) / 2 * BIN
 
 
-def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, most: int = BROADCAST_CONTEXTS) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` for each row of ``pages``.
 
     ``score`` is the models' for every URL; the verdict is the rule's where
     one fits, else ``allow`` from the threshold on. A NULL or empty URL has
-    score 0.
+    score 0. Up to ``most`` contexts are broadcast.
     """
     judged = judged_by_rules(pages, rules)
-    shared = pages.sparkSession.sparkContext.broadcast(train(judged))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "said"):
-            found = scores([t.encode("utf-8", "replace") for t in batch.column("said").to_pylist()], shared.value)
-            ruled = batch.column("verdict").to_pylist()
-            verdicts = [v or ("allow" if s >= shared.value.threshold else "block") for v, s in zip(ruled, found, strict=True)]
-            kept = [batch.column("page_id").cast("int64"), *(batch.column(c) for c in ("host", "path", "rule"))]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(verdicts, pa.string()), pa.array(found)], ["page_id", "host", "path", "rule", "verdict", "score"]
-            )
-
+    model, threshold = train(judged, most)
     said = model_text(F.col("url"), F.col("host")).alias("said")
-    columns = judged.select("page_id", "host", "path", "rule", "verdict", said)
-    return columns.mapInArrow(score, "page_id long, host string, path string, rule string, verdict string, score double")
+    scored = with_scores(judged.select(F.col("page_id").cast("long").alias("page_id"), "host", "path", "rule", "verdict", said), model, most)
+    found = F.when(F.col("score") >= threshold, "allow").otherwise("block")
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", found).alias("verdict"), "score")

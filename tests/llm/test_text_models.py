@@ -1,5 +1,6 @@
 """Language id, quality classifier, URL models."""
 
+import random
 import zlib
 
 import numpy as np
@@ -141,39 +142,65 @@ def test_rules_of_urls(spark):
     assert url_model.filter_urls(pages.limit(0)).count() == 0
 
 
-def plain_scores(learned, text):
-    """The same models with exact contexts in dictionaries."""
+def plain_scores(learned, texts):
+    """The same models with contexts in dictionaries."""
+    counts = {"allow": {}, "block": {}}
+    for t, verdict in learned:
+        s = b"\x02" * url_model.ORDER + t + b"\x03"
+        own = counts[verdict]
+        for i in range(url_model.ORDER, len(s)):
+            for k in range(url_model.ORDER + 1):
+                for key in ((k, s[i - k : i]), (k, s[i - k : i], s[i])):
+                    own[key] = own.get(key, 0) + 1
 
-    def likelihood(side):
-        counts, total = {}, 0.0
-        for t, verdict in learned:
-            if verdict == side:
-                s = b"\x02" * url_model.ORDER + t + b"\x03"
-                for i in range(url_model.ORDER, len(s)):
-                    for k in range(url_model.ORDER + 1):
-                        for key in ((k, s[i - k : i]), (k, s[i - k : i], s[i])):
-                            counts[key] = counts.get(key, 0) + 1
-        s = b"\x02" * url_model.ORDER + text + b"\x03"
+    def likelihood(own, text):
+        s, total = b"\x02" * url_model.ORDER + text + b"\x03", 0.0
         for i in range(url_model.ORDER, len(s)):
             p = 1 / 257
             for k in range(url_model.ORDER + 1):
-                n = counts.get((k, s[i - k : i]), 0)
-                p = (counts.get((k, s[i - k : i], s[i]), 0) + url_model.BACKOFF * p) / (n + url_model.BACKOFF)
+                n = own.get((k, s[i - k : i]), 0)
+                p = (own.get((k, s[i - k : i], s[i]), 0) + url_model.BACKOFF * p) / (n + url_model.BACKOFF)
             total += np.log(p)
         return total
 
-    return (likelihood("allow") - likelihood("block")) / (len(text) + 1)
-
-
-def test_url_scores_against_exact_contexts(spark):
-    urls = [f"http://{n}.org/en/{i}" for i, n in enumerate("abcdef")] + [f"http://{n}.com/de/{i}" for i, n in enumerate("uvwxyz")]
-    judged = url_model.judged_by_rules(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
-    model = url_model.train(judged)
-    texts = [u.split("://")[1].encode() for u in urls]
-    learned = [(t, "allow" if b"org" in t else "block") for t in texts if zlib.crc32(t) % url_model.FOLDS]
-    wanted = [t for t in [*texts, b"q.org/en/77", b"net"]]
-    got = url_model.scores(wanted, model)
-    assert np.allclose(got, [plain_scores(learned, t) for t in wanted], atol=1e-6)
+    return [(likelihood(counts["allow"], t) - likelihood(counts["block"], t)) / (len(t) + 1) if t else 0.0 for t in texts]
+
+
+def taught(texts):
+    return [(t, verdict) for t, verdict in texts if zlib.crc32(t) % url_model.FOLDS]
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_url_scores_against_plain_contexts(spark, most):
+    """All URLs of a table, with the contexts broadcast and joined."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").unionByName(
+        spark.createDataFrame([(-1, None, "h"), (-2, "", "h"), (-3, "http://É.org/" + "x" * 5000, "h")], "page_id long, url string, html string")
+    )
+    rows = pages.select("page_id", url_model.model_text(F.col("url"), url_model.host_and_path(F.col("url"))[0]).alias("said")).collect()
+    got = {r["page_id"]: r for r in url_model.filter_urls(pages, most=most).collect()}
+    assert len(got) == len(rows)
+    texts = {r["page_id"]: r["said"].encode() for r in rows}
+    learned = taught([(texts[i], r["verdict"]) for i, r in got.items() if r["rule"]])
+    wanted = dict(zip(texts, plain_scores(learned, texts.values()), strict=True))
+    assert all(r["score"] == pytest.approx(wanted[i], abs=1e-9) for i, r in got.items())
+    judged = [i for i, r in got.items() if r["rule"] is None]
+    threshold = url_model.train(url_model.judged_by_rules(pages), most)[1]
+    assert all(got[i]["verdict"] == ("allow" if wanted[i] >= threshold else "block") for i in judged)
+
+
+def test_contexts_never_share_a_name():
+    draw = random.Random(4)
+    texts = [bytes(draw.choice(b"ab\x00\x02\x03\xff") for _ in range(draw.randint(0, 9))) for _ in range(4000)]
+    found, _ = url_model.contexts(texts)
+    seen = {}
+    at = 0
+    for t in texts:
+        s = b"\x02" * url_model.ORDER + t + b"\x03"
+        for i in range(url_model.ORDER, len(s)):
+            for k, (context, joint) in enumerate(found):
+                assert seen.setdefault(int(context[at]), (k, s[i - k : i])) == (k, s[i - k : i])
+                assert seen.setdefault(int(joint[at]), (k, s[i - k : i], s[i])) == (k, s[i - k : i], s[i])
+            at += 1
 
 
 def test_threshold_divides_best():
@@ -184,6 +211,6 @@ def test_threshold_divides_best():
 def test_url_models_tell_held_out_labels(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = url_model.filter_urls(pages).where("rule is not null").collect()
-    threshold = url_model.train(url_model.judged_by_rules(pages)).threshold
+    threshold = url_model.train(url_model.judged_by_rules(pages))[1]
     right = sum((r["score"] >= threshold) == (r["verdict"] == "allow") for r in rows)
     assert right >= 0.9 * len(rows)
