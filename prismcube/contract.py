@@ -78,40 +78,48 @@ class Contract:
         return T.StructType([T.StructField(n, T.StringType()) for n in self.names])
 
 
-def _attrs(names: str, **kw) -> list[ColumnSpec]:
-    return [ColumnSpec(n, **kw) for n in names.split()]
-
-
 # The wide sales table, in column order.
-_DATE_PARTS = "year month day weekday quarter"
 SALES = Contract(
-    tuple(
-        [
-            ColumnSpec("sales_id", not_null=True, unique=True, role="fact"),
-            ColumnSpec("sales_date", not_null=True, role="fact"),
-            ColumnSpec("total_amount", kind="float", not_null=True, role="fact"),
-            ColumnSpec("customer_id", not_null=True),
-        ]
-        + _attrs("first_name last_name email")
-        + _attrs("residential_location customer_segment", dictionary=True)
-        + _attrs("product_id", not_null=True, dictionary=True)
-        + _attrs("product_name category brand origin_location", dictionary=True)
-        + _attrs("store_id", not_null=True, dictionary=True)
-        + _attrs("store_name store_type store_location", dictionary=True)
-        + _attrs("salesperson_id", not_null=True, dictionary=True)
-        + _attrs("salesperson_name salesperson_role", dictionary=True)
-        + _attrs("campaign_id", not_null=True, dictionary=True)
-        + _attrs("campaign_name", dictionary=True)
-        + _attrs("campaign_budget", kind="integer")
-        + _attrs("store_manager_id store_manager_name store_manager_role", dictionary=True)
-        + [
-            spec
-            for role in ("campaign_start", "campaign_end")
-            for spec in [
-                ColumnSpec(f"{role}_date"),
-                *(ColumnSpec(f"{role}_{part}", kind="integer") for part in _DATE_PARTS.split()),
-            ]
-        ]
+    (
+        ColumnSpec("sales_id", not_null=True, unique=True, role="fact"),
+        ColumnSpec("sales_date", not_null=True, role="fact"),
+        ColumnSpec("total_amount", kind="float", not_null=True, role="fact"),
+        ColumnSpec("customer_id", not_null=True),
+        ColumnSpec("first_name"),
+        ColumnSpec("last_name"),
+        ColumnSpec("email"),
+        ColumnSpec("residential_location", dictionary=True),
+        ColumnSpec("customer_segment", dictionary=True),
+        ColumnSpec("product_id", not_null=True, dictionary=True),
+        ColumnSpec("product_name", dictionary=True),
+        ColumnSpec("category", dictionary=True),
+        ColumnSpec("brand", dictionary=True),
+        ColumnSpec("origin_location", dictionary=True),
+        ColumnSpec("store_id", not_null=True, dictionary=True),
+        ColumnSpec("store_name", dictionary=True),
+        ColumnSpec("store_type", dictionary=True),
+        ColumnSpec("store_location", dictionary=True),
+        ColumnSpec("salesperson_id", not_null=True, dictionary=True),
+        ColumnSpec("salesperson_name", dictionary=True),
+        ColumnSpec("salesperson_role", dictionary=True),
+        ColumnSpec("campaign_id", not_null=True, dictionary=True),
+        ColumnSpec("campaign_name", dictionary=True),
+        ColumnSpec("campaign_budget", kind="integer"),
+        ColumnSpec("store_manager_id", dictionary=True),
+        ColumnSpec("store_manager_name", dictionary=True),
+        ColumnSpec("store_manager_role", dictionary=True),
+        ColumnSpec("campaign_start_date"),
+        ColumnSpec("campaign_start_year", kind="integer"),
+        ColumnSpec("campaign_start_month", kind="integer"),
+        ColumnSpec("campaign_start_day", kind="integer"),
+        ColumnSpec("campaign_start_weekday", kind="integer"),
+        ColumnSpec("campaign_start_quarter", kind="integer"),
+        ColumnSpec("campaign_end_date"),
+        ColumnSpec("campaign_end_year", kind="integer"),
+        ColumnSpec("campaign_end_month", kind="integer"),
+        ColumnSpec("campaign_end_day", kind="integer"),
+        ColumnSpec("campaign_end_weekday", kind="integer"),
+        ColumnSpec("campaign_end_quarter", kind="integer"),
     )
 )
 
