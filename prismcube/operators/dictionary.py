@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import checkpointed
 from .joins import left_join, salted_left_joins, size_columns, within_limits
 from .numbering import dense_number
+from .probing import HASH, key_hash, near
 
 SCHEMA = "`column` string, value string, code bigint"
 INVALID = "<INVALID>"
@@ -28,14 +30,28 @@ def build_dictionary(df: DataFrame, columns: Sequence[str], position: str = "row
 
 
 def new_entries(
-    dictionary: DataFrame, batch: DataFrame, columns: Sequence[str], position: str = "row_id"
+    dictionary: DataFrame, batch: DataFrame, columns: Sequence[str], position: str = "row_id", sizes: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """Entries for the values of ``batch`` that the dictionary lacks; codes go on where it ends."""
-    unseen = first_seen(batch, columns, position).join(dictionary, ["column", "value"], "left_anti")
+    """Entries for the values of ``batch`` that the dictionary lacks; codes go on where it ends.
+
+    ``sizes`` are the entries of each column where they are known, so that
+    they needn't be counted. Of a dictionary with the ``probing.key_hash`` of
+    column and value only what may be a value of the batch is read.
+    """
+    seen = first_seen(batch, columns, position)
+    if HASH in dictionary.columns:
+        seen = checkpointed(seen.withColumn(HASH, key_hash("column", "value")))
+        known = near(dictionary, seen)
+        unseen = seen.join(known, [HASH, "column", "value"], "left_anti").drop(HASH)
+    else:
+        unseen = seen.join(dictionary, ["column", "value"], "left_anti")
     coded = dense_number(unseen, "first_pos", ["column"], "code")
-    sizes = dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
+    if sizes is not None:
+        listed = [F.lit(x) for c in columns for x in (c, sizes.get(c, 0))]
+        return coded.select("column", "value", (F.col("code") + F.create_map(*listed)[F.col("column")]).alias("code"))
+    counted = dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
     start = F.coalesce(F.col("size"), F.lit(0))
-    return coded.join(F.broadcast(sizes), "column", "left").select(
+    return coded.join(F.broadcast(counted), "column", "left").select(
         "column", "value", (F.col("code") + start).alias("code")
     )
 
@@ -44,7 +60,8 @@ def extend_dictionary(
     dictionary: DataFrame, batch: DataFrame, columns: Sequence[str], position: str = "row_id"
 ) -> DataFrame:
     """The dictionary with the new values of a batch; old codes stay."""
-    return dictionary.unionByName(new_entries(dictionary, batch, columns, position))
+    old = dictionary.select("column", "value", "code")
+    return old.unionByName(new_entries(dictionary, batch, columns, position))
 
 
 def small_columns(dictionary: DataFrame, columns: Sequence[str]) -> set[str]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,14 @@ def size_columns(df: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
 
 
-def within_limits(size: Row) -> bool:
+def written_measured(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``df`` as a written table, and whether it is small enough to broadcast, measured while it is written."""
+    seen = Observation()
+    table = written(df.observe(seen, *size_columns(df)), name)
+    return table, within_limits({"rows": 0, "bytes": 0} | seen.get)
+
+
+def within_limits(size: Row | Mapping[str, int]) -> bool:
     """Whether a measured table is small enough to broadcast."""
     return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
 
@@ -117,9 +124,9 @@ def left_join(left: DataFrame, right: DataFrame, key: str, salted: bool = False)
     return joined.select(*left.columns, *[c for c in right.columns if c != key])
 
 
-def left_join_derived(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left_join`` with a derived table: measured, then broadcast or salted."""
-    if fits_broadcast(right):
+def left_join_derived(left: DataFrame, right: DataFrame, key: str, small: bool | None = None) -> DataFrame:
+    """``left_join`` with a derived table: broadcast or salted, as it was or is now measured."""
+    if fits_broadcast(right) if small is None else small:
         return left_join(left, F.broadcast(right), key)
     return left_join(left, right, key, salted=True)
 

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..functions.conversion import convert, is_missing
-from ..scratch import checkpointed
 from ..sources.csv import BAD_WIDTH
-from .joins import left_join_derived, size_columns, within_limits
+from .joins import left_join_derived, size_columns, within_limits, written_measured
+from .probing import HASH, MOST_NAMED, key_hash, near
 
 REASON = "reject_reason"
 EARLY, LATE = "_early_reason", "_late_reason"
@@ -41,36 +41,43 @@ def first_claims(rows: DataFrame, key: str, position: str, eligible: Column) ->
     return seen.where((F.col("rows") > 1) & F.col("first_pos").isNotNull()).select(key, "first_pos")
 
 
-def stored_claims(rows: DataFrame, key: str, stored: DataFrame) -> DataFrame:
+def key_text(column: str) -> Column:
+    """A unique value as it is compared: as text, a missing one as the empty text."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def stored_claims(rows: DataFrame, key: str, stored: DataFrame, size: Mapping[str, int] | None = None) -> DataFrame:
     """Keys of this batch that the table already holds, claimed before position 0.
 
-    Only the stored keys between the batch's least and greatest one are read:
-    the bounds reach the statistics of files and row groups, so a batch of new
-    ids skips the loads before it.
+    ``stored`` has the stored values in its first column. With a second one,
+    the ``probing.key_hash`` of the value's text, only the row groups that may
+    hold one of a small batch's keys are read. ``size`` are the batch's
+    ``rows`` and the ``bytes`` of its keys, where they are known.
     """
     name = stored.columns[0]
-    keys = rows.select(key)
-    bounds = [F.min(name).alias("low"), F.max(name).alias("high")]
-    measured = rows.agg(*size_columns(keys), *bounds).first()
-    keys = F.broadcast(keys.distinct()) if within_limits(measured) else keys.distinct()
-    near = stored.where(F.col(name).between(F.lit(measured["low"]), F.lit(measured["high"])))
-    taken = near.select(F.col(name).cast("string").alias(key)).join(keys, key, "left_semi")
+    keys = rows.select(key).distinct()
+    size = size or keys.agg(*size_columns(keys)).first().asDict()
+    if HASH in stored.columns and size["rows"] <= MOST_NAMED:
+        stored = near(stored, keys.select(key_hash(key)), size["rows"])
+    side = F.broadcast(keys) if within_limits(size) else keys
+    taken = stored.select(key_text(name).alias(key)).join(side, key, "left_semi")
     return taken.distinct().select(key, F.lit(-1).cast("bigint").alias("first_pos"))
 
 
 def mark_duplicates(
-    rows: DataFrame, key: str, position: str, eligible: Column, stored: DataFrame | None = None
+    rows: DataFrame, key: str, position: str, eligible: Column, stored: DataFrame | None = None, size: Mapping[str, int] | None = None
 ) -> DataFrame:
     """Add ``is_duplicate``: a stored row or an earlier eligible row has the same value.
 
     A missing value counts as the empty string. Rejected rows claim nothing.
     """
-    keyed = rows.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("")))
+    keyed = rows.withColumn("_key", key_text(key))
     claims = first_claims(keyed, "_key", position, eligible)
     if stored is not None:
-        claims = claims.unionByName(stored_claims(keyed, "_key", stored))
+        claims = claims.unionByName(stored_claims(keyed, "_key", stored, size))
         claims = claims.groupBy("_key").agg(F.min("first_pos").alias("first_pos"))
-    marked = left_join_derived(keyed, checkpointed(claims), "_key")
+    claims, small = written_measured(claims, "claims")
+    marked = left_join_derived(keyed, claims, "_key", small)
     duplicate = F.coalesce(F.col(position) > F.col("first_pos"), F.lit(False))
     return marked.select(*rows.columns, duplicate.alias("is_duplicate"))
 
@@ -89,18 +96,20 @@ def row_checks(rows: DataFrame, contract: Contract) -> list[Column]:
 
 
 def judge(
-    rows: DataFrame, contract: Contract, position: str, key: str | None = None, stored: DataFrame | None = None
-) -> DataFrame:
+    rows: DataFrame, contract: Contract, position: str, key: str | None = None, stored: DataFrame | None = None,
+    size: Mapping[str, int] | None = None,
+) -> DataFrame:
     """Replace the two reasons of ``row_checks`` by ``reject_reason``, which includes the unique check.
 
-    ``key`` holds the text of the unique column, by default under its own name.
+    ``key`` holds the text of the unique column, by default under its own
+    name; ``stored`` and ``size`` are those of ``stored_claims``.
     """
     kept = [c for c in rows.columns if c not in (EARLY, LATE)]
     if not contract.unique_columns:
         return rows.select(*kept, F.coalesce(EARLY, LATE).alias(REASON))
     name = contract.unique_columns[0]
     eligible = F.col(EARLY).isNull() & F.col(LATE).isNull()
-    marked = mark_duplicates(rows, key or name, position, eligible, stored)
+    marked = mark_duplicates(rows, key or name, position, eligible, stored, size)
     duplicate = F.when(F.col("is_duplicate"), F.lit(f"unique:{name}"))
     return marked.select(*kept, F.coalesce(F.col(EARLY), duplicate, F.col(LATE)).alias(REASON))
 
@@ -110,7 +119,8 @@ def check_rows(
 ) -> DataFrame:
     """Add ``reject_reason``: NULL, ``width`` or ``<check>:<column>`` of the first failing column.
 
-    ``stored`` holds the values of the unique column that are already loaded.
+    ``stored`` holds the values of the unique column that are already loaded,
+    see ``stored_claims``.
     """
     check_columns(rows, contract)
     return judge(rows.select("*", *row_checks(rows, contract)), contract, position, stored=stored)

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import average
+from ..functions.measures import MEASURES, average
 from ..functions.naming import cuboid_names, mask_dimensions
 from ..functions.rounding import round_binary, round_exact
-from ..operators.cube import key_order, one_cuboid
+from ..operators.cube import MASK, key_order, one_cuboid
 from ..scratch import written
 from ..sources.csv import discover, read_csv
+from ..versions import listed, remove, rename
 from .csv import write_csv
 
-CONCURRENT_JOBS = 8
+CONCURRENT_JOBS = 16
 REPORT = "table_name string, published boolean, error string"
 
 
@@ -84,16 +88,80 @@ def run_jobs(spark: SparkSession, jobs: Iterable[tuple[str, Callable[[], None]]]
     return spark.createDataFrame(results, REPORT)
 
 
+def csv_field(column: str, kind: str) -> Column:
+    """A value as a CSV field: quoted only where it must be, a missing one empty."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    if kind != "string":
+        return text
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(text.rlike('[,"\r\n]|^#'), quoted).otherwise(text)
+
+
+def lines(cube: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Each row of a cube as the line of its cuboid's file, with the ``key`` that lines are sorted by."""
+    table = rounded(cube)
+    kinds = dict(table.dtypes)
+    kept = {d: F.col(MASK).bitwiseAND(F.lit(1 << i)) != 0 for i, d in enumerate(dims)}
+    fields = [F.when(kept[d], csv_field(d, kinds[d])) for d in dims]  # one that is rolled up is NULL and left out
+    own = [F.when(kept[d], F.coalesce(F.col(d).cast("string"), F.lit(""))) for d in dims]
+    measures = [csv_field(m, kinds[m]) for m in MEASURES]
+    return table.select(MASK, F.concat_ws("|", *own).alias("key"), F.concat_ws(",", *fields, *measures).alias("line"))
+
+
+def _with_headers(names: Sequence[str], headers: Sequence[str]):
+    """The lines of a task, numbered, with the header of each file before its first one."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, number = None, 0
+        for batch in batches:
+            masks = batch.column(MASK).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, masks[1:] != masks[:-1]]) if len(masks) else []
+            for begin, end in zip(cuts, [*cuts[1:], len(masks)], strict=True):
+                mask = int(masks[begin])
+                text = batch.column("line").slice(begin, end - begin)
+                if mask != last:
+                    text, last = pa.concat_arrays([pa.array([headers[mask]], text.type), text]), mask
+                numbers = pa.array(range(number, number + len(text)), pa.int64())
+                number += len(text)
+                yield pa.RecordBatch.from_arrays([pa.array([names[mask]] * len(text)), numbers, text], ["table_name", "number", "line"])
+
+    return each
+
+
 def export_cuboids(cube: DataFrame, dims: Sequence[str], folder: str) -> DataFrame:
     """Write ``<folder>/<cuboid name>.csv`` for every cuboid; returns a report per table.
 
-    ``cube`` should be a stored cube: each job then reads one folder of it.
+    One job: the lines of all cuboids are dealt out by ranges of cuboid and
+    key, sorted within them and written by cuboid; a large cuboid has several
+    files, whose names are in key order. Then the folders get their names.
     """
+    spark, names = cube.sparkSession, cuboid_names(dims)
+    if cube.isEmpty():
+
+        def job(mask: int, name: str):
+            return name, lambda: write_csv(ordered_cuboid(cube, dims, mask), f"{folder}/{name}.csv")
+
+        return run_jobs(spark, [job(m, n) for m, n in enumerate(names)])
+    headers = [",".join([*mask_dimensions(dims, m), *MEASURES]) for m in range(len(names))]
+    ranged = lines(cube, dims).repartitionByRange(MASK, "key").sortWithinPartitions(MASK, "key")
+    named = ranged.select(MASK, "line").mapInArrow(_with_headers(names, headers), "table_name string, number long, line string")
+    # Sorted by what the writer parts them by, and within that as they came.
+    written_lines = named.sortWithinPartitions("table_name", "number").select("table_name", "line")
+    attempt = f"{folder}/_attempt-{uuid.uuid4().hex}"
+    written_lines.write.partitionBy("table_name").text(attempt)
+
+    def move(name: str):
+        def action():
+            own = f"{attempt}/table_name={name}"
+            for file, _ in listed(spark, own):
+                rename(spark, f"{own}/{file}", f"{own}/{file.removesuffix('.txt')}.csv")
+            rename(spark, own, f"{folder}/{name}.csv")
 
-    def job(mask: int, name: str):
-        return name, lambda: write_csv(ordered_cuboid(cube, dims, mask), f"{folder}/{name}.csv")
+        return name, action
 
-    return run_jobs(cube.sparkSession, [job(m, n) for m, n in enumerate(cuboid_names(dims))])
+    report = run_jobs(spark, [move(n) for n in names])
+    remove(spark, attempt)
+    return report
 
 
 def publish_tables(spark: SparkSession, folder: str, location: str, database: str | None = None) -> DataFrame:

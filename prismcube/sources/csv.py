@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import Contract
+from ..operators.joins import measured
 
 BAD_WIDTH = "_corrupt_record"
 COORDINATES = ("source_file", "source_block", "source_row")
+#: Header lines that are read at a time.
+CONCURRENT_READS = 16
+#: Bytes at whose multiples landing files are cut.
+SPLIT_BYTES = 32 << 20
+#: What the CSV reader skips: lines of blanks and control characters.
+BLANK_LINE = r"^[\x00-\x20]*$"
 
 #: Timestamps as text, to the microsecond, with and without a time zone.
 TIMESTAMPS = {
@@ -57,6 +67,28 @@ def with_block(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_splits(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Within it, jobs cut files at multiples of ``size`` bytes, whatever else they read and wherever they run.
+
+    So a file is cut alike at every load, and a place in it can be kept as the
+    start of a block and the lines before that.
+    """
+    fixed = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size)}
+
+    @contextmanager
+    def fixed_splits() -> Iterator[None]:
+        saved = {key: spark.conf.get(key, None) for key in fixed}
+        for key, value in fixed.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in saved.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+    return fixed_splits()
+
+
 def with_row(rows: DataFrame) -> DataFrame:
     """Add a number that grows along the rows of a block."""
     return rows.withColumn("source_row", F.monotonically_increasing_id())
@@ -82,6 +114,21 @@ def read_rows(spark: SparkSession, path: str | list[str], contract: Contract) ->
     return with_row(with_block(reader.csv(path)))
 
 
+def read_tails(spark: SparkSession, starts: DataFrame, contract: Contract) -> DataFrame:
+    """``read_rows`` of the blocks from ``tail_start`` on of the files ``path, source_file, tail_start``.
+
+    Lines of earlier blocks are passed over without being parsed. A tail must
+    not begin with its file, whose first line is a header.
+    """
+    paths = [r["path"] for r in starts.select("path").collect()]
+    lines = with_row(with_block(spark.read.text(sorted(paths))).where(~F.col("value").rlike(BLANK_LINE)))
+    new = lines.join(measured(starts.select("source_file", "tail_start")), "source_file").where(F.col("source_block") >= F.col("tail_start"))
+    ddl = ", ".join(f"`{f.name}` string" for f in landing_schema(contract).fields)
+    options = {k: v for k, v in landing_options().items() if k != "header"} | {"columnNameOfCorruptRecord": BAD_WIDTH}
+    parsed = new.select(F.from_csv("value", ddl, options).alias("r"), *COORDINATES)
+    return parsed.select("r.*", *COORDINATES)
+
+
 def discover(spark: SparkSession, folder: str) -> list[tuple[str, str, T.StructType]]:
     """Tables below ``folder``: ``(name, path, schema)``, sorted by name.
 
@@ -97,10 +144,12 @@ def discover(spark: SparkSession, folder: str) -> list[tuple[str, str, T.StructT
         .select(F.regexp_extract("path", tail + r"/([^/]+)\.csv(?:/|$)", 1).alias("name"), "length")
     )
     sized = files.groupBy("name").agg(F.sum("length").alias("bytes")).where("bytes > 0")
-    tables = []
-    for row in sized.orderBy("name").collect():
-        path = f"{root}/{row['name']}.csv"
+
+    def described(name: str) -> tuple[str, str, T.StructType]:
+        path = f"{root}/{name}.csv"
         columns = spark.read.csv(path, header=True, escape='"').columns
-        ddl = ", ".join(f"`{c}` {MEASURE_TYPES.get(c, 'string')}" for c in columns)
-        tables.append((row["name"], path, T.StructType.fromDDL(ddl)))
-    return tables
+        return name, path, T.StructType.fromDDL(", ".join(f"`{c}` {MEASURE_TYPES.get(c, 'string')}" for c in columns))
+
+    names = [row["name"] for row in sized.orderBy("name").collect()]
+    with ThreadPoolExecutor(CONCURRENT_READS) as pool:
+        return list(pool.map(described, names))

@@ -1,4 +1,8 @@
+import subprocess
+import sys
+from csv import reader as csv_reader
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -7,10 +11,11 @@ from pyspark.sql import functions as F
 from conftest import rows
 from prismcube import scratch, versions
 from prismcube.contract import ColumnSpec, Contract
-from prismcube.functions.measures import finish
+from prismcube.functions.measures import MEASURES, finish
+from prismcube.functions.naming import cuboid_names
 from prismcube.operators.cube import full_cube, one_cuboid
 from prismcube.plans import cube as cubes
-from prismcube.plans import load
+from prismcube.plans import load, publish
 from prismcube.plans.publish import publish_cube, published
 from prismcube.scratch import scratch_path, scratch_root
 from prismcube.sinks import csv as csv_sink
@@ -18,6 +23,7 @@ from prismcube.sinks import cuboids
 from prismcube.sources import csv
 from prismcube.streaming.load import stream_load, stream_refresh
 
+REPO = Path(scratch.__file__).resolve().parent.parent
 TEXTS = ["Gift More, Spend Less", "Supermarkets ", " lead", "Nescafé", "POÄNG", "Levi's", 'say "hi"', "A|B", "NA", "null"]
 DIMS = ["a", "b"]
 
@@ -111,6 +117,114 @@ def test_served_tables_keep_null_and_empty_apart_and_follow_the_cube(spark, tmp_
     assert rows(spark.table("live.cuboid_apex").select("count")) == [(4,)]
 
 
+def served_files(tmp_path):
+    return {p: p.stat().st_mtime_ns for p in (tmp_path / "served").rglob("part-*.parquet")}
+
+
+def put_facts(spark, root, data, batch):
+    facts = spark.createDataFrame([(a, b, Decimal(m)) for a, b, m in data], "a string, b string, m decimal(18,2)")
+    return cubes.merge_batch(facts, batch, root, DIMS, "m", "s")
+
+
+def whole(spark, root):
+    """What should be served: every cuboid of the newest cube, rounded."""
+    cube = cuboids.rounded(cubes.stored_cube(spark, root))
+    cube = cube.withColumns({m: F.col(m).cast("double") for m in MEASURES if m != "count"})
+    return {n: rows(one_cuboid(cube, DIMS, m)) for m, n in enumerate(cuboid_names(DIMS))}
+
+
+def served_now(spark, database):
+    return {n: rows(spark.table(f"{database}.{n}")) for n in cuboid_names(DIMS)}
+
+
+def test_a_delta_writes_the_slots_that_it_touches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "SLOT_ROWS", 50)
+    root, location = str(tmp_path / "cube"), str(tmp_path / "served")
+    versions.reset(spark, root)
+    put_facts(spark, root, [(f"a{i % 40}", f"b{i}", "1.25") for i in range(800)], 0)
+    publish_cube(spark, root, DIMS, location, "slots")
+    before, base = served_files(tmp_path), published(spark, root, "slots")["rows"]
+    for batch, data in enumerate(([("a3", "b3", "2.00")], [("new", None, "4.00"), ("a3", "b3", "1.00")], [("", "b9", "0.50")]), 1):
+        put_facts(spark, root, data, batch)
+        publish_cube(spark, root, DIMS, location, "slots")
+        record = published(spark, root, "slots")
+        assert record["rows"] < base / 3  # of the groups, those in touched slots
+        assert len(versions.parts_of(record, "served")) == batch + 1
+        assert served_now(spark, "slots") == whole(spark, root)
+    assert {p: t for p, t in served_files(tmp_path).items() if p in before} == before
+    row = publish.served_row(spark, "slots", DIMS, {"a": "a3", "b": "b3"})
+    assert rows(row.select("sum_amount", "count")) == [(4.25, 3)]
+
+
+def test_parts_that_are_served_stay_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "MOST_PARTS", 2)
+    monkeypatch.setattr(publish, "MOST_NAMED", 1)
+    root, location = str(tmp_path / "cube"), str(tmp_path / "served")
+    versions.reset(spark, root)
+    for batch in range(6):
+        put_facts(spark, root, [(f"a{i}", f"b{i + batch}", "1.25") for i in range(30 if batch == 0 else 2)], batch)
+        publish_cube(spark, root, DIMS, location, "few")
+        assert len(versions.parts_of(published(spark, root, "few"), "served")) <= 2
+        assert served_now(spark, "few") == whole(spark, root)
+    # Versions whose deltas have expired are served whole.
+    for batch in range(6, 6 + versions.KEPT_VERSIONS + 1):
+        put_facts(spark, root, [("late", f"b{batch}", "1.00")], batch)
+    publish_cube(spark, root, DIMS, location, "few")
+    assert len(versions.parts_of(published(spark, root, "few"), "served")) == 1
+    assert served_now(spark, "few") == whole(spark, root)
+
+
+@pytest.mark.parametrize("where", ["write", "switch", "commit"])
+def test_a_failed_attempt_and_its_retry_disturb_no_reader(spark, tmp_path, monkeypatch, where):
+    database = f"retried_{where}"
+    root, location = str(tmp_path / "cube"), str(tmp_path / "served")
+    versions.reset(spark, root)
+    put_facts(spark, root, [("x", "p", "1.00"), ("y", "q", "2.00")], 0)
+    publish_cube(spark, root, DIMS, location, database)
+    old = served_now(spark, database)
+    reader = spark.table(f"{database}.cuboid_apex")  # begun before the attempt
+    put_facts(spark, root, [("x", "p", "4.00")], 1)
+    new = whole(spark, root)
+    assert new != old
+
+    def fail(*args, **named):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patched:
+        if where == "write":
+            patched.setattr(publish, "observed_write", fail)
+        elif where == "switch":
+            patched.setattr(publish, "ensure_view", fail)
+        else:
+            patched.setattr(versions, "commit", fail)
+        with pytest.raises(OSError, match="disk full"):
+            publish_cube(spark, root, DIMS, location, database)
+    # All cuboids are of one version: before the switch the old one, after it the new one.
+    assert served_now(spark, database) == (new if where == "commit" else old)
+    real = publish.observed_write
+
+    def read_meanwhile(*args, **named):
+        assert served_now(spark, database) == (new if where == "commit" else old)
+        found = real(*args, **named)
+        assert served_now(spark, database) == (new if where == "commit" else old)
+        return found
+
+    monkeypatch.setattr(publish, "observed_write", read_meanwhile)
+    publish_cube(spark, root, DIMS, location, database)
+    assert served_now(spark, database) == new
+    assert rows(reader) == old["cuboid_apex"]
+    gone = publish.sweep_served(spark, root, location, database)
+    assert len(gone) == (0 if where == "write" else 1) and served_now(spark, database) == new
+
+
+def test_tables_of_the_same_names_give_way(spark, cube, tmp_path):
+    cuboids.export_cuboids(cube, DIMS, str(tmp_path / "out"))
+    cuboids.publish_tables(spark, str(tmp_path / "out"), str(tmp_path / "tables"), "mixed")
+    publish_cube(spark, str(tmp_path / "cube"), DIMS, str(tmp_path / "served"), "mixed")
+    assert spark.table("mixed.cuboid_a_b").count() == 4
+    assert spark.catalog.getTable("mixed.cuboid_a").tableType == "VIEW"
+
+
 def test_empty_cube_is_served(spark, tmp_path):
     root = str(tmp_path / "cube")
     versions.reset(spark, root)
@@ -146,18 +260,20 @@ def test_rounding_of_doubles(spark):
     assert [str(row[c]) for c in ("sum_amount", "avg_amount", "min_amount", "max_amount")] == ["0.12", "0.12", "2.67", "0.38"]
 
 
-def test_scratch_must_be_named(spark, monkeypatch):
-    monkeypatch.setattr(scratch, "_fallback", [])
-    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(bare)
-    scratch.use_scratch("/shared/")
-    assert scratch_root(bare) == "/shared"
-
-
 def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+    settings = {"spark.sql.warehouse.dir": "/shared/tables"}
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)))
+    assert scratch_root(bare) == "/shared/tables/_scratch"
+
+
+def test_old_scratch_goes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path / "shared"))
+    assert scratch.sweep_scratch(spark) == 0
+    kept = scratch.written(spark.range(3), "numbers")
+    assert scratch.sweep_scratch(spark) == 0 and kept.count() == 3
+    assert scratch.sweep_scratch(spark, hours=0) == 1 and scratch.sweep_scratch(spark, hours=0) == 0
 
 
 # Streams ---------------------------------------------------------------------
@@ -211,3 +327,46 @@ def test_stream_refresh_equals_recomputation(spark, tmp_path):
         stream_refresh(stream, root, DIMS, "m", checkpoint).awaitTermination()
         whole = full_cube(spark.read.parquet(landed), DIMS, "m")
         assert rows(finish(cubes.stored_cube(spark, root))) == rows(finish(whole))
+
+
+def test_export_in_key_order_over_many_files(spark, tmp_path, conf):
+    conf({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"})
+    data = [(f"a{i % 13}", [f"b{i}", "", None, 'q"x', "p, q", "#c", "two\nlines"][i % 7], Decimal(i)) for i in range(500)]
+    facts = spark.createDataFrame(data, "a string, b string, m decimal(18,2)")
+    cuboids.export_cuboids(full_cube(facts, DIMS, "m"), DIMS, str(tmp_path / "out"))
+    names = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert names == sorted(f"{n}.csv" for n in cuboid_names(DIMS))
+    files = sorted((tmp_path / "out" / "cuboid_a_b.csv").glob("part-*.csv"))
+    assert len(files) > 1
+    found = []
+    for file in files:
+        with open(file, newline="") as text:
+            header, *lines = csv_reader(text)
+        assert header == ["a", "b", "sum_amount", "count", "avg_amount", "min_amount", "max_amount"]
+        found += [(a, b) for a, b, *_ in lines]
+    pairs = {(a, b or "") for a, b, _ in data}
+    assert set(found) == pairs
+    assert [f"{a}|{b}".encode() for a, b in found] == sorted(f"{a}|{b}".encode() for a, b in found)
+
+
+def test_a_retried_task_counts_once(tmp_path):
+    """The counts of a load come from the job that writes; a task that fails first doesn't add to them."""
+    script = f"""
+import os, sys
+sys.path.insert(0, {str(REPO)!r})
+from pyspark.sql import SparkSession, functions as F
+from prismcube.plans.load import observed_write
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+def once(batches):
+    rows = list(batches)
+    yield from rows
+    if not os.path.exists({str(tmp_path / "failed")!r}):
+        open({str(tmp_path / "failed")!r}, "w").close()
+        raise OSError("lost")
+df = spark.range(0, 5000, 1, 2).mapInArrow(once, "id long")
+found = observed_write(lambda d: d.write, df, {str(tmp_path / "out")!r}, odd=F.count_if(F.col("id") % 2 == 1))
+print("COUNTED", found["rows"], found["odd"], spark.read.parquet({str(tmp_path / "out")!r}).count())
+"""
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert "COUNTED 5000 2500 5000" in run.stdout, run.stderr[-2000:]
+    assert (tmp_path / "failed").exists()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from prismcube.contract import CUBE_DIMENSIONS, SALES
-from prismcube.functions.naming import cuboid_names
 
 from .queries import CODED, DIMS, ORDER_CONTRACT, ORDER_DIMS, SMALL_DIMS
 from .tables import CUBE_ROLES, FIRST_DAY, LAST_DAY
@@ -42,9 +41,26 @@ def cube_sql(dims, source="rows6", prefix=f"WITH {ROWS} ") -> str:
     return f"{prefix}SELECT {mask(dims)} AS cuboid_mask, {keys}, {MEASURES} FROM {source} GROUP BY CUBE ({keys})"
 
 
+# Short names of the cube's dimensions, for table names that would be longer than 64 characters.
+SHORT = {
+    "category": "cat",
+    "brand": "brd",
+    "customer_segment": "cseg",
+    "store_type": "styp",
+    "salesperson_role": "srole",
+    "campaign_name": "cname",
+}
+
+
 def name_case(dims) -> str:
-    whens = " ".join(f"WHEN {m} THEN '{n}'" for m, n in enumerate(cuboid_names(dims)))
-    return f"CASE cuboid_mask {whens} END"
+    """The table name of a cuboid, spelled from its mask."""
+
+    def joined(names) -> str:
+        parts = ", ".join(f"CASE WHEN cuboid_mask & {1 << i} > 0 THEN '{n}' END" for i, n in enumerate(names))
+        return f"concat_ws('_', 'cuboid', {parts})"
+
+    whole, short = joined(dims), joined([SHORT[d] for d in dims])
+    return f"CASE WHEN cuboid_mask = 0 THEN 'cuboid_apex' WHEN length({whole}) <= 64 THEN {whole} ELSE left({short}, 64) END"
 
 
 def date_role(prefix: str, alias: str) -> str:
@@ -181,11 +197,11 @@ def oracle() -> dict[str, str]:
     three = ", ".join(SMALL_DIMS)
     return {
         "scan_projected": "SELECT l_orderkey, l_returnflag, l_linestatus, l_extendedprice FROM lineitem",
-        "scan_row_range": f"""SELECT o_orderkey, o_totalprice,
+        "scan_row_range": f"""SELECT *,
               CASE WHEN o_orderkey IS NULL OR o_orderkey < {cut("o_orderkey", "orders", 1, 4)} THEN 0
               WHEN o_orderkey < {cut("o_orderkey", "orders", 2, 4)} THEN 1
               WHEN o_orderkey < {cut("o_orderkey", "orders", 3, 4)} THEN 2 ELSE 3 END AS range_no FROM orders""",
-        "resume_scan": f"""SELECT event_id, event_type, value,
+        "resume_scan": f"""SELECT *,
               CASE WHEN event_id IS NULL OR event_id < {cut("event_id", "events", 1, 2)} THEN 1 ELSE 2 END AS run
             FROM events""",
         "rename_drop_keys": """SELECT s_name AS name, s_acctbal, n_name AS name_nation
@@ -283,14 +299,8 @@ def oracle() -> dict[str, str]:
         "sales_pipeline": f"""WITH sales AS (SELECT DISTINCT * FROM ({SALES_STAR})),
               good AS (SELECT * REPLACE (CAST(total_amount AS DECIMAL(18,2)) AS total_amount) FROM sales
                 WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND store_id IS NOT NULL
-                  AND salesperson_id IS NOT NULL AND campaign_id IS NOT NULL),
-              cube AS (SELECT {mask(CUBE_DIMENSIONS)} AS cuboid_mask, sum(total_amount) AS s, count(*) AS n,
-                  min(total_amount) AS low, max(total_amount) AS high
-                FROM good GROUP BY CUBE ({", ".join(CUBE_DIMENSIONS)}))
-            SELECT {name_case(CUBE_DIMENSIONS)} AS cuboid_name, count(*) AS groups, CAST(sum(s) AS DOUBLE) AS sum_amount,
-              CAST(sum(n) AS BIGINT) AS count, CAST(min(low) AS DOUBLE) AS min_amount,
-              CAST(max(high) AS DOUBLE) AS max_amount, CAST(max(s) AS DOUBLE) AS largest_sum
-            FROM cube GROUP BY cuboid_mask""",
+                  AND salesperson_id IS NOT NULL AND campaign_id IS NOT NULL)
+            SELECT *, {name_case(CUBE_DIMENSIONS)} AS cuboid_name FROM ({cube_sql(CUBE_DIMENSIONS, "good", "")})""",
         "csv_round_trip": "SELECT * FROM events",
         "cuboid_publish_round_trip": ROUNDED,
         "cube_publish": ROUNDED,
