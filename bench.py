@@ -9,11 +9,11 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
+from prismcube.scratch import sweep_scratch
 from prismcube.session import OPTIONS
 from workload.queries import QUERIES
 
@@ -39,7 +39,6 @@ def session(cpus: str) -> SparkSession:
     settings = OPTIONS | {
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
         "spark.driver.memory": "16g",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -65,6 +64,7 @@ def main() -> None:
     for name in names:
         run(spark, name, folder)
         seconds[name] = round(min(run(spark, name, folder) for _ in range(runs)), 3)
+    sweep_scratch(spark, hours=0)
     spark.stop()
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     total = round(sum(seconds.values()), 3)

@@ -1,44 +1,39 @@
-"""Where intermediate tables go: the shared folder named by ``spark.checkpoint.dir``."""
+"""Where intermediate tables go: the shared folder named by ``spark.checkpoint.dir``, else one in the warehouse."""
 
 from __future__ import annotations
 
-import re
-import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: list[str] = []
+#: Folder of the library below the shared one.
+FOLDER = "prismcube"
 
 
-def use_scratch(root: str) -> None:
-    """Name the folder for sessions without ``spark.checkpoint.dir``, as a single machine may."""
-    _fallback[:] = [root]
+def scratch_root(spark: SparkSession) -> str:
+    """The session's checkpoint folder; the warehouse, which every executor reaches as well, where none is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
-def prepare_scratch(spark: SparkSession) -> SparkSession:
-    """Name a temporary folder for a session on one machine that names none itself.
+def sweep_scratch(spark: SparkSession, hours: float = 24.0) -> int:
+    """Delete the intermediate tables that were written more than some hours ago; returns how many folders went.
 
-    For programs that run queries in sessions they don't configure; on a
-    cluster the setting stays required.
+    Choose a time beyond the longest job that may still read them.
     """
-    one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
-    if one_machine and not spark.conf.get("spark.checkpoint.dir", None) and not _fallback:
-        use_scratch(tempfile.mkdtemp(prefix="prismcube-"))
-    return spark
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which every executor can reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_fallback), None)
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return root.rstrip("/")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{FOLDER}")
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return 0
+    before = (time.time() - hours * 3600) * 1000
+    old = [f.getPath() for f in system.listStatus(place) if f.getModificationTime() <= before]
+    return sum(system.delete(path, True) for path in old)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path no other run uses, below the scratch root."""
-    return f"{scratch_root(spark)}/prismcube/{uuid.uuid4().hex}/{name}"
+    return f"{scratch_root(spark)}/{FOLDER}/{uuid.uuid4().hex}/{name}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
