@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.scratch import scratch_path
+from prismcube.scratch import written  # noqa: F401 - part of what operators import from here
 
 #: Bytes of text that a task holds as Python or numpy values at a time; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 18
@@ -21,17 +21,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Compute ``df`` once, into a table in the shared folder, and read that.
-
-    The table outlives a lost executor, and its lineage is the files alone.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def crc32_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
