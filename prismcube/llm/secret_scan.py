@@ -1,11 +1,13 @@
 """Secret scan: a character convolutional network over every candidate and its surroundings.
 
-Candidates are what the base patterns match and every other token of some
-length that holds a digit. They are cut from the text with a window of characters
-around them, so a text is read once and what follows handles small rows. The
-network learns which windows hold a finding from the labels that the base
-patterns give; its scores are calibrated, and the threshold is the most
-selective one that still recalls the asked-for share of labelled findings.
+Candidates are what the base patterns match, every other token of some length
+that holds a digit, and of tokens without one those beside a cue, long ones of
+mixed case, very long ones and headers of private keys. They are cut from the
+text in windows that cover all of a candidate with the characters around it, so
+a text is read once and what follows handles small rows. The network learns which
+windows hold a finding from the labels that the base patterns give. All labelled
+candidates that it didn't learn from calibrate its scores, and the threshold is
+the highest one that still recalls the asked-for share of every kind's findings.
 """
 
 from __future__ import annotations
@@ -31,12 +33,22 @@ ASSIGN = re.compile(
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 #: Parts of the words that an assignment begins with.
 CUES = (b"passw", b"secret", b"token", b"api")
+#: Words beside which a token without a digit is a candidate too, and how far after them it may begin.
+BESIDE = re.compile(rb"passw|passp|secret|token|api|credential|private|key")
+REACH = 32
+#: Private keys begin with such a line.
+HEADER = re.compile(rb"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 #: Shortest findings and shortest other tokens, in characters.
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST, TOKEN_LEAST = 8, 16, 32, 8
+#: Shortest tokens without a digit that are candidates anywhere: of mixed case, and any.
+MIXED_LEAST, LONG_LEAST = 16, 48
 
-#: A window: characters before a candidate, of the candidate, and after it.
+#: A window: characters before, of and after a candidate. A longer candidate has several, this far apart.
 BEFORE, WITHIN, AFTER = 24, 48, 8
 WINDOW = BEFORE + WITHIN + AFTER
+STEP = 24
+#: Scores are counted in bins of logits of this width, up to so many on either side.
+BIN, MOST_BINS = 1 / 16, 1 << 12
 #: Most labelled candidates of either label that training reads, those with the smallest hashes.
 TRAINING_CANDIDATES = 3_000
 #: The share of labelled findings that the threshold must recall.
@@ -78,6 +90,40 @@ def _tokens(text: bytes) -> Iterator[tuple[int, int]]:
         at = digits.find(b"\1", stop)
 
 
+#: A capital after a small letter.
+MIXED = re.compile(rb"[a-z][A-Z]")
+
+
+def _wordlike(text: bytes, lower: bytes) -> Iterator[tuple[int, int]]:
+    """Tokens without a digit that may be secrets, and headers of private keys; some may come twice."""
+    marked = text.translate(_TOKEN)
+
+    def stop(at: int) -> int:
+        end = marked.find(b"\0", at)
+        return end if end >= 0 else len(marked)
+
+    run_end, last = 0, (-1, -1)  # of the run that a cue stands in, and the last token that was found
+    for cue in BESIDE.finditer(lower):
+        at = cue.end()
+        if at >= run_end:
+            run_end = stop(at)
+        # The word that the cue belongs to isn't the secret.
+        begin = marked.find(b"\1", run_end, at + REACH + 1)
+        while 0 <= begin <= at + REACH:
+            if begin != last[0]:
+                last = (begin, stop(begin))
+                yield begin, begin + len(text[begin : last[1]].rstrip(b"."))
+            begin = marked.find(b"\1", last[1], at + REACH + 1)
+    at = 0
+    while mixed := MIXED.search(text, at):
+        begin, at = marked.rfind(b"\0", 0, mixed.start()) + 1, stop(mixed.start())
+        if at - begin >= MIXED_LEAST:
+            yield begin, begin + len(text[begin:at].rstrip(b"."))
+    yield from _runs(text, _TOKEN, LONG_LEAST)
+    if b"PRIVATE KEY" in text:
+        yield from ((m.start(), m.end()) for m in HEADER.finditer(text))
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """``kind, start, end`` in code points, by start, then kind; ``token`` is no base kind.
 
@@ -93,8 +139,12 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(raw) if len(m[0]) >= ACCESS_LEAST]
     found += [(a, 2, b) for a, b in _runs(raw, _HEX, HEX_LEAST)]
     base = sorted((a, b) for a, _, b in found)
+    others: list[tuple[int, int]] = []
+    for a, b in sorted({*_tokens(raw), *_wordlike(raw, lower)}, key=lambda t: (t[0], -t[1])):
+        if b - a >= TOKEN_LEAST and (not others or a >= others[-1][1]):
+            others.append((a, b))
     at = 0
-    for a, b in _tokens(raw):
+    for a, b in others:
         # Base spans of different kinds overlap; of those that end before this token none meets a later one.
         while at < len(base) and base[at][1] <= a:
             at += 1
@@ -103,30 +153,33 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     return [((*KINDS, ADDED)[k], a, b) for a, k, b in sorted(found)]
 
 
-def window(raw: bytes, start: int, end: int) -> bytes:
-    """The candidate's surroundings in fixed places; the candidate is marked by its place."""
-    before = raw[max(0, start - BEFORE) : start].rjust(BEFORE, b"\0")
-    within = raw[start : min(end, start + WITHIN)].ljust(WITHIN, b"\0")
-    return before + within + raw[end : end + AFTER].ljust(AFTER, b"\0")
+def windows(raw: bytes, start: int, end: int) -> bytes:
+    """The candidate and its surroundings in fixed places, in as many windows as it takes to cover it, one after another."""
+    out = []
+    for at in range(start, max(start + 1, end - WITHIN + STEP), STEP):
+        stop = min(end, at + WITHIN)
+        before = raw[max(0, at - BEFORE) : at].rjust(BEFORE, b"\0")
+        out.append(before + raw[at:stop].ljust(WITHIN, b"\0") + raw[stop : stop + AFTER].ljust(AFTER, b"\0"))
+    return b"".join(out)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches):
-        kinds, starts, ends, windows = [], [], [], []
+        kinds, starts, ends, cut = [], [], [], []
         for text in texts_of(batch):
             found = candidates(text)
             raw = text.encode("latin-1", "replace") if found else b""
             kinds.append([k for k, _, _ in found])
             starts.append([a for _, a, _ in found])
             ends.append([b for _, _, b in found])
-            windows.append([window(raw, a, b) for _, a, b in found])
+            cut.append([windows(raw, a, b) for _, a, b in found])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast("int64"),
                 pa.array(kinds, pa.list_(pa.string())),
                 pa.array(starts, pa.list_(pa.int64())),
                 pa.array(ends, pa.list_(pa.int64())),
-                pa.array(windows, pa.list_(pa.binary())),
+                pa.array(cut, pa.list_(pa.binary())),
             ],
             ["doc_id", "kinds", "starts", "ends", "windows"],
         )
@@ -159,9 +212,9 @@ class Network:
         )
 
     @staticmethod
-    def symbols(windows: list[bytes]) -> np.ndarray:
-        """Characters, told apart by whether they stand before, in or after the candidate."""
-        codes = np.frombuffer(b"".join(windows), dtype=np.uint8).reshape(-1, WINDOW).astype(np.int64)
+    def symbols(cut: list[bytes]) -> np.ndarray:
+        """Characters of all windows, told apart by whether they stand before, in or after the candidate."""
+        codes = np.frombuffer(b"".join(cut), dtype=np.uint8).reshape(-1, WINDOW).astype(np.int64)
         segment = np.repeat([0, 1, 2], [BEFORE, WITHIN, AFTER])
         return np.minimum(codes, 127) + 128 * segment
 
@@ -204,72 +257,115 @@ class Network:
                     v += 0.001 * (g * g - v)
                     p -= step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
 
-    def probabilities(self, windows: list[bytes]) -> np.ndarray:
-        """Calibrated probability that each window holds a finding."""
-        out = np.zeros(len(windows))
-        for at in range(0, len(windows), 256):
-            logits, _ = self.forward(self.symbols(windows[at : at + 256]))
-            out[at : at + 256] = 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -30, 30)))
-        return out
-
-    def calibrate(self, windows: list[bytes], labels: np.ndarray, recall: float) -> None:
-        """Fit scale and shift of the logits (Platt), then the threshold.
-
-        It is as selective as one that keeps ``recall`` of the findings can
-        be, midway between the score that it must let pass and the highest
-        lower one of another candidate, but a half at least: a window that is
-        likelier no finding than one never passes.
+    def logits(self, cut: list[bytes]) -> np.ndarray:
+        """The score of each candidate: that of its highest window."""
+        if not cut:
+            return np.zeros(0)
+        symbols = self.symbols(cut)
+        each = np.concatenate([self.forward(symbols[at : at + 256])[0] for at in range(0, len(symbols), 256)])
+        sizes = np.array([len(c) // WINDOW for c in cut])
+        return np.maximum.reduceat(each, np.cumsum(sizes) - sizes)
+
+    def probabilities(self, cut: list[bytes]) -> np.ndarray:
+        """Calibrated probability that each candidate is a finding."""
+        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(cut) + self.shift, -30, 30)))
+
+    def calibrate(self, counts: dict[str, dict[int, int]], recall: float) -> None:
+        """Fit scale and shift of the logits (Platt), then the threshold, from how many candidates of each kind have each bin.
+
+        The threshold lies where every base kind keeps ``recall`` of its
+        findings: midway between the lowest score that must pass and the
+        highest lower one of another candidate.
         """
-        logits = np.concatenate([self.forward(self.symbols(windows[i : i + 256]))[0] for i in range(0, len(windows), 256)])
+        found = [(b, n) for kind in KINDS for b, n in counts.get(kind, {}).items()]
+        others = list(counts.get(ADDED, {}).items())
+        logits = np.array([(b + 0.5) * BIN for b, _ in found + others])
+        weights = np.array([float(n) for _, n in found + others])
+        positives, negatives = weights[: len(found)].sum(), weights[len(found) :].sum()
+        # Labels as Platt smooths them, which keeps the fit finite when the classes are apart.
+        target = np.where(np.arange(len(logits)) < len(found), (positives + 1) / (positives + 2), 1 / (negatives + 2))
         a, b = 1.0, 0.0
+
+        def loss(a: float, b: float) -> float:
+            z = a * logits + b
+            return float((weights * (np.logaddexp(0, z) - target * z)).sum())
+
         for _ in range(200):
             p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-            # Labels as Platt smooths them, which keeps the fit finite when the classes are apart.
-            positives, negatives = labels.sum(), (1 - labels).sum()
-            target = np.where(labels > 0, (positives + 1) / (positives + 2), 1 / (negatives + 2))
-            weight = np.maximum(p * (1 - p), 1e-6)
-            gradient = np.array([((p - target) * logits).sum(), (p - target).sum()])
+            weight = weights * np.maximum(p * (1 - p), 1e-9)
+            gradient = np.array([(weights * (p - target) * logits).sum(), (weights * (p - target)).sum()])
             hessian = np.array([[(weight * logits**2).sum(), (weight * logits).sum()], [(weight * logits).sum(), weight.sum()]])
-            move = np.linalg.solve(hessian + 1e-6 * np.eye(2), gradient)
-            a, b = a - move[0], b - move[1]
-            if abs(move).max() < 1e-9:
+            move, rate = np.linalg.solve(hessian + 1e-9 * np.eye(2), gradient), 1.0
+            while rate > 1e-6 and loss(a - rate * move[0], b - rate * move[1]) > loss(a, b):
+                rate /= 2
+            a, b = a - rate * move[0], b - rate * move[1]
+            if abs(rate * move).max() < 1e-9:
                 break
         self.scale, self.shift = float(a), float(b)
-        scores = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-        found = np.sort(scores[labels > 0])
-        highest = float(found[int((1 - recall) * len(found))])
-        others = scores[(labels == 0) & (scores < highest)]
-        self.threshold = max(0.5, (highest + float(others.max(initial=0.0))) / 2)
+        lowest = min(lowest_kept(counts[kind], recall) for kind in KINDS if counts.get(kind))
+        below = max((b for b, _ in others if b < lowest), default=lowest - 1)
+        middle = (lowest + below + 1) / 2 * BIN
+        self.threshold = float(1 / (1 + np.exp(-np.clip(self.scale * middle + self.shift, -30, 30))))
+
+
+def lowest_kept(bins: dict[int, int], recall: float) -> int:
+    """The highest bin such that ``recall`` of what is counted lies in it or above."""
+    kept, wanted = 0, recall * sum(bins.values())
+    for b in sorted(bins, reverse=True):
+        kept += bins[b]
+        if kept >= wanted:
+            return b
+    return min(bins)
+
+
+def _binned(shared):
+    """How many candidates of each kind that weren't learned from have each bin of logits."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                logits = shared.value.logits(part.column("windows").to_pylist())
+                bins = np.clip(np.floor(logits / BIN), -MOST_BINS, MOST_BINS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("kind"), pa.array(bins)], ["kind", "bin"])
+
+    return each
 
 
 def train(found: DataFrame, most: int = TRAINING_CANDIDATES, recall: float = RECALL) -> Network:
     """Learn from the candidates of ``found``, labelled by the base patterns.
 
-    ``most`` candidates of either label, those with the smallest hashes, are
-    read; a fifth of them calibrates. With fewer than 20 of either label
-    nothing is learned and no span is added.
+    The network is fitted to ``most`` candidates of either label, those with
+    the smallest hashes, less a fifth of them. All other candidates calibrate
+    it and set the threshold. With fewer than 20 of either label, or none of
+    one to calibrate with, nothing is learned and no span is added.
     """
     each = found.select("doc_id", F.explode(F.arrays_zip("kinds", "starts", "windows")).alias("c")).select(
+        F.col("c.kinds").alias("kind"),
         (F.col("c.kinds") != ADDED).cast("int").alias("label"),
-        F.col("c.windows").alias("window"),
+        F.col("c.windows").alias("windows"),
         F.xxhash64("doc_id", "c.starts", "c.kinds").alias("place"),
     )
-    sample = [
-        (r["window"], label, r["place"])
-        for label in (0, 1)
-        for r in each.where(F.col("label") == label).orderBy("place", "window").limit(most).collect()
-    ]
-    network = Network.fresh()
-    labels = np.array([label for _, label, _ in sample], dtype=float)
+    sample, last = [], {}
+    for label in (0, 1):
+        rows = each.where(F.col("label") == label).orderBy("place", "windows").limit(most).collect()
+        sample += [(bytes(r["windows"]), label) for r in rows if r["place"] % 5]
+        last[label] = max((r["place"] for r in rows), default=None)
+    labels = np.array([label for _, label in sample], dtype=float)
     if min(labels.sum(), (1 - labels).sum()) < 20:
-        return network
-    held = np.array([place % 5 == 0 for _, _, place in sample])
-    windows = [bytes(w) for w, _, _ in sample]
-    network.learn(Network.symbols([w for w, h in zip(windows, held, strict=True) if not h]), labels[~held])
-    calibrating = [w for w, h in zip(windows, held, strict=True) if h]
-    if min(labels[held].sum(), (1 - labels[held]).sum()) < 1:
         return Network.fresh()
-    network.calibrate(calibrating, labels[held], recall)
+    network = Network.fresh()
+    of_window = np.repeat(labels, [len(w) // WINDOW for w, _ in sample])
+    network.learn(Network.symbols([w for w, _ in sample]), of_window)
+    learned = (F.col("place") <= F.when(F.col("label") == 1, last[1]).otherwise(last[0])) & (F.col("place") % 5 != 0)
+    shared = found.sparkSession.sparkContext.broadcast(network)
+    rest = each.where(~learned).select("kind", "windows").mapInArrow(_binned(shared), "kind string, bin int")
+    counts: dict[str, dict[int, int]] = {}
+    for r in rest.groupBy("kind", "bin").count().collect():
+        counts.setdefault(r["kind"], {})[r["bin"]] = r["count"]
+    if ADDED not in counts or len(counts) < 2:
+        return Network.fresh()
+    network.calibrate(counts, recall)
     return network
 
 
@@ -291,8 +387,8 @@ def scan_secrets(docs: DataFrame, recall: float = RECALL) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            windows = batch.column("windows").to_pylist()
-            scores = iter(shared.value.probabilities([w for row in windows for w in row]))
+            cut = batch.column("windows").to_pylist()
+            scores = iter(shared.value.probabilities([w for row in cut for w in row]))
             counts, digests, spans, tops = [], [], [], []
             columns = (batch.column(c).to_pylist() for c in ("kinds", "starts", "ends"))
             for kinds, starts, ends in zip(*columns, strict=True):

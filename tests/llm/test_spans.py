@@ -128,15 +128,54 @@ def test_base_findings_are_those_of_the_patterns():
         assert found == plain_secrets(text), repr(text)
 
 
-def test_other_candidates_hold_a_digit_and_no_base_finding():
+def test_other_candidates():
     text = "card 4785380592391139. see abc1234x@y and token = abcdefgh12 or wordswithout"
     found = [(k, text[a:b]) for k, a, b in secret_scan.candidates(text)]
-    assert found == [("token", "4785380592391139"), ("token", "abc1234x@y"), ("assign", "token = abcdefgh12")]
+    assert found == [("token", "4785380592391139"), ("token", "abc1234x@y"), ("assign", "token = abcdefgh12"), ("token", "wordswithout")]
+    text = "plain wordswithout digits. passphrase is CorrectHorseBatteryStapleQuux and -----BEGIN RSA PRIVATE KEY----- here"
+    found = [text[a:b] for _, a, b in secret_scan.candidates(text)]
+    assert found == ["CorrectHorseBatteryStapleQuux", "-----BEGIN RSA PRIVATE KEY-----"]
+    text = "x aVeryLongNameInCamelCase y " + "z" * 60
+    assert [text[a:b] for _, a, b in secret_scan.candidates(text)] == [text[2:26], "z" * 60]
+    spans = [(a, b) for _, a, b in secret_scan.candidates("key " + "q" * 70 + "1" + "Ab" * 30 + " secret ordinary")]
+    assert spans == [(4, 135), (143, 151)]
+
+
+def test_candidates_of_long_texts_take_linear_time():
+    begin = time.perf_counter()
+    for piece in ("key", "aB", "key ", "secret wordswithout ", "token=", "aBcDeFgHiJkLmNoPq ", "-----BEGIN ", "x1"):
+        secret_scan.candidates(piece * (400_000 // len(piece)))
+    assert time.perf_counter() - begin < 20
+
+
+def test_windows_cover_the_whole_candidate():
+    raw = bytes(range(32, 127)) * 4
+    for start, end in ((0, 8), (5, 53), (5, 54), (30, 200), (0, len(raw))):
+        cut = secret_scan.windows(raw, start, end)
+        parts = [cut[i : i + secret_scan.WINDOW] for i in range(0, len(cut), secret_scan.WINDOW)]
+        seen = set()
+        for k, part in enumerate(parts):
+            at = start + k * secret_scan.STEP
+            within = part[secret_scan.BEFORE : secret_scan.BEFORE + secret_scan.WITHIN].rstrip(b"\0")
+            assert within == raw[at : min(end, at + secret_scan.WITHIN)]
+            seen |= set(range(at, at + len(within)))
+        assert seen == set(range(start, end))
+
+
+def test_threshold_keeps_the_share_of_every_kind():
+    assert secret_scan.lowest_kept({5: 98, 1: 1, -9: 1}, 0.99) == 1 and secret_scan.lowest_kept({5: 98, 1: 1, -9: 1}, 1.0) == -9
+    network = secret_scan.Network.fresh()
+    network.calibrate({"hex": {40: 990, 16: 10}, "assign": {8: 5}, "token": {-60: 900, -3: 20, 30: 1}}, 0.99)
+
+    def passes(b):
+        return 1 / (1 + np.exp(-(network.scale * (b + 0.5) * secret_scan.BIN + network.shift))) >= network.threshold
+
+    assert passes(40) and passes(8) and not passes(-3) and not passes(-60)
 
 
 def test_gradients_of_the_network():
     network = secret_scan.Network.fresh(4, 3)
-    windows = [secret_scan.window(b"token = 0123abcd 99 and so on", 8, 16), secret_scan.window(b"x 4785380592391139 y", 2, 18)]
+    windows = [secret_scan.windows(b"token = 0123abcd 99 and so on", 8, 16), secret_scan.windows(b"x 4785380592391139 y", 2, 18)]
     symbols, labels = network.symbols(windows), np.array([1.0, 0.0])
 
     def loss():
@@ -166,12 +205,17 @@ def test_network_learns_and_adds_what_looks_like_a_finding(spark):
         rows.append((2 * i, f"some words here token = {key(40)} and more words", None, None, 0))
         rows.append((2 * i + 1, f"some words here {draw.randint(10**15, 10**16)} and more words", None, None, 0))
     rows.append((1000, f"some words here token ~ {key(31)} and more words", None, None, 0))
+    letters = "".join(draw.choice("abcdef") for _ in range(40))
+    rows.append((1002, f"some words here token ~ {letters[:31]} and more words", None, None, 0))
+    rows.append((1004, "some words here " + "x" * 100 + "/" + f"token=/{key(31)}" + " and more words", None, None, 0))
     docs = documents(spark, rows)
     result = {r["doc_id"]: r for r in secret_scan.scan_secrets(docs).collect()}
     assert all(result[2 * i]["n_assign"] == 1 and result[2 * i]["n_hex"] == 1 for i in range(150))
     assert not any("token:" in result[2 * i + 1]["spans"] for i in range(150))
     assert min(result[2 * i]["top_score"] for i in range(150)) > max(result[2 * i + 1]["top_score"] for i in range(150))
     assert result[1000]["spans"].startswith("token:24:")
+    assert result[1002]["spans"].startswith("token:24:")  # a secret of letters alone
+    assert "token:16:" in result[1004]["spans"] or result[1004]["n_assign"]  # one at the end of a long token
 
 
 def test_secrets_of_awkward_rows(spark):
