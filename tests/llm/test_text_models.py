@@ -1,7 +1,9 @@
 """Language id, quality classifier, URL models."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -63,6 +65,98 @@ def test_language_of_held_out_documents(spark):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.98 * len(held)
 
 
+def plain_mix(x):
+    for _ in range(2):
+        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 % (1 << 64)
+    return x ^ x >> 32
+
+
+def plain_grams(text):
+    """Buckets of the n-grams of a text, one by one."""
+    symbols = [0]
+    for c in (text or "").lower():
+        if c.isalpha():
+            symbols.append(ord(c))
+        elif symbols[-1]:
+            symbols.append(0)
+    symbols += [0] if symbols[-1] else []
+    out = []
+    for n in language_id.LENGTHS if len(symbols) > 1 else ():
+        for i in range(len(symbols) - n + 1):
+            if n == 1 and not symbols[i]:
+                continue
+            rolling = 0
+            for k in range(n):
+                rolling = (rolling * 0x100000001B3 + symbols[i + k] + k + 1) % (1 << 64)
+            out.append(plain_mix(rolling) >> 64 - language_id.BUCKET_BITS)
+    return out
+
+
+def test_language_query_against_plain_naive_bayes(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()
+    grams = {r["doc_id"]: Counter(plain_grams(r["text"])) for r in docs}
+    learned = [r for r in docs if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    counts, rows = {}, Counter(r["lang"] for r in learned)
+    for r in learned:
+        counts.setdefault(r["lang"], Counter()).update(grams[r["doc_id"]])
+    size = 1 << language_id.BUCKET_BITS
+    total = {k: c.total() + language_id.SMOOTHING * size for k, c in counts.items()}
+    got = {r["doc_id"]: r for r in queries.op1_language_id(spark, SMALL).collect()}
+    assert got.keys() == grams.keys()
+    for i, own in grams.items():
+        if not own:
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        logs = {
+            k: math.log(rows[k] / rows.total()) + sum(n * math.log((c[g] + language_id.SMOOTHING) / total[k]) for g, n in own.items())
+            for k, c in counts.items()
+        }
+        best = max(logs, key=logs.get)
+        assert got[i]["lang_pred"] == best
+        assert got[i]["score"] == pytest.approx(1 / sum(math.exp(x - logs[best]) for x in logs.values()), abs=2e-3)
+
+
+def plain_ftrl(rows, options):
+    """Follow the regularised leader, weight by weight."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= options.l1:
+            return 0.0
+        step = (options.beta + math.sqrt(n.get(i, 0.0))) / options.alpha + options.l2
+        return -(z[i] - math.copysign(options.l1, z[i])) / step
+
+    for _ in range(options.passes):
+        for row, label in rows:
+            w = {i: weight(i) for i in row}
+            p = 1 / (1 + math.exp(-max(-35, min(35, sum(w[i] * x for i, x in row.items())))))
+            for i, x in row.items():
+                g = (p - label) * x
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / options.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_quality_query_against_plain_ftrl(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", F.xxhash64("doc_id").alias("place")).collect()
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    bias = 1 << quality.BUCKET_BITS
+
+    def row(text):
+        buckets, counts = quality.features([text or ""])
+        scale = float(np.sqrt(max(1, counts[0])))
+        return {int(b): np.float32(k / scale) for b, k in Counter(buckets.tolist()).items()} | {bias: 1.0}
+
+    learned = sorted((r["place"], row(r["text"]), labels[r["doc_id"]]) for r in docs if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 and r["doc_id"] in labels)
+    weights = plain_ftrl([(x, y) for _, x, y in learned], quality.Ftrl())
+    got = {r["doc_id"]: r for r in queries.op10_quality(spark, SMALL).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        total = sum(weights.get(i, 0.0) * float(x) for i, x in row(r["text"]).items())
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-4)
+
+
 def test_language_ignores_labels_of_what_it_predicts(spark):
     docs = documents(spark).select("doc_id", "text", "lang")
     model = language_id.train(docs)
