@@ -19,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -41,36 +42,6 @@ HELD_LINKS = 1 << 22
 LOOKED_UP = 1 << 20
 
 
-class SpacedEncoder(Encoder):
-    """Encodes texts with a blank before them; strings of special tokens are plain text."""
-
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.tokenizer.encode_special_tokens = True
-        self.special = []
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.places) > self.WORDS or self.characters > self.CHARACTERS:
-            self._forget()
-        out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(texts)
-        splits = [bool(t) and not t[0].isspace() and self._splits(t) for t in texts]
-        whole = [i for i, s in enumerate(splits) if not s]
-        for i, ids in zip(whole, self._whole([" " + texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        words = {i: texts[i].split(" ") for i, s in enumerate(splits) if s}
-        number = self.places.__getitem__
-        at = [np.fromiter(map(number, w), dtype=np.int64, count=len(w)) for w in words.values()]
-        if self.places.fresh:
-            self._learn(self.places.fresh)
-            self.places.fresh = []
-        for i, own in zip(words, at, strict=True):
-            begin = self.starts[own]
-            size = self.starts[own + 1] - begin
-            ends = np.cumsum(size)
-            out[i] = self.flat[np.repeat(begin - ends + size, size) + np.arange(ends[-1])]
-        return out
-
-
 def byte_alphabet() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, the rest from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -78,40 +49,83 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Pair:
-    """The two tokenizers: how they encode, and the bytes of their tokens."""
+class Pair(Encoder):
+    """The two tokenizers: how they encode, and the bytes of their tokens.
+
+    The first one gets a text with a blank before it, as the second one puts
+    there itself; strings of special tokens are plain text. Neither has tokens
+    across a single blank, so the words of a text in which all blanks are
+    single are encoded once each, by both (see ``Encoder``).
+    """
 
     def __init__(self, byte_level: str, pieces: str) -> None:
-        self.first = SpacedEncoder(byte_level)
         self.second = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        byte_of = byte_alphabet()
-        size = self.first.tokenizer.get_vocab_size()
-        entries = [self.first.tokenizer.id_to_token(i) or "" for i in range(size)]
-        # A special token's entry may hold characters beyond the alphabet; no text is encoded to it.
-        self.first_bytes = [bytes(byte_of[c] for c in e if c in byte_of) for e in entries]
         self.second_bytes = []
         for i in range(self.second.get_piece_size()):
             piece = self.second.id_to_piece(i)
             raw = bytes([int(piece[3:5], 16)]) if self.second.is_byte(i) else piece.replace("▁", " ").encode()
             self.second_bytes.append(raw)
+        # A piece that goes on after a blank would join words.
+        self.by_word = not any(p.strip("▁") and "▁" in p[1:] for p in map(self.second.id_to_piece, range(len(self.second_bytes))))
+        super().__init__(byte_level)
+        self.tokenizer.encode_special_tokens = True
+        self.special = []
+        byte_of = byte_alphabet()
+        entries = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # A special token's entry may hold characters beyond the alphabet; no text is encoded to it.
+        self.first_bytes = [bytes(byte_of[c] for c in e if c in byte_of) for e in entries]
         self.first_sizes = np.array([len(b) for b in self.first_bytes])
         self.second_sizes = np.array([len(b) for b in self.second_bytes])
         most = max(len(self.first_bytes), len(self.second_bytes))
         #: Each id and what follows it: another one of its side, the other side, another group.
         self.shown = [f"{i}{mark}" for i in range(most) for mark in ",|;"]
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def _forget(self) -> None:
+        super()._forget()
+        self.second_flat = np.zeros(0, dtype=np.uint32)
+        self.second_starts = np.zeros(1, dtype=np.int64)
+        self.spelled = np.zeros(0, dtype=bool)
+
+    def _spells(self, first: list[int], second: list[int], text: str) -> bool:
+        """Whether the tokens of both sides are a blank and the text, byte by byte."""
+        raw = b" " + text.encode()
+        return b"".join(map(self.first_bytes.__getitem__, first)) == raw == b"".join(map(self.second_bytes.__getitem__, second))
+
+    def _learn(self, words: list[str]) -> None:
+        begin = len(self.starts) - 1
+        super()._learn(words)
+        second = self.second.encode(words, num_threads=1)
+        first = [self.flat[a:b].tolist() for a, b in zip(self.starts[begin:-1], self.starts[begin + 1 :], strict=True)]
+        spelled = [self._spells(a, b, w) for a, b, w in zip(first, second, words, strict=True)]
+        sizes = np.fromiter(map(len, second), dtype=np.int64, count=len(second))
+        ids = np.fromiter(chain.from_iterable(second), dtype=np.uint32, count=int(sizes.sum()))
+        self.second_starts = np.concatenate((self.second_starts, len(self.second_flat) + np.cumsum(sizes)))
+        self.second_flat = np.concatenate((self.second_flat, ids))
+        self.spelled = np.concatenate((self.spelled, spelled))
+
+    def encode_both(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The ids of each text by both; none where the text is empty or either's bytes aren't those of the text."""
-        wanted = [i for i, t in enumerate(texts) if t]
+        if len(self.places) > self.WORDS or self.characters > self.CHARACTERS:
+            self._forget()
         none = np.zeros(0, dtype=np.int64)
         first, second = [none] * len(texts), [none] * len(texts)
-        some = [texts[i] for i in wanted]
-        if not some:
-            return first, second
-        for i, a, b in zip(wanted, self.first.encode(some), self.second.encode(some, num_threads=1), strict=True):
-            raw = b" " + texts[i].encode()
-            if b"".join(map(self.first_bytes.__getitem__, a.tolist())) == raw == b"".join(map(self.second_bytes.__getitem__, b)):
-                first[i], second[i] = a.astype(np.int64), np.array(b, dtype=np.int64)
+        splits = [bool(t) and self.by_word and not t[0].isspace() and self._splits(t) for t in texts]
+        whole = [i for i, (t, s) in enumerate(zip(texts, splits, strict=True)) if t and not s]
+        some = [texts[i] for i in whole]
+        if some:
+            for i, a, b in zip(whole, self._whole([f" {t}" for t in some]), self.second.encode(some, num_threads=1), strict=True):
+                if self._spells(a.tolist(), b, texts[i]):
+                    first[i], second[i] = a.astype(np.int64), np.array(b, dtype=np.int64)
+        words = {i: texts[i].split(" ") for i, s in enumerate(splits) if s}
+        number = self.places.__getitem__
+        at = [np.fromiter(map(number, w), dtype=np.int64, count=len(w)) for w in words.values()]
+        if self.places.fresh:
+            self._learn(self.places.fresh)
+            self.places.fresh = []
+        for i, own in zip(words, at, strict=True):
+            if self.spelled[own].all():
+                first[i] = self.flat[ranges(self.starts[own], self.starts[own + 1])[0]].astype(np.int64)
+                second[i] = self.second_flat[ranges(self.second_starts[own], self.second_starts[own + 1])[0]].astype(np.int64)
         return first, second
 
 
@@ -183,7 +197,7 @@ class Aligned:
 
 def aligned(pair: Pair, texts: list[str]) -> Aligned:
     """Encode and align texts."""
-    first, second = pair.encode(texts)
+    first, second = pair.encode_both(texts)
     flat = [np.concatenate([*side, np.zeros(0, dtype=np.int64)]) for side in (first, second)]
     first_counts, second_counts = (np.array([len(x) for x in side], dtype=np.int64) for side in (first, second))
     a, b = np.cumsum(pair.first_sizes[flat[0]]), np.cumsum(pair.second_sizes[flat[1]])

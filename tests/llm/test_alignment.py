@@ -84,7 +84,7 @@ def digests(texts, groups):
 
 def test_bytes_of_tokens(pair):
     assert sorted(alignment.byte_alphabet().values()) == list(range(256))
-    assert pair.first_bytes[pair.first.tokenizer.token_to_id("Ġthe")] == b" the"
+    assert pair.first_bytes[pair.tokenizer.token_to_id("Ġthe")] == b" the" and pair.by_word
     assert sorted(b for i, b in enumerate(pair.second_bytes) if pair.second.is_byte(i)) == [bytes([i]) for i in range(256)]
 
 
@@ -126,13 +126,23 @@ def test_groups_and_links_of_texts(pair, plain, monkeypatch, large, held):
 
 
 def test_texts_are_encoded_as_a_whole(pair):
+    """Word by word or not, the ids are those of whole texts, by both."""
     draw = random.Random(6)
-    pieces = [" ", " ", " ", "  ", "\n", " \n", "\t", "a", "the", "'s", "é", "東", "　", "12", "!!", "\U0001f600", "<|endoftext|>", "Ġ", ",", "don't", "ÀÉß", "ª"]
+    pieces = [" ", " ", " ", "  ", "\n", " \n", "\t", "a", "the", "'s", "é", "東", "　", "12", "!!", "\U0001f600", "<|endoftext|>", "Ġ", ",", "don't", "ÀÉß", "ª", "▁", "</s>"]
     texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(1, 25))) for _ in range(3000)]
     tokenizer = Tokenizer.from_file(FIRST)
     tokenizer.encode_special_tokens = True
-    for text, ids in zip(texts, pair.first.encode(texts), strict=True):
-        assert ids.tolist() == tokenizer.encode(" " + text, add_special_tokens=False).ids, text
+    found = [pair.encode_both(texts[i : i + 100]) for i in range(0, len(texts), 100)]
+    first, second = ([ids for chunk in found for ids in chunk[side]] for side in (0, 1))
+    spelled = 0
+    for text, a, b in zip(texts, first, second, strict=True):
+        whole = tokenizer.encode(" " + text, add_special_tokens=False).ids, pair.second.encode(text)
+        if pair._spells(*whole, text):
+            spelled += 1
+            assert (a.tolist(), b.tolist()) == whole, text
+        else:
+            assert len(a) == len(b) == 0
+    assert 1000 < spelled < 3000
 
 
 @pytest.mark.parametrize("most", [0, 1_000_000])
