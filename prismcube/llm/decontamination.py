@@ -18,6 +18,7 @@ aren't shuffled.
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import mix, text_chunks, texts_of, word_hashes
+from prismcube.llm.common import mix, text_chunks, texts_of, word_hashes, written
 
 #: Least similarity of a match: 1 - edits / words of the item.
 SIMILARITY = 0.8
 #: Share of edited copies that the walks must find, and the most walks tried.
-RECALL, MOST_WALKS = 0.98, 32
+RECALL, MOST_WALKS = 0.98, 256
+#: Edited copies by which the walks of a band are calibrated.
+TRIALS = 400
 #: Keys sampled from each walk.
 SAMPLES = 2
 #: Words of items that one pass over the documents looks for; more items take more passes.
@@ -165,11 +168,12 @@ def edited(words: np.ndarray, edits: int, draw: np.random.Generator) -> np.ndarr
     return np.array(copy, dtype=np.uint64)
 
 
-def calibrated_walks(sequences: list[np.ndarray], similarity: float, recall: float, trials: int = 400) -> dict[int, int]:
+def calibrated_walks(sequences: list[np.ndarray], similarity: float, recall: float, trials: int = TRIALS) -> dict[int, int]:
     """Walks per band: twice as many until edited copies of the band's items are found as often as asked.
 
     Copies have as many edits as a match may have. ``trials`` copies per band
-    are made, of evenly chosen items, from a fixed seed.
+    are made, of evenly chosen items, from a fixed seed. Warns about a band
+    whose target isn't reached with ``MOST_WALKS`` walks.
     """
     walks = {}
     for band in sorted({band_of(len(w)) for w in sequences}):
@@ -179,8 +183,9 @@ def calibrated_walks(sequences: list[np.ndarray], similarity: float, recall: flo
         copies = [edited(w, edits_allowed(len(w), similarity), draw) for w in sample]
         words, counts = np.concatenate(copies), np.array([len(c) for c in copies])
         owner = np.repeat(np.arange(trials), counts)
-        for times in (2, 4, 8, 16, MOST_WALKS):
-            walks[band] = times
+        times = 1
+        while times < MOST_WALKS:
+            walks[band] = times = 2 * times
             index = index_items([[i] for i in range(trials)], sample, {band: times}, similarity)
             found = np.zeros(trials, dtype=bool)
             for at, item, _ in index.candidates(words, counts):
@@ -188,6 +193,8 @@ def calibrated_walks(sequences: list[np.ndarray], similarity: float, recall: flo
                 found[item[hit]] = True
             if found.mean() >= recall:
                 break
+        else:
+            warnings.warn(f"items of {BANDS[band].least} words or more are found with a recall of {found.mean():.3f} only", stacklevel=2)
     return walks
 
 
@@ -251,29 +258,51 @@ def matches(words: np.ndarray, counts: np.ndarray, items: Items) -> dict[tuple[i
     return found
 
 
-def item_blocks(benchmark: DataFrame, similarity: float, recall: float) -> list[Items]:
-    """The items, in blocks of about ``PASS_WORDS`` words, with the keys of their windows.
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_chunks(batches):
+        words, counts = words_of(texts_of(batch))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(words.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), lists], ["item_id", "words"])
+
+
+@dataclass(frozen=True)
+class Benchmark:
+    """The distinct items as a written table ``words, ids, block``, the number of blocks, and the walks of each band."""
+
+    items: DataFrame
+    blocks: int
+    walks: dict[int, int]
+    similarity: float
+
+    def index(self, block: int) -> Items:
+        """What one pass looks for: the items of a block, about ``PASS_WORDS`` words, with the keys of their windows."""
+        rows = self.items.where(F.col("block") == block).orderBy("words").collect()
+        sequences = [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in rows]
+        return index_items([r["ids"] for r in rows], sequences, self.walks, self.similarity)
+
+
+def prepared(benchmark: DataFrame, similarity: float, recall: float) -> Benchmark:
+    """Deal the items out to blocks and calibrate the walks.
 
     Reads ``item_id`` and ``text``; NULL ids, and texts without a word, are
-    left out. Items with the same words are looked for once. The benchmark is
-    held by the driver; documents never are.
+    left out. Items with the same words are looked for once. The driver holds
+    one block at a time, and of each band the ``TRIALS`` items with the
+    smallest hashes, by which the walks are calibrated.
     """
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").collect()
-    ids: dict[bytes, list[int]] = {}
-    for row in sorted(rows, key=lambda r: (r["item_id"], r["text"])):
-        words, _ = words_of([row["text"]])
-        if len(words):
-            ids.setdefault(words.tobytes(), []).append(row["item_id"])
-    sequences = [np.frombuffer(key, dtype=np.uint64) for key in ids]
-    if not sequences:
-        return []
-    walks = calibrated_walks(sequences, similarity, recall)
-    names = [sorted(set(x)) for x in ids.values()]
-    block = (np.cumsum([len(w) for w in sequences]) - 1) // PASS_WORDS
-    return [
-        index_items([names[i] for i in own], [sequences[i] for i in own], walks, similarity)
-        for own in (np.flatnonzero(block == b) for b in np.unique(block))
-    ]
+    read = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
+    words = read.mapInArrow(_item_words, "item_id long, words array<long>").where(F.size("words") > 0)
+    distinct = written(words.groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("ids")), "items")
+    total = distinct.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    blocks = -(-total // PASS_WORDS)
+    items = distinct.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(max(1, blocks))))
+    sample = []
+    above = None
+    for band in BANDS:
+        size = F.size("words")
+        own = distinct.where((size >= band.least) & (F.lit(True) if above is None else size < above))
+        sample += [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in own.orderBy(F.xxhash64("words"), "words").limit(TRIALS).collect()]
+        above = band.least
+    return Benchmark(items, blocks, calibrated_walks(sample, similarity, recall) if sample else {}, similarity)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -305,7 +334,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
         return each
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    passes = [read.mapInArrow(search(context.broadcast(b)), MATCHES) for b in item_blocks(benchmark, similarity, recall)]
+    items = prepared(benchmark, similarity, recall)
+    passes = []
+    for block in range(items.blocks):
+        shared = context.broadcast(items.index(block))
+        passes.append(written(read.mapInArrow(search(shared), MATCHES), "matches"))
+        shared.destroy()  # one block's index is held at a time
     if not passes:
         return docs.sparkSession.createDataFrame([], MATCHES)
     return reduce(DataFrame.unionByName, passes)
@@ -324,6 +358,11 @@ def without_contamination(docs: DataFrame, benchmark: DataFrame, similarity: flo
 
         return each
 
-    for block in item_blocks(benchmark, similarity, recall):
-        docs = docs.mapInArrow(clean(context.broadcast(block)), docs.schema)
+    items = prepared(benchmark, similarity, recall)
+    for block in range(items.blocks):
+        shared = context.broadcast(items.index(block))
+        docs = docs.mapInArrow(clean(shared), docs.schema)
+        if block < items.blocks - 1:
+            docs = written(docs, "clean")
+            shared.destroy()
     return docs
