@@ -79,8 +79,9 @@ def _training_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], options: Ftrl) -> np.ndarray:
-    """FTRL-proximal over sparse rows; the last weight is the bias."""
-    z = np.zeros((1 << BUCKET_BITS) + 1)
+    """FTRL-proximal over sparse rows, each with a bias of value 1; the last weight is the bias."""
+    bias = 1 << BUCKET_BITS
+    z = np.zeros(bias + 1)
     n = np.zeros_like(z)
 
     def weights(at: np.ndarray | slice) -> np.ndarray:
@@ -88,7 +89,8 @@ def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], options: F
         return -np.sign(z[at]) * np.maximum(np.abs(z[at]) - options.l1, 0) / step
 
     for _ in range(options.passes):
-        for index, value, label in rows:
+        for own, amounts, label in rows:
+            index, value = np.append(own, bias), np.append(amounts, np.float32(1))
             w = weights(index)
             p = 1 / (1 + np.exp(-np.clip(w @ value, -35, 35)))
             gradient = (p - label) * value
@@ -111,11 +113,11 @@ def train(docs: DataFrame, labels: DataFrame, options: Ftrl | None = None, most:
     sample = known.withColumn("place", place).orderBy("place", "doc_id", "label").limit(most)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("place", "label", "text")
     table = chosen.mapInArrow(_training_features, "place long, label int, buckets array<int>, amounts array<float>").toArrow()
-    rows = []
-    bias = np.int32(1 << BUCKET_BITS)
-    for place_, label, buckets, amounts in zip(*(table.column(c) for c in ("place", "label", "buckets", "amounts")), strict=True):
-        index = np.append(buckets.values.to_numpy(), bias)
-        rows.append((place_.as_py(), label.as_py(), index, np.append(amounts.values.to_numpy(), np.float32(1))))
+    # The learner reads the rows where Arrow holds them.
+    rows = [
+        (place_.as_py(), label.as_py(), buckets.values.to_numpy(), amounts.values.to_numpy())
+        for place_, label, buckets, amounts in zip(*(table.column(c) for c in ("place", "label", "buckets", "amounts")), strict=True)
+    ]
     rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
     return follow_the_leader([(index, value, label) for _, label, index, value in rows], options or Ftrl())
 
