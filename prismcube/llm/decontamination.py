@@ -168,12 +168,18 @@ def edited(words: np.ndarray, edits: int, draw: np.random.Generator) -> np.ndarr
     return np.array(copy, dtype=np.uint64)
 
 
+def settled(recalls: list[float]) -> bool:
+    """Whether two doublings in a row brought nothing."""
+    return len(recalls) > 2 and recalls[-1] == recalls[-3]
+
+
 def calibrated_walks(sequences: list[np.ndarray], similarity: float, recall: float, trials: int = TRIALS) -> dict[int, int]:
     """Walks per band: twice as many until edited copies of the band's items are found as often as asked.
 
     Copies have as many edits as a match may have. ``trials`` copies per band
-    are made, of evenly chosen items, from a fixed seed. Warns about a band
-    whose target isn't reached with ``MOST_WALKS`` walks.
+    are made, of evenly chosen items, from a fixed seed. Doubling ends, with a
+    warning, where it brings nothing any more or at ``MOST_WALKS``; then the
+    fewest walks with the highest recall are taken.
     """
     walks = {}
     for band in sorted({band_of(len(w)) for w in sequences}):
@@ -183,18 +189,21 @@ def calibrated_walks(sequences: list[np.ndarray], similarity: float, recall: flo
         copies = [edited(w, edits_allowed(len(w), similarity), draw) for w in sample]
         words, counts = np.concatenate(copies), np.array([len(c) for c in copies])
         owner = np.repeat(np.arange(trials), counts)
+        reached: dict[int, float] = {}
         times = 1
-        while times < MOST_WALKS:
-            walks[band] = times = 2 * times
+        # Copies without a stretch that a walk can read are found by no number of walks.
+        while times < MOST_WALKS and max(reached.values(), default=0) < recall and not settled([*reached.values()]):
+            times *= 2
             index = index_items([[i] for i in range(trials)], sample, {band: times}, similarity)
             found = np.zeros(trials, dtype=bool)
             for at, item, _ in index.candidates(words, counts):
                 hit = owner[at] == item
                 found[item[hit]] = True
-            if found.mean() >= recall:
-                break
-        else:
-            warnings.warn(f"items of {BANDS[band].least} words or more are found with a recall of {found.mean():.3f} only", stacklevel=2)
+            reached[times] = float(found.mean())
+        best = max(reached.values())
+        walks[band] = min(t for t, x in reached.items() if x == best)
+        if best < recall:
+            warnings.warn(f"items of {BANDS[band].least} words or more are found with a recall of {best:.3f}", stacklevel=2)
     return walks
 
 
