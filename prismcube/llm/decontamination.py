@@ -309,7 +309,9 @@ def prepared(benchmark: DataFrame, similarity: float, recall: float) -> Benchmar
     for band in BANDS:
         size = F.size("words")
         own = distinct.where((size >= band.least) & (F.lit(True) if above is None else size < above))
-        sample += [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in own.orderBy(F.xxhash64("words"), "words").limit(TRIALS).collect()]
+        chosen = own.orderBy(F.xxhash64("words"), "words").limit(TRIALS).collect()
+        chosen.sort(key=lambda r: (r["ids"][0], r["words"]))
+        sample += [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in chosen]
         above = band.least
     return Benchmark(items, blocks, calibrated_walks(sample, similarity, recall) if sample else {}, similarity)
 
