@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ..contract import SALES, Contract
 from .columns import drop_suffix
@@ -47,9 +47,14 @@ def denormalise(
     dates: DataFrame,
     contract: Contract = SALES,
     salted: Collection[str] = (),
+    computed: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """All joins, surrogate keys dropped, columns in contract order.
 
+    ``computed`` are columns that follow from others of the joined rows, keys
+    included. They are made after the last join, so that rows are shuffled
+    without them.
+
     Customers and products, the dimensions that may outgrow a broadcast, come
     first, while the rows that would be shuffled are still narrow. A dimension
     that is derived, and small only in fact, is measured, so the wide rows are
@@ -72,4 +77,4 @@ def denormalise(
     wide = join_store_manager(wide, salespersons)
     wide = join_date_role(wide, dates, "start_date_sk", "campaign_start")
     wide = join_date_role(wide, dates, "end_date_sk", "campaign_end")
-    return drop_suffix(wide).select(*contract.names)
+    return drop_suffix(wide.withColumns(dict(computed or {}))).select(*contract.names)

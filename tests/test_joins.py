@@ -198,6 +198,26 @@ def test_wide_rows_are_not_shuffled_by_a_key_with_few_values(spark, conf):
         assert not re.search(rf"Exchange hashpartitioning\({key}#", text)
 
 
+def test_computed_columns_follow_the_joins(small_star):
+    expected = rows(star.denormalise(**small_star))
+    fact, customers = small_star["fact"], small_star["customers"]
+    small_star["fact"] = fact.drop("sales_id")
+    small_star["customers"] = customers.withColumn("mail", F.split("email", "@")[0]).drop("last_name", "email")
+    computed = {
+        "sales_id": F.concat(F.lit("s"), F.substring("sales_date", 10, 1)),
+        "last_name": F.when(F.col("customer_id").isNotNull(), "Lee"),
+        "email": F.concat("mail", F.lit("@x.org")),
+    }
+    assert rows(star.denormalise(**small_star, computed=computed)) == expected
+
+
+def test_texts_are_spelled_after_the_last_shuffle(spark, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "1000", "spark.sql.adaptive.autoBroadcastJoinThreshold": "1000"})
+    text = star.denormalise(**sales_star(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    for column in ("sales_id", "sales_date", "email", "product_id"):
+        assert text.index(f"AS {column}#") < text.index("Exchange hashpartitioning")
+
+
 def test_repeated_dimension_key_multiplies_rows(small_star):
     small_star["customers"] = small_star["customers"].unionAll(small_star["customers"])
     assert star.denormalise(**small_star).count() == 5

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prismcube.operators.joins import left_join
@@ -55,8 +55,8 @@ def cube_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("order_sk", *CUBE_ROLES, "total_amount")
 
 
-def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Fact and dimensions of the 39-column sales star.
+def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | dict[str, Column]]:
+    """Fact and dimensions of the 39-column sales star, and the texts that are spelled from their columns.
 
     Parts are products, suppliers are stores, nations are salespersons (and,
     by the supplier's nation, store managers). Every quarter with orders is a
@@ -70,14 +70,14 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("customer_sk"),
         quarter.alias("campaign_sk"),
-        order_day.cast("string").alias("sales_date"),
+        order_day.alias("order_day"),
     )
     lines = lines.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount")
     )
     fact = left_join(lines, ordered, "l_orderkey").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "amount").alias("sales_id"),
-        "sales_date",
+        F.col("l_orderkey").alias("order_sk"),
+        "order_day",
         F.col("amount").alias("total_amount"),
         "customer_sk",
         F.col("l_partkey").alias("product_sk"),
@@ -94,19 +94,16 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers = customers.select(
         F.col("c_custkey").alias("customer_sk"),
         F.col("c_name").alias("customer_id"),
-        F.substring_index("c_name", "#", 1).alias("first_name"),
-        F.substring_index("c_name", "#", -1).alias("last_name"),
-        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
         F.col("n_name").alias("residential_location"),
         F.col("c_mktsegment").alias("customer_segment"),
     )
     products = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_sk"),
-        F.concat(F.lit("PROD_"), F.col("p_partkey").cast("string")).alias("product_id"),
+        F.col("p_partkey").alias("product_no"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
-        F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("origin_location"),
+        F.col("p_size").alias("product_size"),
     )
     stores = table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     stores = stores.select(
@@ -143,4 +140,13 @@ def sales_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "salespersons": salespersons,
         "campaigns": campaigns,
         "dates": date_dimension(spark, FIRST_DAY, LAST_DAY),
+        "computed": {
+            "sales_id": F.concat_ws("-", "order_sk", "salesperson_sk", "product_sk", "store_sk", "total_amount"),
+            "sales_date": F.col("order_day").cast("string"),
+            "first_name": F.substring_index("customer_id", "#", 1),
+            "last_name": F.substring_index("customer_id", "#", -1),
+            "email": F.concat(F.lower("customer_id"), F.lit("@example.com")),
+            "product_id": F.concat(F.lit("PROD_"), F.col("product_no").cast("string")),
+            "origin_location": F.concat(F.lit("size "), F.col("product_size").cast("string")),
+        },
     }
