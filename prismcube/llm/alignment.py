@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prismcube.llm.common import row_sums, text_chunks, texts_of, written
-from prismcube.llm.wavelet import Encoder
+from prismcube.llm.wavelet import Encoder, extended
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Most counted pairs that are broadcast; more are joined.
@@ -99,9 +99,9 @@ class Pair(Encoder):
         spelled = [self._spells(a, b, w) for a, b, w in zip(first, second, words, strict=True)]
         sizes = np.fromiter(map(len, second), dtype=np.int64, count=len(second))
         ids = np.fromiter(chain.from_iterable(second), dtype=np.uint32, count=int(sizes.sum()))
-        self.second_starts = np.concatenate((self.second_starts, len(self.second_flat) + np.cumsum(sizes)))
-        self.second_flat = np.concatenate((self.second_flat, ids))
-        self.spelled = np.concatenate((self.spelled, spelled))
+        self.second_starts = extended(self.second_starts, len(self.second_flat) + np.cumsum(sizes))
+        self.second_flat = extended(self.second_flat, ids)
+        self.spelled = extended(self.spelled, np.array(spelled, dtype=bool))
 
     def encode_both(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The ids of each text by both; none where the text is empty or either's bytes aren't those of the text."""
@@ -119,9 +119,8 @@ class Pair(Encoder):
         words = {i: texts[i].split(" ") for i, s in enumerate(splits) if s}
         number = self.places.__getitem__
         at = [np.fromiter(map(number, w), dtype=np.int64, count=len(w)) for w in words.values()]
-        if self.places.fresh:
-            self._learn(self.places.fresh)
-            self.places.fresh = []
+        if fresh := self.places.fresh():
+            self._learn(fresh)
         for i, own in zip(words, at, strict=True):
             if self.spelled[own].all():
                 first[i] = self.flat[ranges(self.starts[own], self.starts[own + 1])[0]].astype(np.int64)

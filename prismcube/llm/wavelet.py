@@ -16,10 +16,12 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from itertools import count, islice
 
 import numpy as np
 import public_tokenizers
@@ -179,16 +181,29 @@ class Shard:
 # --- Encoding ------------------------------------------------------------
 
 
-class _Numbers(dict):
+class _Numbers(defaultdict):
     """Numbers words in the order in which they are first asked for."""
 
     def __init__(self) -> None:
-        self.fresh: list[str] = []
+        super().__init__(count().__next__)
+        self._known = 0
 
-    def __missing__(self, word: str) -> int:
-        self.fresh.append(word)
-        number = self[word] = len(self)
-        return number
+    def fresh(self) -> list[str]:
+        """The words numbered since this was last asked, in order."""
+        words = list(islice(reversed(self), len(self) - self._known))
+        self._known = len(self)
+        return words[::-1]
+
+
+def extended(held: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """``held`` and then ``more``, in the room behind ``held`` where there is enough; extend only the newest result."""
+    room = held if held.base is None else held.base
+    size = len(held) + len(more)
+    if size > len(room):
+        room = np.empty(2 * size, dtype=held.dtype)
+        room[: len(held)] = held
+    room[len(held) : size] = more
+    return room[:size]
 
 
 class Encoder:
@@ -202,12 +217,15 @@ class Encoder:
 
     A new word that is letters and then marks, or lines of that, splits there
     and nowhere else; its letters go to the tokenizer's model as they are,
-    without the pattern search that takes most of the time. Other new words
-    are encoded with their blanks, some hundred in one text.
+    without the pattern search that takes most of the time, and once for all
+    the marks that follow them. Other new words are encoded with their blanks,
+    some hundred in one text.
     """
 
     #: Most words remembered, and their characters in all.
     WORDS, CHARACTERS = 1_000_000, 12_000_000
+    #: Most runs of letters remembered, and the characters of one that is.
+    RUNS, RUN_CHARACTERS = 200_000, 40
     #: ASCII punctuation but the apostrophe, with which contractions begin.
     MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
     #: Letters below this one are letters in every version of Unicode.
@@ -220,18 +238,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.width = max(1, (size - 1).bit_length())
+        self.tokenize = self.tokenizer.model.tokenize
         pieces = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.begins_word = np.array([p.startswith("Ġ") for p in pieces])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         as_bytes = self.tokenizer.pre_tokenizer.pre_tokenize_str
         letters = [c for c in map(chr, range(ord(self.LETTERS_END))) if c.isalpha()]
         self.bytes_of = str.maketrans({c: as_bytes(c)[0][0] for c in letters})
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = array("I", self.tokenizer.encode("\n", add_special_tokens=False).ids).tobytes()
         self._forget()
 
     def _forget(self) -> None:
         self.places = _Numbers()
-        self.marks: dict[str, list[int]] = {}
+        self.marks: dict[str, bytes] = {}
+        self.runs: dict[str, dict[str, bytes]] = {"Ġ": {}, "": {}}
         self.characters = 0
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
@@ -247,25 +267,33 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in encoded]
 
-    def _run(self, line: str, lead: str) -> list[int] | None:
+    def _run(self, line: str, lead: str) -> bytes | None:
         """The ids of letters and then marks, with a blank before them or not; None for anything else."""
         core = line.rstrip(self.MARKS)
-        if not core.isalpha():
-            return None
-        if core.isascii():
-            ids = [t.id for t in self.tokenizer.model.tokenize(lead + core)]
-        elif max(core) < self.LETTERS_END:
-            ids = [t.id for t in self.tokenizer.model.tokenize(lead + core.translate(self.bytes_of))]
-        else:
-            return None
+        known = self.runs[lead]
+        ids = known.get(core)
+        if ids is None:
+            if not core.isalpha():
+                return None
+            if core.isascii():
+                spelled = lead + core
+            elif max(core) < self.LETTERS_END:
+                spelled = lead + core.translate(self.bytes_of)
+            else:
+                return None
+            ids = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+            if len(core) <= self.RUN_CHARACTERS:
+                if len(known) >= self.RUNS:
+                    known.clear()
+                known[core] = ids
         if len(core) < len(line):
             mark = line[len(core) :]
             if mark not in self.marks:
-                self.marks[mark] = self.tokenizer.encode(mark, add_special_tokens=False).ids
+                self.marks[mark] = array("I", self.tokenizer.encode(mark, add_special_tokens=False).ids).tobytes()
             ids += self.marks[mark]
         return ids
 
-    def _plain(self, word: str) -> list[int] | None:
+    def _plain(self, word: str) -> bytes | None:
         """The ids of a word with its blank, if it is letters and marks, or lines of that; else None."""
         if "\n" not in word:
             return self._run(word, "Ġ")
@@ -289,12 +317,11 @@ class Encoder:
             if len(cuts) != len(chunk):
                 raise ValueError("the tokenizer doesn't split words at blanks")
             for i, ids in zip(chunk, np.split(joined, cuts[1:]), strict=True):
-                found[i] = ids.tolist()
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
+                found[i] = ids.tobytes()
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.flat.itemsize
         self.characters += sum(map(len, words))
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes)))
-        self.flat = np.concatenate((self.flat, ids))
+        self.starts = extended(self.starts, len(self.flat) + np.cumsum(sizes))
+        self.flat = extended(self.flat, np.frombuffer(b"".join(found), dtype=np.uint32))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.places) > self.WORDS or self.characters > self.CHARACTERS:
@@ -308,9 +335,8 @@ class Encoder:
         firsts = self._whole([w[0] for w in words.values()])
         number = self.places.__getitem__
         at = [np.fromiter(map(number, w[1:]), dtype=np.int64, count=len(w) - 1) for w in words.values()]
-        if self.places.fresh:
-            self._learn(self.places.fresh)
-            self.places.fresh = []
+        if fresh := self.places.fresh():
+            self._learn(fresh)
         for i, first, own in zip(words, firsts, at, strict=True):
             begin = self.starts[own]
             size = self.starts[own + 1] - begin

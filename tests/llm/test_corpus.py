@@ -59,6 +59,29 @@ def test_words_are_encoded_as_in_their_text():
         assert [g.tolist() for g in got] == [p.ids for p in plain[i : i + 100]]
 
 
+def test_letters_are_encoded_once_for_all_marks():
+    texts = ["a stone stone, stone. stone\nstone\nstone; Stone", "stone! Ġstone stone), straße straße."]
+    encoder, seen = wavelet.Encoder(VOCABULARY), []
+    encoder.tokenize = lambda text, real=encoder.tokenize: seen.append(text) or real(text)
+    plain = [p.ids for p in Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)]
+    assert [g.tolist() for g in encoder.encode(texts)] == plain
+    assert seen.count("Ġstone") == seen.count("stone") == 1 and len(seen) == len(set(seen))
+    encoder.RUNS = 1
+    encoder._forget()
+    assert [g.tolist() for g in encoder.encode(texts)] == plain
+    assert max(map(len, encoder.runs.values())) == 1
+
+
+def test_extended_keeps_what_was_held():
+    held, whole = np.zeros(0, dtype=np.int64), []
+    for n in (3, 0, 1, 40, 2, 500):
+        before, more = held, np.arange(n)
+        held = wavelet.extended(held, more)
+        assert before.tolist() == whole
+        whole += more.tolist()
+        assert held.tolist() == whole and held.dtype == np.int64
+
+
 def plain_places(rows):
     """``doc_id, start, n_tokens, crc`` of ``(doc_id, text)`` in the given order."""
     tokenizer, start, out = Tokenizer.from_file(VOCABULARY), 0, []
