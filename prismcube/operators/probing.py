@@ -23,6 +23,8 @@ MOST_NAMED = 1000
 LISTED = 10
 #: Bytes of a row group: small ones leave more out.
 ROW_GROUP = 8 << 20
+#: Of stored tables: ids and other texts with many values take half of what they take in Spark's default.
+COMPRESSION = "zstd"
 #: Rows of a file.
 FILE_ROWS = 4_000_000
 
@@ -44,7 +46,7 @@ def by_hash(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 def hashed_writer(df: DataFrame) -> DataFrameWriter:
     """A writer of small row groups with bloom filters on the hash."""
-    options = {"parquet.block.size": str(ROW_GROUP), f"parquet.bloom.filter.enabled#{HASH}": "true"}
+    options = {"parquet.block.size": str(ROW_GROUP), f"parquet.bloom.filter.enabled#{HASH}": "true", "compression": COMPRESSION}
     return df.write.options(**options)
 
 

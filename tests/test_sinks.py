@@ -370,3 +370,22 @@ print("COUNTED", found["rows"], found["odd"], spark.read.parquet({str(tmp_path /
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert "COUNTED 5000 2500 5000" in run.stdout, run.stderr[-2000:]
     assert (tmp_path / "failed").exists()
+
+
+def test_compressed_landing_files_load_like_plain_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_sink, "COMPRESSED_ROWS", 10)
+    contract = Contract((ColumnSpec("k", not_null=True, unique=True), ColumnSpec("v", dictionary=True), ColumnSpec("a", kind="float")))
+    df = spark.range(35).coalesce(1).selectExpr("concat('k', id % 30) AS k", "concat('v, ', id) AS v", "id / 4 AS a")
+    found = []
+    for compression in ("none", "gzip"):
+        root = str(tmp_path / compression)
+        load.init_tables(spark, root, contract)
+        for day in (1, 2):
+            csv_sink.write_csv(df if day == 1 else df.selectExpr("concat('x', k) AS k", "v", "a"), f"{root}/landing/{day}", compression=compression)
+            load.append_load(spark, f"{root}/landing/*", root, contract)
+        found.append(rows(load.fact_table(spark, root, contract)) + rows(load.reject_report(spark, root, contract)))
+    assert found[0] == found[1] and len(found[0]) == 70
+    names = sorted(p.name for p in (tmp_path / "gzip/landing/1").glob("part-*"))
+    assert len(names) == 4 and all(n.endswith(".csv.gz") for n in names)
+    stored = [p.name for p in (tmp_path / "gzip").rglob("*.parquet")]
+    assert stored and any(".zstd." in n for n in stored)

@@ -228,8 +228,8 @@ def unique_first_wins(spark: SparkSession, sf: str) -> DataFrame:
     return validation.check_rows(events, contract, "event_id").drop("kind")
 
 
-def land(rows: DataFrame, landing: str, day: int) -> None:
-    write_csv(rows, f"{landing}/{day}")
+def land(rows: DataFrame, landing: str, day: int, compression: str = "none") -> None:
+    write_csv(rows, f"{landing}/{day}", compression=compression)
 
 
 def validation_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -416,10 +416,10 @@ def sales_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     wide = star.denormalise(**sales_star(spark, sf))
     load.init_tables(spark, root, SALES)
     early = F.coalesce(F.col("campaign_start_year") <= 1998, F.lit(True))
-    land(wide.where(early), landing, 1)
+    land(wide.where(early), landing, 1, "gzip")
     load.append_load(spark, f"{landing}/*", root, SALES)
     stored.generate_cube(spark, root, SALES)
-    land(wide.where(~early), landing, 2)
+    land(wide.where(~early), landing, 2, "gzip")
     load.append_load(spark, f"{landing}/*", root, SALES)
     stored.refresh_cube(spark, root, SALES)
     return finish(cube.with_names(stored.stored_cube(spark, root), CUBE_DIMENSIONS))
