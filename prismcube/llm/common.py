@@ -26,13 +26,13 @@ def crc32_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts of one take about ``CHUNK_BYTES``."""
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the texts of one take about ``size`` bytes."""
     for batch in batches:
         start, held = 0, 0
         lengths = pc.binary_length(batch.column(column)).to_pylist()
         for i, n in enumerate(lengths):
-            if i > start and held + (n or 0) > CHUNK_BYTES:
+            if i > start and held + (n or 0) > size:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n or 0

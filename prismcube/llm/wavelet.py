@@ -21,11 +21,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import count, islice
+from itertools import count, islice, pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,6 +40,8 @@ from prismcube.scratch import scratch_path
 END = 0
 #: A shard is closed once it holds so many ids; a longer document has a shard of its own.
 SHARD_IDS = 1 << 20
+#: Bytes of text that are encoded at a time: distinct words are looked up once for each.
+CHUNK = 1 << 22
 #: Bits of a plane that are compressed together.
 BLOCK_BITS = 1 << 16
 MAGIC = b"WMX1"
@@ -55,14 +58,15 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], counts: np.ndarray, width:
     current = ids.astype(np.uint16 if width <= 16 else np.uint32)
     zeros, ones, blocks = [], [], []
     for level in range(width):
-        plane = ((current >> (width - 1 - level)) & 1).astype(bool)
-        low, high = np.flatnonzero(~plane), np.flatnonzero(plane)
+        raw = np.packbits(current & current.dtype.type(1 << (width - 1 - level)) != 0, bitorder="little").tobytes()
+        plane = pa.Array.from_buffers(pa.bool_(), len(ids), [None, pa.py_buffer(raw)])
+        held = pa.array(current)
+        low, high = held.filter(pc.invert(plane)), held.filter(plane)
         zeros.append(len(low))
-        raw = np.packbits(plane, bitorder="little").tobytes()
         cut = [raw[i : i + BLOCK_BITS // 8] for i in range(0, len(raw), BLOCK_BITS // 8)]
         ones.append([int(np.bitwise_count(np.frombuffer(b, dtype=np.uint8)).sum(dtype=np.int64)) for b in cut])
         blocks.append([squeeze(b) for b in cut])
-        current = np.concatenate((current.take(low), current.take(high)))
+        current = np.concatenate((low.to_numpy(), high.to_numpy()))
     docs = squeeze(json.dumps([doc_ids, counts.tolist()]).encode())
     head = squeeze(json.dumps({
         "n": len(ids), "width": width, "zeros": zeros, "ones": ones,
@@ -206,6 +210,23 @@ def extended(held: np.ndarray, more: np.ndarray) -> np.ndarray:
     return room[:size]
 
 
+def places(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the given ranges, one after another, and how many there are up to the end of each."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0), ends
+
+
+def tails(words: pa.Array, heads: pa.Array) -> pa.Array:
+    """What is left of each word behind the head that it begins with."""
+    _, bounds, text = words.buffers()
+    after = np.frombuffer(bounds, dtype=np.int32)[words.offset + 1 :][: len(words)].astype(np.int64)
+    sizes = pc.subtract(pc.binary_length(words), pc.binary_length(heads)).to_numpy()
+    place, ends = places(after - sizes, sizes)
+    bounds = np.concatenate(([0], ends)).astype(np.int32)
+    left = np.frombuffer(text, dtype=np.uint8)[place]
+    return pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(bounds), pa.py_buffer(left)])
+
+
 class Encoder:
     """Encode texts with a byte-level tokenizer, each distinct word once.
 
@@ -213,7 +234,13 @@ class Encoder:
     aren't white space, whatever surrounds them, and merges never cross a
     split. So the ids of such a text are those of its first word followed by
     those of each other word with its blank, which are remembered. Any other
-    text is encoded whole.
+    text is encoded whole. A single line end between two such characters is a
+    token of its own, so what follows it is a word as well.
+
+    Arrow splits many texts at a time and tells their words apart: each
+    distinct one is looked up once, however often it occurs. Of letters and
+    then marks the two are looked up apart, the marks as if a line end came
+    before them; it is cut off.
 
     A new word that is letters and then marks, or lines of that, splits there
     and nowhere else; its letters go to the tokenizer's model as they are,
@@ -244,6 +271,8 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         as_bytes = self.tokenizer.pre_tokenizer.pre_tokenize_str
         letters = [c for c in map(chr, range(ord(self.LETTERS_END))) if c.isalpha()]
+        #: Letters alone, or behind a line end.
+        self.letters = f"^\n?[{''.join(letters)}]+$"
         self.bytes_of = str.maketrans({c: as_bytes(c)[0][0] for c in letters})
         self.line_end = array("I", self.tokenizer.encode("\n", add_special_tokens=False).ids).tobytes()
         self._forget()
@@ -294,11 +323,11 @@ class Encoder:
         return ids
 
     def _plain(self, word: str) -> bytes | None:
-        """The ids of a word with its blank, if it is letters and marks, or lines of that; else None."""
+        """The ids of a word with its blank or its line end, if it is letters and marks, or lines of that; else None."""
         if "\n" not in word:
             return self._run(word, "Ġ")
         first, *lines = word.split("\n")
-        out = self._run(first, "Ġ")
+        out = self._run(first, "Ġ") if first else b""
         for line in lines:
             ids = self._run(line, "")
             if out is None or ids is None:
@@ -307,8 +336,11 @@ class Encoder:
         return out
 
     def _learn(self, words: list[str]) -> None:
-        """Store the ids of words that were just numbered."""
+        """Store the ids of words that were just numbered; one that begins with a line end has no blank before it."""
         found = [self._plain(word) for word in words]
+        lines = [i for i, ids in enumerate(found) if ids is None and words[i][0] == "\n"]
+        for i, ids in zip(lines, self._whole([words[i] for i in lines]) if lines else (), strict=True):
+            found[i] = ids.tobytes()
         others = [i for i, ids in enumerate(found) if ids is None]
         for at in range(0, len(others), 256):
             chunk = others[at : at + 256]
@@ -323,6 +355,31 @@ class Encoder:
         self.starts = extended(self.starts, len(self.flat) + np.cumsum(sizes))
         self.flat = extended(self.flat, np.frombuffer(b"".join(found), dtype=np.uint32))
 
+    def _lines(self, text: str) -> bool:
+        """Whether a text that splits has line ends, and each stands alone between two characters that aren't white space."""
+        if "\n" not in text or text[0] == "\n" or text[-1] == "\n":
+            return False
+        spaces = self.ASCII_SPACES if text.isascii() else self.SPACES
+        return not any(c in text and (f"{c}\n" in text or f"\n{c}" in text) for c in spaces)
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, as the bytes of an array each."""
+        cores = pc.ascii_rtrim(words, characters=self.MARKS)
+        plain = pc.match_substring_regex(cores, self.letters)
+        heads = pc.if_else(plain, cores, words)
+        marks = tails(words, heads).dictionary_encode()
+        heads = heads.dictionary_encode()
+        asked = heads.dictionary.to_numpy(zero_copy_only=False).tolist()
+        asked += [f"\n{m}" for m in marks.dictionary.to_pylist()]
+        numbers = np.fromiter(map(self.places.__getitem__, asked), dtype=np.int64, count=len(asked))
+        if fresh := self.places.fresh():
+            self._learn(fresh)
+        head, mark = numbers[heads.indices.to_numpy()], numbers[len(heads.dictionary) + marks.indices.to_numpy()]
+        begins = np.stack((self.starts[head], self.starts[mark] + 1), axis=1).ravel()
+        place, ends = places(begins, np.stack((self.starts[head + 1], self.starts[mark + 1]), axis=1).ravel() - begins)
+        bounds = np.concatenate(([0], ends[1::2])) * self.flat.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(bounds), pa.py_buffer(self.flat[place])])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.places) > self.WORDS or self.characters > self.CHARACTERS:
             self._forget()
@@ -331,18 +388,19 @@ class Encoder:
         whole = [i for i, (t, s) in enumerate(zip(texts, splits, strict=True)) if t and not s]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        words = {i: texts[i].split(" ") for i, s in enumerate(splits) if s}
-        firsts = self._whole([w[0] for w in words.values()])
-        number = self.places.__getitem__
-        at = [np.fromiter(map(number, w[1:]), dtype=np.int64, count=len(w) - 1) for w in words.values()]
-        if fresh := self.places.fresh():
-            self._learn(fresh)
-        for i, first, own in zip(words, firsts, at, strict=True):
-            begin = self.starts[own]
-            size = self.starts[own + 1] - begin
-            ends = np.cumsum(size)
-            place = np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-            out[i] = np.concatenate((first, self.flat[place]))
+        of = [i for i, s in enumerate(splits) if s]
+        cut = [(texts[i].replace("\n", " \n") if self._lines(texts[i]) else texts[i]).partition(" ") for i in of]
+        for i, first in zip(of, self._whole([first for first, _, _ in cut]), strict=True):
+            out[i] = first
+        of, rests = [i for i, c in zip(of, cut, strict=True) if c[1]], [rest for _, blank, rest in cut if blank]
+        if rests:
+            lists = pc.split_pattern(pa.array(rests, pa.string()), " ")
+            words = lists.flatten().dictionary_encode()
+            _, bounds, found = self._ids_of(words.dictionary).take(words.indices).buffers()
+            ids = np.frombuffer(found, dtype=self.flat.dtype)
+            ends = np.frombuffer(bounds, dtype=np.int64)[lists.offsets.to_numpy()] // ids.itemsize
+            for i, (begin, end) in zip(of, pairwise(ends.tolist()), strict=True):
+                out[i] = np.concatenate((out[i], ids[begin:end]))
         return out
 
 
@@ -370,7 +428,7 @@ def _shards(path: str, most: int):
                 ["part", "seq", "before", "n_docs", "n_tokens", "payload"],
             )
 
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, size=CHUNK):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch)), strict=True):
                 if held and size + len(ids) + 1 > most:
                     yield close()

@@ -72,6 +72,33 @@ def test_letters_are_encoded_once_for_all_marks():
     assert max(map(len, encoder.runs.values())) == 1
 
 
+def test_a_distinct_word_is_looked_up_once_for_all_texts():
+    class Counted(wavelet._Numbers):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return super().__getitem__(word)
+
+    encoder = wavelet.Encoder(VOCABULARY)
+    encoder.places = Counted()
+    texts = ["so stone, and stone; or stone\nand stone 12 |" + " stone, or 12" * 200] * 3
+    plain = Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)
+    assert [g.tolist() for g in encoder.encode(texts)] == [p.ids for p in plain]
+    # stone, and, or, 12 and |; and behind a line end; and no mark, a comma, a semicolon.
+    assert sorted(encoder.places) == sorted(["stone", "and", "or", "12", "|", "\nand", "\n", "\n,", "\n;"])
+    assert Counted.asked == len(encoder.places)
+
+
+def test_lines_and_marks_are_encoded_as_in_their_text():
+    draw = random.Random(7)
+    pieces = ["\n", "\n", " ", " ", "stone", "Straße", "東", "'s", "don't", "ª", "12", ",", ").", "%%%", "_", "|", "\t", "\r", "\x85", "\u2028", "\x1c", "<|endoftext|>"]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 12))) for _ in range(20_000)]
+    plain = Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)
+    encoder = wavelet.Encoder(VOCABULARY)
+    assert [g.tolist() for g in encoder.encode(texts)] == [p.ids for p in plain]
+
+
 def test_extended_keeps_what_was_held():
     held, whole = np.zeros(0, dtype=np.int64), []
     for n in (3, 0, 1, 40, 2, 500):
