@@ -41,7 +41,7 @@ END = 0
 #: A shard is closed once it holds so many ids; a longer document has a shard of its own.
 SHARD_IDS = 1 << 20
 #: Bytes of text that are encoded at a time: distinct words are looked up once for each.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: Bits of a plane that are compressed together.
 BLOCK_BITS = 1 << 16
 MAGIC = b"WMX1"
