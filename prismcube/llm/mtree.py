@@ -7,10 +7,12 @@ each vector with one more coordinate that gives all of a block the same length
 ``L``; a query gets 0 there. Then ``distance**2 = |q|**2 + L**2 - 2 q.x`` orders
 vectors as the inner product does.
 
-Every block of queries meets every tree; nothing is drawn from one place. A
-search opens pages in the order of their least possible distance and leaves out
-entries whose stored parent distance already rules them out, before their
-distance is computed.
+Every group of queries meets every tree, by a cartesian product of the two
+written tables: no copies of queries are shuffled or broadcast, whatever their
+number. A search opens pages in the order of their least possible distance and
+leaves out entries whose stored parent distance already rules them out, before
+their distance is computed. Trees that a task meets later are searched only for
+what may be among the best of those before.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from prismcube.llm.common import written
 BLOCK = 8192
 LEAF = 1024
 FANOUT = 16
+#: Queries of a group, or a few more: those of its last tree stay together.
+QUERIES = 4096
 #: Components are floored after multiplication by this.
 SCALE = 64
 #: Where a NULL id stands among ties: last.
@@ -115,12 +119,13 @@ class MTree:
         self.pages.append(Page(places[at], None if from_parent is None else from_parent[at], np.array(radii), children))
         return len(self.pages) - 1
 
-    def search(self, query: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` highest inner products, ties to smaller ids; ``own`` is left out."""
+    def search(self, query: np.ndarray, k: int, own: int | None = None, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` highest inner products of ``floor`` or more, ties to smaller ids; ``own`` is left out."""
         squares = float(query @ query) + self.length2
         slack = 1e-7 * (1 + np.sqrt(squares))
         best_ids, best_scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        worst, least_score = np.inf, -np.inf  # beyond which nothing can be among the k
+        # Beyond which nothing can be among the k.
+        worst, least_score = float(np.sqrt(max(squares - 2 * floor, 0))), floor
         waiting: list[tuple[float, int, float]] = [(0.0, self.root, np.nan)]
         while waiting:
             least, number, to_routing = heapq.heappop(waiting)
@@ -176,8 +181,7 @@ def _trees(block: int):
 
         def close() -> pa.RecordBatch:
             tree = MTree(np.array(ids, dtype=np.int64), scaled(vectors))
-            columns = {"part": pa.array([part], pa.int32()), "block": [part << 32 | seq], "tree": [pickle.dumps(tree)]}
-            return pa.RecordBatch.from_pydict(columns)
+            return pa.RecordBatch.from_pydict({"block": [part << 32 | seq], "tree": [pickle.dumps(tree)]})
 
         for batch in batches:
             for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding"), strict=True):
@@ -192,46 +196,66 @@ def _trees(block: int):
     return each
 
 
-def _queries(every: int):
-    """The rows of each tree that are queries, as one row."""
+def _widened(vectors: np.ndarray, wide: int) -> np.ndarray:
+    """The rows, ended with zeros."""
+    return np.pad(vectors, ((0, 0), (0, max(0, wide - vectors.shape[1]))))
+
+
+def _queries(every: int, group: int):
+    """The rows of the trees that are queries: groups of ``group`` or a few more as one row, with each one's tree and place."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def close() -> pa.RecordBatch:
+            wide = max(vectors.shape[1] for *_, vectors in held)
+            blocks, places, ids, vectors = zip(*held, strict=True)
+            rows = np.concatenate([_widened(v, wide) for v in vectors])
+            packed = pickle.dumps((np.concatenate(blocks), np.concatenate(places), np.concatenate(ids), rows))
+            return pa.RecordBatch.from_pydict({"query_group": [int(blocks[0][0])], "queries": [packed]})
+
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("tree").to_pylist(), strict=True):
                 tree = pickle.loads(packed)
                 own = np.flatnonzero((tree.ids % every == 0) & (tree.ids != NO_ID))
                 if len(own):
-                    packed = pickle.dumps((own, tree.ids[own], tree.vectors[own]))
-                    yield pa.RecordBatch.from_pydict({"query_block": [block], "queries": [packed]})
+                    held.append((np.full(len(own), block), own, tree.ids[own], tree.vectors[own]))
+                if sum(len(h[0]) for h in held) >= group:
+                    yield close()
+                    held = []
+        if held:
+            yield close()
 
     return each
 
 
 def _search(k: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The highest scores of each query in the trees that this task met, by group of queries.
+        highest: dict[int, np.ndarray] = {}
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("block", "tree", "query_block", "queries"))
-            for block, packed, query_block, queries in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("block", "tree", "query_group", "queries"))
+            for block, packed, group, queries in zip(*columns, strict=True):
                 tree = pickle.loads(packed)
-                places, query_ids, vectors = pickle.loads(queries)
+                blocks, places, query_ids, vectors = pickle.loads(queries)
                 wide = tree.vectors.shape[1]
-                if vectors.shape[1] < wide:
-                    vectors = np.pad(vectors, ((0, 0), (0, wide - vectors.shape[1])))
+                best = highest.setdefault(group, np.full((len(places), k), -np.inf))
                 rows = []
-                for place, query_id, query in zip(places.tolist(), query_ids.tolist(), vectors, strict=True):
+                for i, query in enumerate(_widened(vectors, wide)):
                     # Components beyond the tree's meet zeros only.
-                    ids, scores = tree.search(query[:wide], k, place if block == query_block else None)
-                    rows.append((np.full(len(ids), place), np.full(len(ids), query_id), ids, scores.astype(np.int64)))
-                at, of, ids, scores = (np.concatenate(c) for c in zip(*rows, strict=True))
+                    ids, scores = tree.search(query[:wide], k, int(places[i]) if block == blocks[i] else None, best[i, -1])
+                    best[i] = -np.sort(-np.concatenate((best[i], scores)))[:k]
+                    rows.append((np.full(len(ids), blocks[i]), np.full(len(ids), places[i]), np.full(len(ids), query_ids[i]), ids, scores.astype(np.int64)))
+                of, at, query, ids, scores = (np.concatenate(c) for c in zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), query_block)), pa.array(at), pa.array(of), pa.array(ids, mask=ids == NO_ID), pa.array(scores)],
+                    [pa.array(of), pa.array(at), pa.array(query), pa.array(ids, mask=ids == NO_ID), pa.array(scores)],
                     ["query_block", "query_place", "query_id", "vec_id", "score"],
                 )
 
     return each
 
 
-def top_products(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK) -> DataFrame:
+def top_products(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK, group: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest scores of each query among all other rows.
 
     Queries are the rows of ``vec_id, embedding`` whose id is divisible by
@@ -247,12 +271,11 @@ def top_products(vectors: DataFrame, every: int = 20, k: int = 20, block: int =
         F.col("embedding").isNotNull() & finite
     )
     blocks = max(1, -(-valid.count() // block))
-    trees = written(valid.repartition(blocks).mapInArrow(_trees(block), "part int, block long, tree binary"), "trees")
-    queries = written(trees.mapInArrow(_queries(every), "query_block long, queries binary"), "queries")
-    # A block of queries goes to every part of the trees.
-    parts = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("part")
-    pairs = queries.select("query_block", "queries", parts).join(trees, "part")
-    found = pairs.select("block", "tree", "query_block", "queries").mapInArrow(_search(k), RESULT)
+    trees = written(valid.repartition(blocks).mapInArrow(_trees(block), "block long, tree binary"), "trees")
+    queries = written(trees.mapInArrow(_queries(every, group), "query_group long, queries binary"), "queries")
+    # Every group of queries meets every tree. Without the hint the queries, small by Spark's estimate, may go through the driver.
+    pairs = trees.hint("shuffle_replicate_nl").crossJoin(queries)
+    found = pairs.mapInArrow(_search(k), RESULT)
     order = Window.partitionBy("query_block", "query_place").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from conftest import plan
 
 from prismcube.llm import decontamination as deco
 from prismcube.llm import mtree
@@ -70,6 +71,30 @@ def test_top_products_of_awkward_vectors(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == plain_top(rows)
 
 
+def test_queries_meet_trees_without_the_driver(spark):
+    # Copies of queries, one per tree, were small by Spark's estimate and therefore broadcast.
+    draw = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in draw.integers(-8, 9, 6) / 16]) for i in range(300)]
+    df = spark.createDataFrame(rows, VECTOR)
+    found = mtree.top_products(df, every=5, k=7, block=32)
+    text = plan(found)
+    assert "CartesianProduct" in text and "Broadcast" not in text
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_top(rows, 5, 7)
+    small_groups = mtree.top_products(df, every=5, k=7, block=32, group=4)
+    assert sorted(map(tuple, small_groups.collect()), key=repr) == plain_top(rows, 5, 7)
+
+
+def test_search_leaves_out_what_is_below_the_floor():
+    draw = np.random.default_rng(5)
+    vectors = np.floor(draw.normal(0, 4, (3000, 6)))
+    tree = mtree.MTree(np.arange(3000), vectors)
+    for place in (0, 7, 2999):
+        every, scores = tree.search(tree.vectors[place], 20, place)
+        for floor in (scores[-1], scores[5], scores[0], scores[0] + 1, 1e9):
+            found, got = tree.search(tree.vectors[place], 20, place, floor)
+            assert found.tolist() == every[scores >= floor].tolist() and got.tolist() == scores[scores >= floor].tolist()
+
+
 def test_top_products_of_few_or_no_vectors(spark):
     rows = [(0, [0.5]), (1, [0.25]), (2, [-0.5])]
     found = mtree.top_products(spark.createDataFrame(rows, VECTOR))
