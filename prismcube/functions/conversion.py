@@ -17,8 +17,14 @@ def is_missing(col: Column) -> Column:
 
 
 def to_int_lenient(text: Column) -> Column:
-    """Leading integer of ``text``; 0 when there is none or it does not fit."""
-    return F.coalesce(F.regexp_extract(text, INT_PREFIX, 1).try_cast("int"), F.lit(0))
+    """Leading integer of ``text``; 0 when there is none or it does not fit.
+
+    A text that begins with a digit and is an integer as a whole, as most are,
+    needs no regular expression.
+    """
+    text = text.cast("string")
+    whole = F.when(F.ascii(text).between(ord("0"), ord("9")), text.try_cast("int"))
+    return F.coalesce(whole, F.regexp_extract(text, INT_PREFIX, 1).try_cast("int"), F.lit(0))
 
 
 def to_float_lenient(text: Column) -> Column:

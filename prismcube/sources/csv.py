@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import AbstractContextManager, contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..contract import Contract
 from ..operators.joins import measured
+from ..session import with_options
 
 BAD_WIDTH = "_corrupt_record"
 COORDINATES = ("source_file", "source_block", "source_row")
@@ -73,20 +73,7 @@ def with_splits(spark: SparkSession, size: int) -> AbstractContextManager[None]:
     So a file is cut alike at every load, and a place in it can be kept as the
     start of a block and the lines before that.
     """
-    fixed = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size)}
-
-    @contextmanager
-    def fixed_splits() -> Iterator[None]:
-        saved = {key: spark.conf.get(key, None) for key in fixed}
-        for key, value in fixed.items():
-            spark.conf.set(key, value)
-        try:
-            yield
-        finally:
-            for key, value in saved.items():
-                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-    return fixed_splits()
+    return with_options(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size)})
 
 
 def with_row(rows: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from prismcube.functions.conversion import convert, is_missing, to_decimal_lenient, to_float_lenient, to_int_lenient
+from prismcube.functions.conversion import INT_PREFIX, convert, is_missing, to_decimal_lenient, to_float_lenient, to_int_lenient
 from prismcube.functions.naming import ABBREVIATIONS, cuboid_name, cuboid_names, mask_dimensions, power_set
 from prismcube.functions.rounding import round_binary, round_exact
 from prismcube.contract import CUBE_DIMENSIONS
@@ -22,6 +22,13 @@ def test_int_prefix(spark):
     assert apply(spark, cases, to_int_lenient) == list(cases.values())
 
 
+def test_int_of_whole_texts_is_that_of_their_prefix(spark):
+    numbers = ["0", "007", "12", "2147483647", "2147483648", "99999999999999999999", "1.5", "1.", ".5", "1e3", "5d", "5L", "1_0", "1\u0663", "\u0663"]
+    texts = [a + n + z for n in numbers for a in ("", "-", "+", " ", "\x01", "\n", "\u00a0") for z in ("", " ", "\x01", "\n", "x")]
+    prefix = lambda t: F.coalesce(F.regexp_extract(t, INT_PREFIX, 1).try_cast("int"), F.lit(0))
+    assert apply(spark, texts, to_int_lenient) == apply(spark, texts, prefix)
+
+
 def test_float_prefix(spark):
     cases = {
         "1e3": 1000.0, "12abc": 12.0, "": 0.0, "abc": 0.0, "1e99": 0.0, "-1e99": 0.0, "1e-60": 0.0, None: 0.0,

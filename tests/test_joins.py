@@ -1,5 +1,5 @@
 import re
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +8,7 @@ from conftest import plan, rows
 from prismcube.contract import SALES
 from prismcube.operators import columns, joins, star
 from prismcube.sources.dates import date_dimension
+from workload import queries
 from workload.tables import sales_star
 
 
@@ -218,6 +219,33 @@ def test_texts_are_spelled_after_the_last_shuffle(spark, conf):
         assert text.index(f"AS {column}#") < text.index("Exchange hashpartitioning")
 
 
+def test_lines_of_both_days_meet_their_orders_once(spark, tmp_path):
+    tables = {
+        "region": (["r_regionkey int", "r_name string"], [(0, "EAST"), (1, "WEST")]),
+        "nation": (["n_nationkey int", "n_name string", "n_regionkey int"], [(1, "A", 0), (2, "B", 1), (3, "C", None)]),
+        "customer": (["c_custkey long", "c_name string", "c_nationkey int", "c_mktsegment string"], [(1, "C#1", 1, "s"), (2, "C#2", None, None), (None, "C#3", 1, "s")]),
+        "supplier": (["s_suppkey long", "s_name string", "s_nationkey int"], [(1, "S1", 1), (2, "S2", 9)]),
+        "part": (["p_partkey long", "p_name string", "p_type string", "p_brand string", "p_size int"], [(1, "p", "T", "B", 3), (2, None, None, "B", None)]),
+        "orders": (
+            ["o_orderkey long", "o_custkey long", "o_orderdate timestamp"],
+            [(1, 1, datetime(1998, 12, 31)), (2, 2, datetime(1999, 1, 1)), (3, 3, None), (4, None, datetime(1996, 5, 5)), (5, 1, datetime(2001, 2, 3)), (5, 2, datetime(1997, 2, 3)), (6, 1, datetime(1980, 1, 1))],
+        ),
+        "lineitem": (
+            ["l_orderkey long", "l_linenumber int", "l_partkey long", "l_suppkey long", "l_extendedprice double"],
+            [(o, n, 1 + (o or 0) % 3, 1 + n % 3, 10.0 * n) for o in (1, 2, 3, 4, 5, 6, 7, None) for n in (1, 2)] + [(2, 1, None, None, None)] * 2,
+        ),
+    }
+    for name, (columns_, content) in tables.items():
+        spark.createDataFrame(content, ", ".join(columns_)).write.parquet(str(tmp_path / f"{name}.parquet"))
+    wide = star.denormalise(**sales_star(spark, str(tmp_path)))
+    early = F.coalesce(F.col("campaign_start_year") <= 1998, F.lit(True))
+    days = queries.sales_days(spark, str(tmp_path))
+    assert [rows(d) for d in days] == [rows(wide.where(early)), rows(wide.where(~early))]
+    assert all(rows(d) for d in days)
+    for day in days:
+        assert not any("lineitem" in f or "orders" in f for f in day.inputFiles())
+
+
 def test_repeated_dimension_key_multiplies_rows(small_star):
     small_star["customers"] = small_star["customers"].unionAll(small_star["customers"])
     assert star.denormalise(**small_star).count() == 5

@@ -591,3 +591,29 @@ def test_refreshes_write_deltas_and_merge_like_sizes(spark, tmp_path, monkeypatc
     assert sum(p["rows"] for p in written_rows) < 200  # the cube itself has 9001 rows
     apex = finish(cubes.stored_lookup(spark, root, DIMS, {})).first()
     assert (apex["count"], apex["sum_amount"]) == (3009, 3018.0)
+
+
+def test_wide_rows_are_neither_interpreted_nor_sorted(spark, tmp_path, conf, monkeypatch):
+    # A session's own options: methods as long as Spark allows, one writer at a time after a sort by ``rejected``.
+    methods, writers = "spark.sql.codegen.hugeMethodLimit", "spark.sql.maxConcurrentOutputFileWriters"
+    conf({methods: "65535", writers: "0"})
+    during = {}
+
+    def noting(name, writer_of):
+        def writer(df):
+            during.setdefault(name, (spark.conf.get(methods), spark.conf.get(writers)))
+            return writer_of(df)
+
+        return writer
+
+    monkeypatch.setattr(load, "plain", noting("staged", load.plain))
+    monkeypatch.setattr(load, "split_rejects", noting("rows", load.split_rejects))
+    root, folder = str(tmp_path / "root"), tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,amount,kind,place,size\n1,2.50,a,b,3\n,1,a,b,3\n2,1,a,c,x\n1,9,a,b,3\n")
+    load.init_tables(spark, root, CONTRACT)
+    load.append_load(spark, str(folder), root, CONTRACT)
+    assert during["staged"][0] == "8000" and during["rows"] == ("65535", "2")
+    assert (spark.conf.get(methods), spark.conf.get(writers)) == ("65535", "0")
+    assert [(r["id"], r["size"]) for r in load.fact_table(spark, root, CONTRACT).orderBy("row_id").collect()] == [("1", 3), ("2", 0)]
+    assert load.reject_report(spark, root, CONTRACT).count() == 2
